@@ -109,7 +109,7 @@ def tenure_stats(employees: DataFrame, report_date: dt.date) -> DataFrame:
         F.max("days").alias("max"),
         F.sum((people * days).cast("decimal(38,0)")).cast("double").alias("s1"),
         F.sum((people * days * days).cast("decimal(38,0)")).cast("double").alias("s2"),
-        F.percentile("days", F.lit(0.5), "people").alias("median"),
+        F.percentile("days", F.lit(0.5), F.col("people")).alias("median"),
     )
     n = F.col("n")
     mean = F.col("s1") / n
