@@ -53,12 +53,15 @@ def date(c: str) -> str:
 
 
 def name_case(c: str) -> str:
+    def capital(t: str) -> str:
+        return f"case when {t} = 'ß' then 'Ss' else upper({t}) end"
+
     return f"""array_to_string(list_transform(regexp_extract_all({c}, '[ \\-'']|[^ \\-'']+'), lambda t: case
         when lower(t) like 'mc%' and length(t) > 2
-          then 'Mc' || upper(substr(t, 3, 1)) || lower(substr(t, 4))
+          then 'Mc' || {capital('substr(t, 3, 1)')} || lower(substr(t, 4))
         when lower(t) like 'mac%' and length(t) > 3
-          then 'Mac' || upper(substr(t, 4, 1)) || lower(substr(t, 5))
-        else upper(substr(t, 1, 1)) || lower(substr(t, 2)) end), '')"""
+          then 'Mac' || {capital('substr(t, 4, 1)')} || lower(substr(t, 5))
+        else {capital('substr(t, 1, 1)')} || lower(substr(t, 2)) end), '')"""
 
 
 def lcs(a: str, b: str) -> str:
