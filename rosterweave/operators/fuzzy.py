@@ -46,14 +46,15 @@ def _bucket(days: Column, width: int) -> Column:
     return F.floor(days / width).cast("int")
 
 
-def _own_bucket(width: int) -> Column:
-    return _bucket(F.unix_date("hire_date"), width)
+def _own_bucket(day: Column, width: int) -> Column:
+    return _bucket(F.unix_date(day), width)
 
 
-def _near_buckets(width: int) -> Column:
+def _near_buckets(day: Column, width: int) -> Column:
     """Buckets a partner within the window can be in; the bucket is as wide as the window."""
-    day = F.unix_date("hire_date")
-    return F.sequence(_bucket(day - width, width), _bucket(day + width, width))
+    return F.sequence(
+        _bucket(F.unix_date(day) - width, width), _bucket(F.unix_date(day) + width, width)
+    )
 
 
 def _bucket_width(settings: Settings) -> int:
@@ -75,7 +76,8 @@ def name_pairs(names_a: DataFrame, names_b: DataFrame, threshold: int) -> DataFr
     a_key, b_key = F.col("a_key"), F.col("b_key")
     lengths = F.length("a_key") + F.length("b_key")
     return (
-        a.join(b, ["bucket", SEGMENT])
+        # Exploded sides are larger than Spark estimates, so neither is to be broadcast.
+        a.join(b.hint("merge"), ["bucket", SEGMENT])
         .where(similarity.may_match(a_key, b_key, threshold))
         .select("a_key", "b_key")
         .distinct()
@@ -85,51 +87,64 @@ def name_pairs(names_a: DataFrame, names_b: DataFrame, threshold: int) -> DataFr
     )
 
 
-def probable_matches(employees: DataFrame, settings: Settings) -> DataFrame:
+def similar_names(employees: DataFrame, settings: Settings) -> DataFrame:
+    """Name pairs of the two companies that reach the threshold and occur in near buckets."""
     width = _bucket_width(settings)
-    a = _side(employees, STAFF_A).withColumn("bucket", _own_bucket(width))
-    b = _side(employees, STAFF_B).withColumn("near", _near_buckets(width))
+    names_a = _side(employees, STAFF_A).select(
+        "name_key", _own_bucket(F.col("hire_date"), width).alias("bucket")
+    ).distinct()
+    names_b = _side(employees, STAFF_B).select(
+        "name_key", F.explode(_near_buckets(F.col("hire_date"), width)).alias("bucket")
+    ).distinct()
+    return name_pairs(names_a, names_b, settings.match_threshold)
+
+
+def _prefixed(side: DataFrame, key: str, prefix: str) -> DataFrame:
+    return side.select(
+        F.col("name_key").alias(key),
+        F.col(ORDINAL).alias(f"{key}_row"),
+        *[
+            F.col(c).alias(f"{prefix}_{c}")
+            for c in ("employee_id", "full_name", "hire_date", "email", "country")
+        ],
+    )
 
-    names_a = a.groupBy("name_key", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    names_b = b.select("name_key", F.explode("near").alias("bucket")).distinct()
-    similar = name_pairs(names_a, names_b, settings.match_threshold)
 
-    rows_b = b.select(
-        F.col(ORDINAL).alias("b_ordinal"),
-        F.col("name_key").alias("b_key"),
-        "near",
-        F.col("employee_id").alias("acq_employee_id"),
-        F.col("full_name").alias("acq_full_name"),
-        F.col("hire_date").alias("acq_hire_date"),
-        F.col("email").alias("acq_email"),
-        F.col("country").alias("acq_country"),
-    )
-    rows_a = a.select(
-        F.col(ORDINAL).alias("a_ordinal"),
-        F.col("name_key").alias("a_key"),
-        "bucket",
-        F.col("employee_id").alias("gt_employee_id"),
-        F.col("full_name").alias("gt_full_name"),
-        F.col("hire_date").alias("gt_hire_date"),
-        F.col("email").alias("gt_email"),
-        F.col("country").alias("gt_country"),
-    )
-    weights_b = rows_b.groupBy("b_key").agg(F.count(F.lit(1)).alias("n"))
-    weights_a = names_a.select(F.col("name_key").alias("a_key"), "bucket", "n")
+def probable_matches(employees: DataFrame, names: DataFrame, settings: Settings) -> DataFrame:
+    """Rows of both companies whose names are a pair of ``names`` and whose dates are close.
+
+    ``names`` should be stored: it decides which rows take part before any is shuffled, by a
+    broadcast if it is small.
+    """
+    width, window = _bucket_width(settings), settings.match_window_days
+    a = _side(employees, STAFF_A).join(
+        names.select(F.col("a_key").alias("name_key")).distinct(), "name_key", "left_semi"
+    )
+    b = _side(employees, STAFF_B)
+    rows_a = _prefixed(a, "a_key", "gt").withColumn(
+        "bucket", _own_bucket(F.col("gt_hire_date"), width)
+    )
+    rows_b = _prefixed(b, "b_key", "acq")
     b_with_names = spread_join(
-        rows_b, similar, ["b_key"], weights_b, "b_ordinal", heavy_rows=settings.heavy_rows
-    ).withColumn("bucket", F.explode("near"))
+        rows_b,
+        names,
+        ["b_key"],
+        rows_b.groupBy("b_key").agg(F.count(F.lit(1)).alias("n")),
+        "b_key_row",
+        heavy_rows=settings.heavy_rows,
+    )
+    near = _near_buckets(F.col("acq_hire_date"), width)
     pairs = spread_join(
         rows_a,
-        b_with_names,
+        b_with_names.withColumn("bucket", F.explode(near)),
         ["a_key", "bucket"],
-        weights_a,
-        "a_ordinal",
+        rows_a.groupBy("a_key", "bucket").agg(F.count(F.lit(1)).alias("n")),
+        "a_key_row",
         heavy_rows=settings.heavy_rows,
     )
     apart = F.abs(F.date_diff("acq_hire_date", "gt_hire_date"))
     return (
-        pairs.where(apart <= settings.match_window_days)
+        pairs.where(apart <= window)
         .withColumn("hire_date_delta_days", apart)
         .withColumn("match_score", similarity.score(F.col("lcs"), F.col("lengths")))
         .select(*PAIR_COLUMNS)

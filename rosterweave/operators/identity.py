@@ -161,18 +161,23 @@ def cross_emails(employees: DataFrame) -> DataFrame:
     )
 
 
-def flag_cross_emails(employees: DataFrame, settings: Settings) -> DataFrame:
-    shared = cross_emails(employees)
+def flag_cross_emails(
+    employees: DataFrame, shared: DataFrame, settings: Settings
+) -> DataFrame:
+    """Whether the e-mail of a row is one of ``shared`` (see ``cross_emails``)."""
+    flags = shared.select(F.col("email").alias("_email"), F.lit(True).alias(CROSS_EMAIL))
     flagged = spread_join(
-        employees,
-        shared.select("email", F.lit(True).alias(CROSS_EMAIL)),
-        ["email"],
-        shared,
+        employees.withColumn("_email", own_key("email")),
+        flags,
+        ["_email"],
+        shared.select(F.col("email").alias("_email"), "n"),
         ORDINAL,
         how="left",
         heavy_rows=settings.heavy_rows,
     )
-    return flagged.select(*employees.columns, F.coalesce(CROSS_EMAIL, F.lit(False)).alias(CROSS_EMAIL))
+    return flagged.select(
+        *employees.columns, F.coalesce(CROSS_EMAIL, F.lit(False)).alias(CROSS_EMAIL)
+    )
 
 
 def _quarantined() -> Column:

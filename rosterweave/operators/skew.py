@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,35 +27,32 @@ def spread_join(
 ) -> DataFrame:
     """Join ``rows`` to ``other``, spreading the rows of heavy keys over many tasks.
 
-    ``weights`` has the columns ``on`` and ``n``, the number of ``rows`` per key, from an
-    aggregate the caller needs anyway. Keys with ``heavy_rows`` rows or more are cut into slices
-    by ``row_id``, and their few partners in ``other`` are repeated once per slice. Rows with a
-    null key match nothing and are spread the same way, so that a left join does not gather them.
+    ``weights`` has the columns ``on`` and ``n``, the number of ``rows`` per key. One small job
+    reads its maximum: without a heavy key the join is a plain one. Otherwise keys with
+    ``heavy_rows`` rows or more are cut into slices by ``row_id``, and their partners in
+    ``other`` are repeated once per slice.
 
     The heavy keys are broadcast. They are the ``heavy_keys`` heaviest at most, which bounds the
     broadcast; any key beyond them holds less than ``1 / heavy_keys`` of all rows, so leaving it
     whole is harmless. No row is dropped either way.
     """
+    heaviest = weights.agg(F.max("n")).first()[0]
+    if heaviest is None or heaviest < heavy_rows:
+        return rows.join(other, on, how)
     heavy = (
         weights.where(F.col("n") >= heavy_rows)
         .orderBy(F.col("n").desc(), *on)
         .limit(heavy_keys)
         .select(*on, F.ceil(F.col("n") / heavy_rows).cast("long").alias(_SLICES))
     )
-    null_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
-    spot = F.xxhash64(row_id)
-    sliced_rows = rows.join(F.broadcast(heavy), on, "left").withColumn(
-        _SLICE,
-        F.when(null_key, F.pmod(spot, F.lit(1 << 20)))
-        .when(F.col(_SLICES).isNotNull(), F.pmod(spot, _SLICES))
-        .otherwise(F.lit(0).cast("long")),
+    one = F.lit(1).cast("long")
+    slices = F.coalesce(_SLICES, one)
+    sliced = rows.join(F.broadcast(heavy), on, "left").withColumn(
+        _SLICE, F.pmod(F.xxhash64(row_id), slices)
     )
     repeated = other.join(F.broadcast(heavy), on, "left").withColumn(
-        _SLICE,
-        F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(_SLICES, F.lit(1)) - 1)),
+        _SLICE, F.explode(F.sequence(one - 1, slices - 1))
     )
     return (
-        sliced_rows.drop(_SLICES)
-        .join(repeated.drop(_SLICES), [*on, _SLICE], how)
-        .drop(_SLICE)
+        sliced.drop(_SLICES).join(repeated.drop(_SLICES), [*on, _SLICE], how).drop(_SLICE)
     )

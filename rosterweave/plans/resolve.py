@@ -45,9 +45,10 @@ def exact_passes(
     resolved = stage(
         identity.resolve_ids(employees, payroll, benefits, settings), "resolved_ids"
     )
-    flagged = stage(
-        identity.flag_cross_emails(identity.kept_rows(resolved), settings), "cross_emails"
-    )
+    kept = identity.kept_rows(resolved)
+    # Stored first, so that Spark knows its size when it plans the join.
+    shared = stage(identity.cross_emails(kept), "cross_emails")
+    flagged = stage(identity.flag_cross_emails(kept, shared, settings), "flagged_emails")
     emails = identity.split_cross_emails(flagged)
     return ExactPasses(
         emails.employees,
@@ -67,7 +68,8 @@ def resolve_all(
     benefits_row_id: list[str] | None = None,
 ) -> Resolved:
     exact = exact_passes(employees, payroll, benefits, settings, stage)
-    pairs = stage(fuzzy.probable_matches(exact.employees, settings), "probable_matches")
+    names = stage(fuzzy.similar_names(exact.employees, settings), "similar_names")
+    pairs = stage(fuzzy.probable_matches(exact.employees, names, settings), "probable_matches")
     final = stage(fuzzy.flag_fuzzy(exact.employees, pairs), "employees")
     ghosts = identity.ghost_employees(payroll, final)
     plans = split_latest(

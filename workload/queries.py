@@ -81,7 +81,12 @@ def exact(spark, folder, stage=None):
 def with_pairs(spark, folder, stage=None):
     stage = stage or Stage(spark)
     emp = exact(spark, folder, stage).employees
-    return emp, stage(fuzzy.probable_matches(emp, SETTINGS), "probable_matches")
+    return emp, matches(emp, stage)
+
+
+def matches(emp, stage):
+    names = stage(fuzzy.similar_names(emp, SETTINGS), "similar_names")
+    return stage(fuzzy.probable_matches(emp, names, SETTINGS), "probable_matches")
 
 
 def final_employees(spark, folder, stage=None):
@@ -449,7 +454,7 @@ def unpaid_employees(spark, folder):
 def dedup_reports(spark, folder):
     stage = Stage(spark)
     done = exact(spark, folder, stage)
-    pairs = stage(fuzzy.probable_matches(done.employees, SETTINGS), "probable_matches")
+    pairs = matches(done.employees, stage)
     paid = stage(pay(spark, folder), "payroll")
     reports = (
         done.reports.unionByName(fuzzy.fuzzy_report(done.employees, pairs, SETTINGS))
