@@ -6,34 +6,30 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rosterweave.config import ID_PREFIX, STAFF_A, STAFF_B, UNKNOWN_PREFIX
-from rosterweave.functions.text import lookup, strip
+from rosterweave.functions.text import lookup
 
-_ENDS_IN_DIGIT = r"\d$"
+def _number_or_raw(c: Column) -> Column:
+    """Digits at the end without leading zeros but at least six, or the text if it has none.
 
-
-def _trailing_number(c: Column) -> Column:
-    """Digits at the end without leading zeros, but at least six of them.
-
-    Kept as text, so numbers of any length survive and padding never cuts a longer one.
+    Kept as text, so numbers of any length survive and padding never cuts a longer one. The zeros
+    put in front are taken off again down to six digits.
     """
     padded = F.regexp_replace(c, r"(\d+)$", "000000$1")
-    return F.regexp_extract(padded, r"0*(\d{6,})$", 1)
+    return F.regexp_replace(padded, r"(?s)^.*?0*(\d{6,})\n?\z", "$1")
 
 
 def employee_id(raw: Column, source_system: Column) -> Column:
     prefix = F.coalesce(lookup(source_system, ID_PREFIX), F.lit(UNKNOWN_PREFIX))
-    number = F.when(raw.rlike(_ENDS_IN_DIGIT), _trailing_number(raw)).otherwise(raw)
-    return F.concat(prefix, F.lit("-"), number)
+    return F.concat(prefix, F.lit("-"), _number_or_raw(raw))
 
 
-def manager_id(raw: Column) -> Column:
-    """Manager references carry no source system; the text itself shows the company."""
-    text = strip(raw)
+def manager_id(text: Column) -> Column:
+    """Manager references carry no source system; the (stripped) text itself shows the company."""
     prefix = F.when(F.upper(text).startswith("ACQ"), ID_PREFIX[STAFF_B]).otherwise(
         ID_PREFIX[STAFF_A]
     )
     return (
-        F.when(raw.isNull() | text.isin("", "nan"), "")
-        .when(text.rlike(_ENDS_IN_DIGIT), F.concat(prefix, F.lit("-"), _trailing_number(text)))
+        F.when(text.isNull() | text.isin("", "nan"), "")
+        .when(text.rlike(r"\d$"), F.concat(prefix, F.lit("-"), _number_or_raw(text)))
         .otherwise(text)
     )

@@ -17,7 +17,14 @@ _BREAK = "\ue000"
 
 
 def strip(c: Column) -> Column:
-    return F.btrim(c, F.lit(WHITESPACE))
+    """Take Unicode whitespace off both ends.
+
+    Text that starts and ends with a visible ASCII character, nearly all of it, is told by two
+    comparisons and kept; trimming a set of characters is several times slower.
+    """
+    starts_visible = (c >= "!") & (c < "\x7f")
+    ends_visible = F.substring(c, -1, 1).between("!", "~")
+    return F.when(starts_visible & ends_visible, c).otherwise(F.btrim(c, F.lit(WHITESPACE)))
 
 
 def present(c: Column) -> Column:
@@ -38,17 +45,24 @@ def compose_accents(c: Column) -> Column:
     return F.when(c.rlike("[^\\u0000-\\u02FF]"), composed).otherwise(c)
 
 
-def name_case(c: Column) -> Column:
+def name_case(text: Column) -> Column:
     """Capitalise every part between spaces, hyphens and apostrophes, and after Mc and Mac.
 
     ``initcap`` starts words at spaces only, so a marked break is put after each hyphen,
-    apostrophe and Mc/Mac prefix that has more letters, and is removed afterwards. Everything
-    is a built-in with code generation; blank text is returned as it is.
+    apostrophe and Mc/Mac prefix that has more letters, and is removed afterwards. Names without
+    any of these skip that. Everything is a built-in with code generation. The text is stripped.
     """
-    text = F.regexp_replace(strip(c), "([-'])", "$1" + _BREAK + " ")
-    text = F.regexp_replace(text, "(?i)(?<![^ ])(mc|mac)(?=[^ ])", "$1" + _BREAK + " ")
-    text = F.replace(F.initcap(text), F.lit(_BREAK + " "), F.lit(""))
-    return F.when(strip(c) == "", c).otherwise(text)
+    low = F.lower(text)
+    plain = ~(
+        F.contains(low, F.lit("-"))
+        | F.contains(low, F.lit("'"))
+        | F.contains(low, F.lit("mc"))
+        | F.contains(low, F.lit("mac"))
+    )
+    broken = F.regexp_replace(text, "([-'])", "$1" + _BREAK + " ")
+    broken = F.regexp_replace(broken, "(?i)(?<![^ ])(mc|mac)(?=[^ ])", "$1" + _BREAK + " ")
+    cased = F.replace(F.initcap(broken), F.lit(_BREAK + " "), F.lit(""))
+    return F.when(plain, F.initcap(text)).otherwise(cased)
 
 
 def is_email(c: Column) -> Column:

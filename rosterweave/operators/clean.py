@@ -85,12 +85,18 @@ def _report(
 
 
 def employee_steps(aligned: DataFrame, settings: Settings) -> DataFrame:
-    """Cleaned columns next to the texts they came from (``_raw_*``)."""
-    stripped = aligned.select(
+    """Cleaned columns, the texts some of them came from, and the number of stripped cells."""
+    both = aligned.select(
         "ingest_ordinal",
         *[text.strip(F.col(c)).alias(c) for c in STANDARD_COLUMNS],
         *[F.col(c).alias(RAW + c) for c in STANDARD_COLUMNS],
     )
+    changed = [
+        F.coalesce((F.col(RAW + c) != F.col(c)).cast("int"), F.lit(0)) for c in STANDARD_COLUMNS
+    ]
+    stripped = both.select(
+        "ingest_ordinal", *STANDARD_COLUMNS, values.total_of(changed).alias("_stripped_cells")
+    )
     # Alone in its projection: the accent step is the one expression without code generation.
     composed = stripped.withColumns(
         {"_first": text.compose_accents(F.col("first_name")),
@@ -122,9 +128,7 @@ def employees_report(aligned: DataFrame, settings: Settings) -> DataFrame:
     hired = c("hire_date")
     counted = employee_steps(aligned, settings).agg(
         F.count(F.lit(1)).alias("n"),
-        values.total_of(
-            [count_if(c(RAW + x) != text.strip(c(RAW + x))) for x in STANDARD_COLUMNS]
-        ).alias("stripped"),
+        F.coalesce(F.sum("_stripped_cells"), F.lit(0)).alias("stripped"),
         (
             count_if(c("first_name") != c("first_name_raw"))
             + count_if(c("last_name") != c("last_name_raw"))

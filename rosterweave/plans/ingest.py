@@ -7,10 +7,10 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterweave.config import BENEFITS, STAFF_B
+from rosterweave.config import STAFF_B
 from rosterweave.operators.align import align
 from rosterweave.plans.staging import Stage
-from rosterweave.sources.benefits_xml import parse_benefits_xml
+from rosterweave.sources.benefits_xml import parse_benefits_xml, split_enrollments
 from rosterweave.sources.common import split_rejects
 from rosterweave.sources.payroll import read_payroll
 from rosterweave.sources.staff_csv import read_staff_csv
@@ -44,8 +44,8 @@ def ingest_all(spark: SparkSession, sources: Sources, stage: Stage) -> Ingested:
         STAFF_B,
     )
     payroll = stage(read_payroll(spark, sources.payroll, sources.payroll_format), "payroll")
-    benefits = split_rejects(
-        stage(parse_benefits_xml(spark, sources.benefits_xml), "benefits"), BENEFITS
+    benefits = split_enrollments(
+        stage(parse_benefits_xml(spark, sources.benefits_xml), "benefits")
     )
     return Ingested(
         align(staff_a, staff_b.rows),

@@ -8,6 +8,8 @@ from pyspark.sql import SparkSession
 def spark_session(app: str = "rosterweave", **conf: str) -> SparkSession:
     """Session with AQE (partition coalescing, skew-join splitting) and a pinned time zone.
 
+    Generated methods above 8,000 bytes are never compiled by the JVM, so whole-stage code that
+    grows beyond that is left to the operators one by one.
     The master, memory and shuffle width come from spark-submit or ``conf``.
     """
     builder = (
@@ -16,6 +18,7 @@ def spark_session(app: str = "rosterweave", **conf: str) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

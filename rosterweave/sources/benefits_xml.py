@@ -21,36 +21,56 @@ TEXTS = ["employee_id", "plan_type", "coverage_level", "enrollment_date"]
 PREMIUMS = ["premium_employee", "premium_employer"]
 COLUMNS = TEXTS + PREMIUMS
 
-# Fixed value: texts taken as a premium (any case, single underscores between digits).
-PREMIUM = r"(?i)^[+-]?((\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)(e[+-]?\d+(_\d+)*)?|inf|infinity|nan)$"
+# Fixed value: number texts beyond plain decimals (any case, single underscores in digits).
+SPECIAL_NUMBER = (
+    r"(?i)^[+-]?((\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)(e[+-]?\d+(_\d+)*)?|inf|infinity|nan)$"
+)
+# Letters that a cast reads in its own way: suffixes, hexadecimal, infinity.
+_UNUSUAL = "[dDfFpPxX_]"
 
 
 def _premium(text: Column) -> Column:
     """Absent or empty is 0; text that is no number gives null."""
     trimmed = strip(text)
-    number = F.when(trimmed.rlike(PREMIUM), F.replace(trimmed, F.lit("_"), F.lit("")))
-    return F.when(F.coalesce(text, F.lit("")) == "", 0.0).otherwise(number.try_cast("double"))
+    special = F.when(trimmed.rlike(SPECIAL_NUMBER), F.replace(trimmed, F.lit("_"), F.lit("")))
+    return (
+        F.when(F.coalesce(text, F.lit("")) == "", 0.0)
+        .when(~trimmed.rlike(_UNUSUAL), trimmed.try_cast("double"))
+        .otherwise(special.try_cast("double"))
+    )
 
 
 def parse_enrollments(elements: DataFrame, *keep: str) -> DataFrame:
-    """Typed columns from text columns, and an error with the raw element where unusable."""
-    raw = F.to_xml(F.struct(*COLUMNS), {"rowTag": "enrollment", "indent": ""})
-    texts = [F.coalesce(strip(F.col(c)), F.lit("")).alias(c) for c in TEXTS]
-    errors = [F.when(F.coalesce(strip(F.col("employee_id")), F.lit("")) == "", "empty employee_id")]
+    """Typed columns from text columns, and an error with the element's texts where unusable."""
+    typed = elements.select(
+        *keep,
+        *[F.coalesce(strip(F.col(c)), F.lit("")).alias(c) for c in TEXTS],
+        *[_premium(F.col(c)).alias(c) for c in PREMIUMS],
+        F.struct(*COLUMNS).alias("_element"),
+    )
+    errors = [F.when(F.col("employee_id") == "", "empty employee_id")]
     for c in PREMIUMS:
-        message = F.concat(F.lit("could not convert string to float: '"), F.col(c), F.lit("'"))
-        errors.append(F.when(_premium(F.col(c)).isNull(), message))
+        text = F.col("_element")[c]
+        message = F.concat(F.lit("could not convert string to float: '"), text, F.lit("'"))
+        errors.append(F.when(F.col(c).isNull(), message))
     error = F.coalesce(*errors)
-    return elements.select(
+    return typed.select(
         *keep,
-        *texts,
-        *[_premium(F.col(c)).alias(c) for c in PREMIUMS],
+        *COLUMNS,
         error.alias(ERROR),
-        F.when(error.isNotNull(), raw).alias(RAW_RECORD),
+        F.when(error.isNotNull(), F.col("_element")).alias(RAW_RECORD),
     )
 
 
+def split_enrollments(parsed: DataFrame) -> Parsed:
+    """Only dead letters are turned back into XML text."""
+    split = split_rejects(parsed, BENEFITS)
+    raw = F.to_xml(RAW_RECORD, {"rowTag": "enrollment", "indent": ""})
+    return Parsed(split.rows, split.rejects.withColumn(RAW_RECORD, raw))
+
+
 def parse_benefits_xml(spark: SparkSession, path: str) -> DataFrame:
+    """Enrolments with ordinals and errors. Store the result, then ``split_enrollments``."""
     schema = string_columns(COLUMNS)
 
     def scan() -> DataFrame:
@@ -63,7 +83,3 @@ def parse_benefits_xml(spark: SparkSession, path: str) -> DataFrame:
         )
 
     return parse_enrollments(with_ordinal(read_or_empty(spark, scan, schema)), "ingest_ordinal")
-
-
-def read_benefits_xml(spark: SparkSession, path: str) -> Parsed:
-    return split_rejects(parse_benefits_xml(spark, path), BENEFITS)

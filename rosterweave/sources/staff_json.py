@@ -8,14 +8,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterweave.config import STAFF_B
 from rosterweave.sources.common import (
     ERROR,
     RAW_RECORD,
     STAFF_B_OFFSET,
-    Parsed,
     read_or_empty,
-    split_rejects,
     with_ordinal,
 )
 
@@ -94,7 +91,7 @@ def flatten_records(records: DataFrame, *keep: str) -> DataFrame:
 
 
 def parse_staff_json(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    """Flattened records with ordinals and errors, not yet split."""
+    """Flattened records with ordinals and errors. Store the result, then ``split_rejects`` it."""
 
     def scan() -> DataFrame:
         return spark.read.option("wholetext", not lines).text(path)
@@ -102,7 +99,3 @@ def parse_staff_json(spark: SparkSession, path: str, lines: bool = False) -> Dat
     text = read_or_empty(spark, scan, "value string")
     records = parse_lines(text) if lines else explode_pages(text)
     return flatten_records(with_ordinal(records, STAFF_B_OFFSET), "ingest_ordinal")
-
-
-def read_staff_json(spark: SparkSession, path: str, lines: bool = False) -> Parsed:
-    return split_rejects(parse_staff_json(spark, path, lines), STAFF_B)

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterweave.config import BENEFITS, STAFF_B, Settings
+from rosterweave.config import STAFF_B, Settings
 from rosterweave.functions import text, values
 from rosterweave.operators import aggregates, align, clean, fuzzy, identity, quality, review
 from rosterweave.operators.keep_one import split_latest
@@ -139,7 +139,9 @@ def staff_pages(spark: SparkSession, folder: str, size: int = 100) -> DataFrame:
 
 
 def parsed_staff(spark, folder):
-    return staff_json.flatten_records(staff_json.explode_pages(staff_pages(spark, folder)))
+    """Stored before it is split, as in the job: text is parsed once."""
+    records = staff_json.explode_pages(staff_pages(spark, folder))
+    return Stage(spark)(staff_json.flatten_records(records), "staff_b")
 
 
 @query
@@ -194,17 +196,19 @@ def raw_enrollments(spark, folder):
 
 
 def parsed_enrollments(spark, folder):
-    return benefits_xml.parse_enrollments(raw_enrollments(spark, folder), "ingest_ordinal")
+    stage = Stage(spark)
+    elements = stage(raw_enrollments(spark, folder), "elements")
+    return stage(benefits_xml.parse_enrollments(elements, "ingest_ordinal"), "benefits")
 
 
 @query
 def enrollment_records(spark, folder):
-    return split_rejects(parsed_enrollments(spark, folder), BENEFITS).rows
+    return benefits_xml.split_enrollments(parsed_enrollments(spark, folder)).rows
 
 
 @query
 def enrollment_dead_letters(spark, folder):
-    rejects = split_rejects(parsed_enrollments(spark, folder), BENEFITS).rejects
+    rejects = benefits_xml.split_enrollments(parsed_enrollments(spark, folder)).rejects
     return rejects.select(
         "source", ERROR,
         F.xpath_string(RAW_RECORD, F.lit("enrollment/plan_type")).alias("plan_type"),
@@ -215,7 +219,7 @@ def enrollment_dead_letters(spark, folder):
 @query
 def dead_letters_by_error(spark, folder):
     both = split_rejects(parsed_staff(spark, folder), STAFF_B).rejects.unionByName(
-        split_rejects(parsed_enrollments(spark, folder), BENEFITS).rejects
+        benefits_xml.split_enrollments(parsed_enrollments(spark, folder)).rejects
     )
     return dead_letter_summary(both)
 
@@ -247,7 +251,8 @@ def enrollment_xml_scan(spark, folder):
     raw_enrollments(spark, folder).drop("ingest_ordinal").write.format("xml").option(
         "rootTag", "benefits"
     ).option("rowTag", "enrollment").save(path)
-    return benefits_xml.read_benefits_xml(spark, path).rows.drop("ingest_ordinal")
+    parsed = Stage(spark)(benefits_xml.parse_benefits_xml(spark, path), "benefits")
+    return benefits_xml.split_enrollments(parsed).rows.drop("ingest_ordinal")
 
 
 @query
