@@ -67,6 +67,9 @@ MISSING_CELLS = [
 HEAVY_ROWS = 1_000_000
 HEAVY_KEYS = 10_000
 
+# Rows a counted table of names may have to be broadcast.
+BROADCAST_ROWS = 100_000
+
 
 @dataclass(frozen=True)
 class Settings:

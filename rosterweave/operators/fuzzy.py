@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterweave.config import STAFF_A, STAFF_B, Settings
+from rosterweave.config import BROADCAST_ROWS, STAFF_A, STAFF_B, Settings
 from rosterweave.functions import similarity
 from rosterweave.functions.text import full_name
 from rosterweave.operators.identity import staff_of
@@ -113,13 +113,14 @@ def _prefixed(side: DataFrame, key: str, prefix: str) -> DataFrame:
 def probable_matches(employees: DataFrame, names: DataFrame, settings: Settings) -> DataFrame:
     """Rows of both companies whose names are a pair of ``names`` and whose dates are close.
 
-    ``names`` should be stored: it decides which rows take part before any is shuffled, by a
-    broadcast if it is small.
+    ``names`` should be stored: it is counted, and if it has few rows, they pick the rows that
+    take part before any is shuffled.
     """
     width, window = _bucket_width(settings), settings.match_window_days
-    a = _side(employees, STAFF_A).join(
-        names.select(F.col("a_key").alias("name_key")).distinct(), "name_key", "left_semi"
-    )
+    a = _side(employees, STAFF_A)
+    if names.count() <= BROADCAST_ROWS:
+        picked = names.select(F.col("a_key").alias("name_key")).distinct()
+        a = a.join(F.broadcast(picked), "name_key", "left_semi")
     b = _side(employees, STAFF_B)
     rows_a = _prefixed(a, "a_key", "gt").withColumn(
         "bucket", _own_bucket(F.col("gt_hire_date"), width)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SKETCH_ACCURACY = 10_000
+SKETCH_ACCURACY = 100_000
 
 
 def exact_quantiles(
