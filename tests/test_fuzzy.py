@@ -69,7 +69,9 @@ def brute_force(rows, threshold, window):
     "threshold,window,heavy",
     [(88, 30, 10**6), (88, 30, 2), (75, 10, 10**6), (60, 30, 10**6), (100, 20, 3)],
 )
-def test_pairs_equal_brute_force(spark, stage, threshold, window, heavy):
+def test_pairs_equal_brute_force(spark, stage, monkeypatch, threshold, window, heavy):
+    if heavy == 2:
+        monkeypatch.setattr(fuzzy, "BROADCAST_ROWS", 0)
     rows = people(threshold + window, 120, 60)
     settings = Settings(REPORT_DATE, match_threshold=threshold, match_window_days=window, heavy_rows=heavy)
     emp = spark.createDataFrame(rows, SCHEMA)
