@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterweave.llm import simhash
+from rosterweave.llm import decontaminate, simhash, substrings
 from rosterweave.llm.common import table
 from rosterweave.plans.staging import Stage
 
@@ -23,3 +23,82 @@ def query(function):
 @query
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), Stage(spark))
+
+
+@query
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substrings.without_repeats(table(spark, sf_dir, "documents"), ["doc_id"])
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE_SQL["op5_substrings"] = """
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+), p AS (
+  SELECT r, i, sha256(array_to_string(list_slice(w, i, i + 34), ' ')) AS k
+  FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)
+), hit AS (
+  SELECT DISTINCT r, unnest(range(i, i + 35)) AS j
+  FROM p WHERE k IN (SELECT k FROM p GROUP BY k HAVING count(*) > 1)
+), gone AS (
+  SELECT r, list(j) AS js FROM hit GROUP BY r
+), kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY j) AS t
+  FROM (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS j FROM d)
+  ANTI JOIN hit USING (r, j)
+  GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+       CAST(coalesce(len(js), 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN gone USING (r) LEFT JOIN kept USING (r)
+"""
+
+
+@query
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = decontaminate.contamination(docs, items, Stage(spark))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+ORACLE_SQL["op8_decontaminate"] = """
+WITH t AS (
+  SELECT 'd' AS kind, row_number() OVER () AS r, doc_id AS id, text FROM documents
+  UNION ALL
+  SELECT 'b', row_number() OVER (), item_id, text FROM benchmark
+), s AS (
+  SELECT kind, r, id, list_filter(
+    regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w
+  FROM t
+), win AS (
+  SELECT DISTINCT id AS item_id, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS k
+  FROM (SELECT id, w, least(len(w), 10) AS n, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i
+        FROM s WHERE kind = 'b' AND len(w) > 0)
+), places AS (
+  SELECT r, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS k
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM s, (SELECT DISTINCT n FROM win) WHERE kind = 'd' AND len(w) >= n)
+), m AS (
+  SELECT r, i, n, item_id FROM places JOIN win USING (n, k)
+), hit AS (
+  SELECT r, count(*) AS n_hit FROM (SELECT DISTINCT r, unnest(range(i, i + n)) FROM m) GROUP BY r
+), names AS (
+  SELECT r, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS items
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS x FROM m) GROUP BY r
+)
+SELECT id AS doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       n_hit IS NOT NULL AS contaminated
+FROM s LEFT JOIN hit USING (r) LEFT JOIN names USING (r) WHERE kind = 'd'
+"""
