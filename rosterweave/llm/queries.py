@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterweave.llm import decontaminate, simhash, substrings
+from rosterweave.llm import bpe, decontaminate, simhash, substrings, token_files
 from rosterweave.llm.common import table
 from rosterweave.plans.staging import Stage
 
@@ -102,3 +102,23 @@ SELECT id AS doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_
        n_hit IS NOT NULL AS contaminated
 FROM s LEFT JOIN hit USING (r) LEFT JOIN names USING (r) WHERE kind = 'd'
 """
+
+
+@query
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = bpe.encoded(table(spark, sf_dir, "documents"), ["doc_id"], decode=True)
+    spelled = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return made.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(spelled, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stage = Stage(spark)
+    path = f"{stage.folder}/tokens"
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path)
+    return token_files.summary(spark, path, stage)
