@@ -4,11 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterweave.llm import bpe, decontaminate, simhash, substrings, token_files
+from rosterweave.llm import (
+    bpe,
+    decontaminate,
+    quality,
+    simhash,
+    substrings,
+    token_files,
+    toxicity,
+)
 from rosterweave.llm.common import table
+from rosterweave.llm.samples import remainder
 from rosterweave.plans.staging import Stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +131,30 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{stage.folder}/tokens"
     token_files.write_token_files(table(spark, sf_dir, "documents"), path)
     return token_files.summary(spark, path, stage)
+
+
+def _judged(scores: DataFrame, held_out: Column, cut: float) -> DataFrame:
+    return scores.select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= cut).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    model = toxicity.train(docs, labels, Stage(spark))
+    held_out = remainder("doc_id", toxicity.FOLDS) == 1
+    return _judged(toxicity.scored(docs, model), held_out, toxicity.CUT)
+
+
+@query
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    forest = quality.train(docs, labels, Stage(spark))
+    held_out = remainder("doc_id", quality.FOLDS) == 0
+    return _judged(quality.scored(docs, forest, ["doc_id"]), held_out, quality.CUT)
