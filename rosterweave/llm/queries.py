@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,11 +10,14 @@ from pyspark.sql import functions as F
 
 from rosterweave.llm import (
     bpe,
+    chat,
     decontaminate,
     quality,
     simhash,
     substrings,
+    token_counts,
     token_files,
+    topk,
     toxicity,
 )
 from rosterweave.llm.common import table
@@ -158,3 +162,72 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     forest = quality.train(docs, labels, Stage(spark))
     held_out = remainder("doc_id", quality.FOLDS) == 0
     return _judged(quality.scored(docs, forest, ["doc_id"]), held_out, quality.CUT)
+
+
+@query
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame(
+        [(-7, 0, "user", odd), (-7, 1, "assistant", odd)], told.schema.simpleString()[7:-1]
+    )
+    return chat.read_back(chat.messages(chat.events_of_turns(told.union(added))))
+
+
+_CONTROL = "|".join(re.escape(c) for c in chat.CONTROLS)
+_FIXED = " ".join(
+    f"WHEN '{role}' THEN {len(head) + len(tail)}" for role, (head, tail) in chat.TEMPLATE.items()
+)
+_OTHER = len(chat.ROLE_OPEN + chat.ROLE_CLOSE + chat.OTHER_CLOSE)
+ORACLE_SQL["op1_chat"] = rf"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), e AS (
+  SELECT *, length(regexp_replace(text, '(\\*)({_CONTROL})', '\1\1\\\2', 'g')) AS body,
+         length(regexp_replace(role, '(\\*)({_CONTROL})', '\1\1\\\2', 'g')) AS name
+  FROM t
+), c AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+         coalesce(string_agg(text, '' ORDER BY turn, role, text)
+                  FILTER (WHERE role = '{chat.TRAINED}'), '') AS loss,
+         sum(body + CASE role {_FIXED} ELSE name + {_OTHER} END) AS chars
+  FROM e GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars,
+       sha256(loss) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars
+FROM c
+"""
+
+
+@query
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asked = F.col("vec_id") % 20 == 0
+    return topk.top_k(table(spark, sf_dir, "embeddings"), asked, Stage(spark))
+
+
+ORACLE_SQL["op4_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+  WHERE q.vec_id % 20 = 0
+)
+SELECT query_id,
+       CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER)
+         AS rank,
+       vec_id, score
+FROM s QUALIFY rank <= 20
+"""
+
+
+@query
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
