@@ -40,7 +40,9 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = substrings.without_repeats(table(spark, sf_dir, "documents"), ["doc_id"])
+    cut = substrings.without_repeats(
+        table(spark, sf_dir, "documents"), ["doc_id"], Stage(spark)
+    )
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 

@@ -5,7 +5,8 @@ Consecutive windows with one minimiser travel as one packed string, a super-k-me
 that minimiser, so equal windows meet in one bucket and each word travels about three times instead
 of ``width`` times. In a bucket the windows are sorted, and equal ones counted exactly.
 
-A string that a task meets twice is settled in that task and travels once, so a passage with very
+Only super-k-mers travel whose minimiser stands elsewhere too, which a count of the minimisers
+tells. A string that a task meets twice is settled in that task and travels once, so a passage with very
 many copies reaches its bucket at most once per task.
 """
 
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterweave.llm.common import map_arrow
+from rosterweave.plans.staging import Stage
 
 WIDTH = 35
 GRAM = 3
@@ -31,6 +33,8 @@ _KEY = ["key_id", "key_text"]
 _TRAVEL = "bucket long, packed binary, key_id long, key_text long, begin int, end int, repeated boolean"
 _TYPES = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
 _NAMES = [part.split()[0] for part in _TRAVEL.split(", ")]
+_MINIMISER = "bucket long, key_id long, key_text long, begin int, end int, times long"
+_MINIMISER_NAMES = [part.split()[0] for part in _MINIMISER.split(", ")]
 _RANGE = "key_id long, key_text long, begin int, end int"
 _ODD = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xFF51AFD7ED558CCD], np.uint64
@@ -66,59 +70,92 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[:-rest], x[rest:]) if rest else x
 
 
-def super_kmers(words: list[bytes], width: int, hashes: dict) -> Iterator[tuple[int, int, int]]:
-    """``minimiser, first word, end word`` of each run of windows with one minimiser."""
+def super_kmers(words: list[bytes], width: int, hashes: dict) -> tuple[np.ndarray, ...]:
+    """``minimiser, begin, end, times`` of each run of windows with one minimiser.
+
+    ``times`` is how often the minimiser stands in the words of the run.
+    """
     gram = min(GRAM, width)
     h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
     grams = h[: len(h) - gram + 1] * _ODD[0]
     for j in range(1, gram):
         grams = grams * _ODD[1] + h[j : len(h) - gram + 1 + j] * _ODD[j % 3]
-    least = _sliding_min(_mixed(grams), width - gram + 1)
-    edge = np.flatnonzero(least[1:] != least[:-1]) + 1
-    edges = [0, *edge.tolist(), len(least)]
-    mins = least.view(np.int64)[edges[:-1]].tolist()
-    for least_of_run, a, b in zip(mins, edges, edges[1:]):
-        for i in range(a, b, _RUN):
-            yield least_of_run, i, min(i + _RUN, b) + width - 1
-
-
-def _packing(width: int):
-    """Texts to super-k-mers. A string met again in the task is an answer: a row without string."""
+    grams = _mixed(grams)
+    least = _sliding_min(grams, width - gram + 1)
+    new = np.r_[True, least[1:] != least[:-1]]
+    begin = np.flatnonzero(new)
+    last = np.r_[begin[1:], len(least)]
+    if len(least) > _RUN and (last - begin).max() > _RUN:
+        since = np.arange(len(least)) - np.repeat(begin, last - begin)
+        begin = np.flatnonzero(since % _RUN == 0)
+        last = np.r_[begin[1:], len(least)]
+    # Grams equal to the minimiser: none in the run is less, so a count of minima will do.
+    span = last - begin + width - gram
+    owner = np.repeat(np.arange(len(begin)), span)
+    spot = np.arange(len(owner)) - np.repeat(np.cumsum(span) - span, span) + begin[owner]
+    times = np.bincount(owner, weights=grams[spot] == least[begin][owner], minlength=len(begin))
+    return least[begin], begin, last + width - 1, times.astype(np.int64)
+
+
+def _minimisers(width: int):
+    """Per text the minimisers of its super-k-mers and where these stand."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held, size, answers = _Hashes(), {}, 0, []
-
-        def flush():
-            rows = [(b, packed, *where, again) for packed, (b, where, again) in held.items()]
-            rows += answers
-            if rows:
-                arrays = [pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)]
-                yield pa.RecordBatch.from_arrays(arrays, _NAMES)
-
+        hashes = _Hashes()
         for batch in batches:
-            columns = (batch[c].to_pylist() for c in ("text", *_KEY))
-            for text, key_id, key_text in zip(*columns):
+            found, counts = [[], [], [], []], []
+            for text in batch["text"].to_pylist():
                 words = text.encode("utf-8", "surrogatepass").split() if text else []
-                if len(words) < width:
-                    continue
-                for bucket, a, b in super_kmers(words, width, hashes):
-                    packed = b" ".join(words[a:b])
-                    first = held.get(packed)
-                    if first is None:
-                        held[packed] = [bucket, (key_id, key_text, a, b), False]
-                        size += len(packed) + 300
-                    else:
-                        first[2] = True
-                        answers.append((key_text, None, key_id, key_text, a, b, True))
-                        size += 300
-                if size > _HELD:
-                    yield from flush()
-                    held, size, answers = {}, 0, []
-        yield from flush()
+                counts.append(0)
+                if len(words) >= width:
+                    for kept, column in zip(found, super_kmers(words, width, hashes)):
+                        kept.append(column)
+                    counts[-1] = len(found[0][-1])
+            if not found[0]:
+                continue
+            mins, begin, end, times = map(np.concatenate, found)
+            keys = [np.repeat(batch[k].to_numpy(), counts) for k in _KEY]
+            columns = [mins.view(np.int64), *keys, begin.astype(np.int32), end.astype(np.int32), times]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], _MINIMISER_NAMES)
 
     return run
 
 
+def _packing(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts and their runs to packed strings.
+
+    A string met again in the task is an answer: it travels as a row without a string.
+    """
+    held, size, answers = {}, 0, []
+
+    def flush():
+        rows = [(b, packed, *where, again) for packed, (b, where, again) in held.items()]
+        rows += answers
+        if rows:
+            arrays = [pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)]
+            yield pa.RecordBatch.from_arrays(arrays, _NAMES)
+
+    for batch in batches:
+        columns = (batch[c].to_pylist() for c in ("text", "runs", *_KEY))
+        for text, runs, key_id, key_text in zip(*columns):
+            words = text.encode("utf-8", "surrogatepass").split()
+            for run in runs:
+                a, b = run["begin"], run["end"]
+                packed = b" ".join(words[a:b])
+                first = held.get(packed)
+                if first is None:
+                    held[packed] = [run["bucket"], (key_id, key_text, a, b), False]
+                    size += len(packed) + 300
+                else:
+                    first[2] = True
+                    answers.append((key_text, None, key_id, key_text, a, b, True))
+                    size += 300
+            if size > _HELD:
+                yield from flush()
+                held, size, answers = {}, 0, []
+    yield from flush()
+
+
 def repeated_windows(strings: list[bytes], weights: np.ndarray, width: int) -> list[np.ndarray]:
     """Per string, whether each of its windows occurs twice or more in all the strings.
 
@@ -226,12 +263,19 @@ def _keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def repeated_ranges(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+def repeated_ranges(keyed: DataFrame, stage: Stage, width: int = WIDTH) -> DataFrame:
     """``key_id, key_text, ranges``: word ranges inside repeated windows, for texts that have any."""
-    packed = map_arrow(_keyed(docs).select("text", *_KEY), _packing(width), _TRAVEL)
+    found = map_arrow(keyed.select("text", *_KEY), _minimisers(width), _MINIMISER)
+    found = stage(found, "minimisers")
+    # Equal windows have equal minimisers: one that stands once in all texts needs no bucket.
+    met = found.groupBy("bucket").agg(F.sum("times").alias("n")).where("n > 1").select("bucket")
+    runs = found.join(met, "bucket").select("bucket", *_KEY, "begin", "end")
+    runs = runs.groupBy(*_KEY).agg(F.collect_set(F.struct("bucket", "begin", "end")).alias("runs"))
+    suspects = keyed.join(runs, _KEY).select("text", "runs", *_KEY)
+    packed = map_arrow(suspects, _packing, _TRAVEL)
     sorted_buckets = packed.repartition("bucket").sortWithinPartitions("bucket")
-    found = map_arrow(sorted_buckets, _counting(width), _RANGE)
-    return found.groupBy(*_KEY).agg(F.collect_list(F.struct("begin", "end")).alias("ranges"))
+    ranges = map_arrow(sorted_buckets, _counting(width), _RANGE)
+    return ranges.groupBy(*_KEY).agg(F.collect_list(F.struct("begin", "end")).alias("ranges"))
 
 
 def _cutting(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,7 +302,9 @@ def _cutting(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def without_repeats(docs: DataFrame, columns: list[str], width: int = WIDTH) -> DataFrame:
+def without_repeats(
+    docs: DataFrame, columns: list[str], stage: Stage, width: int = WIDTH
+) -> DataFrame:
     """``columns`` of ``docs`` with ``n_words, n_removed, kept`` per row.
 
     Words are separated by ASCII white space. Each word goes that lies in a window of ``width``
@@ -267,8 +313,9 @@ def without_repeats(docs: DataFrame, columns: list[str], width: int = WIDTH) ->
     window keep all. Repeated rows are repeats of each other. Columns may have any names: only
     ``doc_id`` and ``text`` are looked at, and ``columns`` are what comes back.
     """
-    carried = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)], "doc_id", "text")
-    joined = _keyed(carried).join(repeated_ranges(docs, width), _KEY, "left").drop(*_KEY, "doc_id")
+    carried = [F.col(c).alias(f"c{i}") for i, c in enumerate(columns)]
+    keyed = _keyed(docs.select(*carried, "doc_id", "text")).drop("doc_id")
+    joined = keyed.join(repeated_ranges(keyed, stage, width), _KEY, "left").drop(*_KEY)
     kinds = ", ".join(
         f"{f.name} {f.dataType.simpleString()}" for f in joined.drop("ranges").schema.fields
     )
