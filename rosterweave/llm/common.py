@@ -8,7 +8,7 @@ from collections.abc import Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _PACKAGE = Path(__file__).resolve().parent.parent
@@ -48,3 +48,22 @@ def rows(batches: Iterable[pa.RecordBatch], *columns: str) -> Iterator[tuple]:
     """Rows of Arrow batches as tuples, a batch in memory at a time."""
     for batch in batches:
         yield from zip(*(batch.column(c).to_pylist() for c in columns))
+
+
+def text_mark() -> Column:
+    """Hash of ``text`` that, next to the id, tells rows with one id apart."""
+    return F.xxhash64("text").alias("mark")
+
+
+def rows_of(docs: DataFrame, keys: DataFrame, how: str, distinct: bool = False) -> DataFrame:
+    """Rows of ``docs`` whose ``doc_id`` and text are (or are not) among ``keys (doc_id, mark)``.
+
+    ``how`` is left_semi or left_anti. With ``distinct`` rows with equal ids and texts leave one.
+    """
+    id_, none, mark = (f"_key_{x}" for x in ("id", "none", "mark"))
+    named = {id_: F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), none: F.col("doc_id").isNull()}
+    wanted = keys.withColumns(named).select(id_, none, F.col("mark").alias(mark))
+    kept = docs.withColumns(named | {mark: text_mark()}).join(wanted, [id_, none, mark], how)
+    if distinct:
+        kept = kept.dropDuplicates([id_, none, mark])
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rosterweave.llm.common import numbered
+from rosterweave.llm.common import numbered, text_mark
 from rosterweave.plans.staging import Stage
 
 WINDOW = 10
@@ -42,7 +42,7 @@ def _small(df: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Index:
-    """``postings (term, row, pos)`` of the wanted terms; ``documents (row, doc_id, n_words)``."""
+    """``postings (term, row, pos)`` of the wanted terms; ``documents (row, doc_id, mark, n_words)``."""
 
     postings: DataFrame
     documents: DataFrame
@@ -52,15 +52,18 @@ def build_index(docs: DataFrame, terms: DataFrame, stage: Stage) -> Index:
     """Index of the whole texts of ``docs (doc_id, text)`` for ``terms (term)``, all distinct."""
     wanted = _small(stage(terms.union(terms.sparkSession.sql("select '' as term")), "terms"))
     spots = F.posexplode(F.array_append(words("text"), "")).alias("pos", "term")
-    placed = numbered(docs, "doc_id", "text").select("row", "doc_id", spots).join(wanted, "term")
+    placed = numbered(docs, "doc_id", "text").select("row", "doc_id", text_mark(), spots)
+    placed = placed.join(wanted, "term")
     of_length = F.col("term") == ""
     stored = stage(
-        placed.select("term", "row", "pos", F.when(of_length, F.col("doc_id")).alias("doc_id")),
+        placed.select(
+            "term", "row", "pos", *[F.when(of_length, F.col(c)).alias(c) for c in ("doc_id", "mark")]
+        ),
         "postings",
     )
     return Index(
         stored.where(~of_length).select("term", "row", "pos"),
-        stored.where(of_length).select("row", "doc_id", F.col("pos").alias("n_words")),
+        stored.where(of_length).select("row", "doc_id", "mark", F.col("pos").alias("n_words")),
     )
 
 
@@ -122,7 +125,7 @@ def phrase_matches(
 def contamination(
     docs: DataFrame, items: DataFrame, stage: Stage, width: int = WINDOW
 ) -> DataFrame:
-    """``doc_id, n_words, n_hit, items, contaminated`` per row of ``docs (doc_id, text, ...)``.
+    """``doc_id, mark, n_words, n_hit, items, contaminated`` per row of ``docs (doc_id, text, ...)``.
 
     ``n_hit`` counts the words inside any occurrence of a window of ``items (item_id, text)``;
     ``items`` are the ids, as strings in order, of those with windows that occur. Null texts and
@@ -149,6 +152,7 @@ def contamination(
         .join(names, "row", "left")
         .select(
             "doc_id",
+            "mark",
             F.col("n_words").cast("long").alias("n_words"),
             F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
             F.coalesce("items", none).alias("items"),

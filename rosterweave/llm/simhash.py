@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterweave.llm.common import map_arrow
+from rosterweave.llm.common import map_arrow, rows_of, text_mark
 from rosterweave.llm.components import components
 from rosterweave.plans.staging import Stage
 
@@ -57,16 +57,18 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, fp`` per row of ``docs``; ``fp`` holds the 64 bits as a signed long."""
+    """``doc_id, mark, fp`` per row of ``docs``; ``fp`` holds the 64 bits as a signed long."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = np.array([fingerprint(t, shingle) for t in batch["text"].to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"].cast(pa.int64()), pa.array(made.view(np.int64))], ["doc_id", "fp"]
+                [batch["doc_id"], batch["mark"], pa.array(made.view(np.int64))],
+                ["doc_id", "mark", "fp"],
             )
 
-    return map_arrow(docs.select("doc_id", "text"), run, "doc_id long, fp long")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_mark(), "text")
+    return map_arrow(texts, run, "doc_id long, mark long, fp long")
 
 
 def _cells(nodes: DataFrame) -> DataFrame:
@@ -170,6 +172,19 @@ def links(nodes: DataFrame) -> DataFrame:
     return map_arrow(cells, _cell_links, "a long, b long")
 
 
+def _grouped(docs: DataFrame, stage: Stage, shingle: int) -> tuple[DataFrame, DataFrame]:
+    """Stored ``doc_id, mark, fp`` per row, and ``fp, root, component_id`` per fingerprint."""
+    prints = stage(fingerprints(docs, shingle), "fingerprints")
+    nodes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
+    roots = components(links(nodes.select("fp")), stage)
+    rooted = nodes.join(roots, F.col("fp") == F.col("node"), "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root")
+    )
+    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    joined = rooted.join(named, "root").select("fp", "root", "component_id")
+    return prints, stage(joined, "components")
+
+
 def near_duplicates(docs: DataFrame, stage: Stage, shingle: int = SHINGLE) -> DataFrame:
     """``doc_id, fingerprint, component_id`` per row of ``docs (doc_id, text, ...)``.
 
@@ -177,15 +192,19 @@ def near_duplicates(docs: DataFrame, stage: Stage, shingle: int = SHINGLE) -> Da
     the fingerprint 0, which is linked like any other. A null doc_id gets its row; a component of
     such rows only is named null. Repeated rows stay repeated. No rows give no rows.
     """
-    prints = stage(fingerprints(docs, shingle), "fingerprints")
-    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    nodes = stage(nodes, "nodes")
-    roots = components(links(nodes.select("fp")), stage)
-    rooted = nodes.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = stage(rooted.join(named, "root").select("fp", "component_id"), "components")
+    prints, named = _grouped(docs, stage, shingle)
     return prints.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def one_of_each(docs: DataFrame, stage: Stage, shingle: int = SHINGLE) -> DataFrame:
+    """Rows of ``docs``, all columns: of each component the row with the smallest doc_id stays.
+
+    A null doc_id counts as the largest; equal ids with different texts are told apart by a hash
+    of the text. Repeated rows leave one.
+    """
+    prints, named = _grouped(docs, stage, shingle)
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")
+    first = prints.join(named, "fp").groupBy("root").agg(F.min(key).alias("kept"))
+    return rows_of(docs, first.select("kept.doc_id", "kept.mark"), "left_semi", distinct=True)
