@@ -13,6 +13,7 @@ from rosterweave.config import (
     STANDARD_COLUMNS,
 )
 from rosterweave.functions.text import relabel
+from rosterweave.functions.values import MONTH_NAME_DATE
 
 COLUMNS = ["ingest_ordinal", *STANDARD_COLUMNS]
 
@@ -37,6 +38,9 @@ def align_staff_a(staff: DataFrame) -> DataFrame:
 
 
 def align_staff_b(staff: DataFrame) -> DataFrame:
+    """Of a time stamp the date is kept; a date in the third layout has eleven characters."""
+    hired = F.col("hire_timestamp")
+    whole = F.when(hired.rlike(MONTH_NAME_DATE), hired).otherwise(F.substring(hired, 1, 10))
     return staff.select(
         "ingest_ordinal",
         F.col("employee_identifier").alias("employee_id"),
@@ -46,7 +50,7 @@ def align_staff_b(staff: DataFrame) -> DataFrame:
         "email",
         "department",
         F.col("role").alias("job_title"),
-        F.substring("hire_timestamp", 1, 10).alias("hire_date"),
+        whole.alias("hire_date"),
         F.col("location").alias("country"),
         relabel(F.col("employment_type"), EMPLOYMENT_TYPE_CODES).alias("employment_type"),
         "employment_status",

@@ -3,23 +3,28 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rosterweave.config import STAFF_B
+from rosterweave.config import BENEFITS, STAFF_A, STAFF_B
 from rosterweave.operators.align import align
 from rosterweave.plans.staging import Stage
 from rosterweave.sources.benefits_xml import parse_benefits_xml, split_enrollments
 from rosterweave.sources.common import split_rejects
 from rosterweave.sources.payroll import read_payroll
 from rosterweave.sources.staff_csv import read_staff_csv
-from rosterweave.sources.staff_json import parse_staff_json
+from rosterweave.sources.staff_json import expected_records, parse_staff_json
 
 
 @dataclass(frozen=True)
 class Sources:
-    """Paths of the four sources; each may be a file, a folder or a pattern."""
+    """Paths of the four sources; each may be a file, a folder or a pattern.
+
+    ``csv_multiline`` lets quoted CSV cells hold line breaks, at the price of one task per file.
+    """
 
     staff_csv: str
     staff_json: str
@@ -27,6 +32,8 @@ class Sources:
     benefits_xml: str
     staff_json_lines: bool = False
     payroll_format: str = "csv"
+    csv_encoding: str = "UTF-8"
+    csv_multiline: bool = True
 
 
 class Ingested(NamedTuple):
@@ -34,22 +41,57 @@ class Ingested(NamedTuple):
     payroll: DataFrame
     benefits: DataFrame
     dead_letters: DataFrame
+    report: DataFrame
+
+
+def ingest_report(
+    read: dict[str, DataFrame], rejects: DataFrame, expected: DataFrame
+) -> DataFrame:
+    """``source, rows_read, dead_letters, expected_records`` per source.
+
+    Only the page documents of staff B say how many records they hold.
+    """
+    counts = reduce(
+        DataFrame.unionByName,
+        [
+            df.agg(F.count(F.lit(1)).alias("rows_read")).select(F.lit(name).alias("source"), "rows_read")
+            for name, df in read.items()
+        ],
+    )
+    dead = rejects.groupBy("source").agg(F.count(F.lit(1)).alias("dead_letters"))
+    said = expected.agg(F.sum("total_records").alias("expected_records")).select(
+        F.lit(STAFF_B).alias("source"), "expected_records"
+    )
+    joined = counts.join(dead, "source", "left").join(said, "source", "left")
+    return joined.na.fill(0, ["dead_letters"])
 
 
 def ingest_all(spark: SparkSession, sources: Sources, stage: Stage) -> Ingested:
     """Text is parsed once: the tables are stored with their ordinals and errors, then split."""
-    staff_a = stage(read_staff_csv(spark, sources.staff_csv), "staff_a")
+    csv = sources.csv_encoding, sources.csv_multiline
+    staff_a = stage(read_staff_csv(spark, sources.staff_csv, *csv), "staff_a")
     staff_b = split_rejects(
         stage(parse_staff_json(spark, sources.staff_json, sources.staff_json_lines), "staff_b"),
         STAFF_B,
     )
-    payroll = stage(read_payroll(spark, sources.payroll, sources.payroll_format), "payroll")
+    payroll = stage(
+        read_payroll(spark, sources.payroll, sources.payroll_format, *csv), "payroll"
+    )
     benefits = split_enrollments(
         stage(parse_benefits_xml(spark, sources.benefits_xml), "benefits")
     )
+    rejects = staff_b.rejects.unionByName(benefits.rejects)
+    rows = {
+        STAFF_A: staff_a, STAFF_B: staff_b.rows, "payroll": payroll, BENEFITS: benefits.rows
+    }
+    if sources.staff_json_lines:
+        expected = spark.createDataFrame([], "file string, total_records long")
+    else:
+        expected = expected_records(spark, sources.staff_json)
     return Ingested(
         align(staff_a, staff_b.rows),
         payroll,
         benefits.rows,
-        staff_b.rejects.unionByName(benefits.rejects),
+        rejects,
+        stage(ingest_report(rows, rejects, expected), "ingest_report"),
     )

@@ -49,7 +49,7 @@ def integrate(
     resolved = resolve_all(employees, payroll, benefits, settings, stage)
     report = stage(validate_all(resolved, settings), "quality_report")
     tables.write_quality_report(report, settings, out)
-    tables.write_stage_reports(cleaned.reports, resolved.reports, out)
+    tables.write_stage_reports(ingested.report, cleaned.reports, resolved.reports, out)
     tables.write_dead_letters(ingested.dead_letters, out)
 
     passed = quality.gate(report, settings.max_failed_checks)

@@ -91,7 +91,10 @@ def write_quality_report(report: DataFrame, settings: Settings, out: str) -> Non
     )
 
 
-def write_stage_reports(clean_reports: DataFrame, pass_reports: DataFrame, out: str) -> None:
+def write_stage_reports(
+    ingest_report: DataFrame, clean_reports: DataFrame, pass_reports: DataFrame, out: str
+) -> None:
+    _parquet(ingest_report.coalesce(1), f"{out}/reports/ingest")
     _parquet(clean_reports.coalesce(1), f"{out}/reports/clean")
     _parquet(pass_reports.coalesce(1), f"{out}/reports/passes")
 

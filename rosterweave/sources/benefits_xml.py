@@ -20,6 +20,9 @@ from rosterweave.sources.common import (
 TEXTS = ["employee_id", "plan_type", "coverage_level", "enrollment_date"]
 PREMIUMS = ["premium_employee", "premium_employer"]
 COLUMNS = TEXTS + PREMIUMS
+# What children of other names hold, as XML text without their tags, and the whole text of an element that cannot be read.
+OTHERS, UNREADABLE = "other_children", "unreadable"
+BAD_ELEMENT = "Element is not well-formed"
 
 # Fixed value: number texts beyond plain decimals (any case, single underscores in digits).
 SPECIAL_NUMBER = (
@@ -47,8 +50,15 @@ def parse_enrollments(elements: DataFrame, *keep: str) -> DataFrame:
         *[F.coalesce(strip(F.col(c)), F.lit("")).alias(c) for c in TEXTS],
         *[_premium(F.col(c)).alias(c) for c in PREMIUMS],
         F.struct(*COLUMNS).alias("_element"),
+        *[
+            (F.col(c) if c in elements.columns else F.lit(None).cast(kind)).alias(c)
+            for c, kind in ((OTHERS, "array<string>"), (UNREADABLE, "string"))
+        ],
     )
-    errors = [F.when(F.col("employee_id") == "", "empty employee_id")]
+    errors = [
+        F.when(F.col(UNREADABLE).isNotNull(), BAD_ELEMENT),
+        F.when(F.col("employee_id") == "", "empty employee_id"),
+    ]
     for c in PREMIUMS:
         text = F.col("_element")[c]
         message = F.concat(F.lit("could not convert string to float: '"), text, F.lit("'"))
@@ -58,26 +68,37 @@ def parse_enrollments(elements: DataFrame, *keep: str) -> DataFrame:
         *keep,
         *COLUMNS,
         error.alias(ERROR),
-        F.when(error.isNotNull(), F.col("_element")).alias(RAW_RECORD),
+        F.when(error.isNotNull(), F.struct("_element", OTHERS, UNREADABLE)).alias(RAW_RECORD),
     )
 
 
 def split_enrollments(parsed: DataFrame) -> Parsed:
     """Only dead letters are turned back into XML text."""
     split = split_rejects(parsed, BENEFITS)
-    raw = F.to_xml(RAW_RECORD, {"rowTag": "enrollment", "indent": ""})
+    known = F.to_xml(f"{RAW_RECORD}._element", {"rowTag": "enrollment", "indent": ""})
+    tagged = F.transform(f"{RAW_RECORD}.{OTHERS}", lambda x: F.concat(F.lit("<other>"), x, F.lit("</other>")))
+    others = F.coalesce(F.array_join(tagged, ""), F.lit(""))
+    whole = F.concat(F.regexp_replace(known, r"\s*</enrollment>$", ""), others, F.lit("</enrollment>"))
+    raw = F.coalesce(f"{RAW_RECORD}.{UNREADABLE}", whole)
     return Parsed(split.rows, split.rejects.withColumn(RAW_RECORD, raw))
 
 
 def parse_benefits_xml(spark: SparkSession, path: str) -> DataFrame:
-    """Enrolments with ordinals and errors. Store the result, then ``split_enrollments``."""
-    schema = string_columns(COLUMNS)
+    """Enrolments with ordinals and errors. Store the result, then ``split_enrollments``.
+
+    An element that is not well-formed is an error with its text, whatever could be read of it.
+    The parser takes files apart by row tag, so damage stays within an element.
+    """
+    schema = f"{string_columns(COLUMNS)}, {OTHERS} array<string>, {UNREADABLE} string"
 
     def scan() -> DataFrame:
         return (
             spark.read.format("xml")
             .option("rowTag", "enrollment")
             .option("ignoreSurroundingSpaces", False)
+            .option("useLegacyXMLParser", True)
+            .option("wildcardColName", OTHERS)
+            .option("columnNameOfCorruptRecord", UNREADABLE)
             .schema(schema)
             .load(path)
         )

@@ -16,9 +16,15 @@ COLUMNS = [
 ]
 
 
-def read_payroll(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+def read_payroll(
+    spark: SparkSession,
+    path: str,
+    fmt: str = "csv",
+    encoding: str = "UTF-8",
+    multiline: bool = True,
+) -> DataFrame:
     if fmt == "csv":
-        table = read_csv_table(spark, path, COLUMNS)
+        table = read_csv_table(spark, path, COLUMNS, encoding, multiline)
     else:
         scan = read_or_empty(
             spark, lambda: spark.read.format(fmt).load(path), string_columns(COLUMNS)

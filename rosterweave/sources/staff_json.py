@@ -54,29 +54,63 @@ def missing_field(record: Column, path: str) -> Column:
     return F.when(_leaf(record, path).isNull(), absent)
 
 
-def explode_pages(pages: DataFrame) -> DataFrame:
-    """Records of page documents ``{"employees": [...]}`` held in the text column ``value``.
+# What is read of a page: its records stay text, so a page may be larger than a VARIANT.
+PAGE = "total_records long, employees array<string>, _unreadable string"
+_PAGE_OPTIONS = {"columnNameOfCorruptRecord": "_unreadable"}
+BAD_PAGE = "Page is not JSON with a list under 'employees'"
+BAD_RECORD = "Record is not JSON"
 
-    A page that is not JSON, or has no list under ``employees``, yields no records.
+
+def explode_pages(pages: DataFrame, *keep: str) -> DataFrame:
+    """``record, text, fault`` of page documents ``{"employees": [...]}`` in the column ``value``.
+
+    A page that is not JSON, or has no list under ``employees``, is one row with its text and a
+    fault; so is a record that cannot be read. A page with an empty list has no rows.
     """
-    document = pages.select(F.try_parse_json("value").alias("_page"))
-    is_list = F.try_variant_get("_page", "$.employees[0]", "variant").isNotNull()
-    return (
-        document.where(is_list)
-        .select(F.try_variant_get("_page", "$.employees", "array<variant>").alias("_records"))
-        .select(F.explode("_records").alias("record"))
+    page = F.from_json("value", PAGE, _PAGE_OPTIONS)
+    opened = pages.select(*keep, "value", page.alias("_page"))
+    usable = F.col("_page._unreadable").isNull() & F.col("_page.employees").isNotNull()
+
+    def item(text: Column, fault: Column) -> Column:
+        return F.struct(text.alias("text"), fault.alias("fault"))
+
+    none = F.lit(None).cast("string")
+    records = F.transform("_page.employees", lambda x: item(x, none))
+    items = F.when(usable, records).otherwise(F.array(item(F.col("value"), F.lit(BAD_PAGE))))
+    texts = opened.select(*keep, F.explode(items).alias("_item")).select(*keep, "_item.*")
+    return _parsed_records(texts, *keep)
+
+
+def parse_lines(lines: DataFrame, *keep: str) -> DataFrame:
+    """``record, text, fault`` of JSON lines in the column ``value``, files split; blank lines go."""
+    texts = lines.where(F.trim("value") != "").select(
+        *keep, F.col("value").alias("text"), F.lit(None).cast("string").alias("fault")
     )
+    return _parsed_records(texts, *keep)
 
 
-def parse_lines(lines: DataFrame) -> DataFrame:
-    """Records of JSON-lines text in the column ``value``: one record per row, files split."""
-    return lines.select(F.try_parse_json("value").alias("record")).where(
-        F.col("record").isNotNull()
+def _parsed_records(texts: DataFrame, *keep: str) -> DataFrame:
+    record = F.when(F.col("fault").isNull(), F.try_parse_json("text"))
+    return texts.select(*keep, record.alias("record"), "text", "fault").withColumn(
+        "fault", F.when(F.col("record").isNull(), F.coalesce("fault", F.lit(BAD_RECORD)))
     )
 
 
+def expected_records(spark: SparkSession, path: str) -> DataFrame:
+    """``file, total_records``: how many records each page document says it has."""
+
+    def scan() -> DataFrame:
+        pages = spark.read.schema("total_records long").json(path, multiLine=True)
+        return pages.select(F.col("_metadata.file_path").alias("file"), "total_records")
+
+    return read_or_empty(spark, scan, "file string, total_records long")
+
+
 def flatten_records(records: DataFrame, *keep: str) -> DataFrame:
-    """Twelve text columns, and an error with the raw record where a required field is absent."""
+    """Twelve text columns, and an error with the raw record where a required field is absent.
+
+    A fault of the record or its page is the error; the raw record is then the text as it came.
+    """
     record = F.col("record")
     fields = [_leaf(record, p, "string").alias(c) for c, p in REQUIRED.items()]
     fields += [
@@ -84,17 +118,17 @@ def flatten_records(records: DataFrame, *keep: str) -> DataFrame:
         F.when(_leaf(record, p).isNull(), "").otherwise(_leaf(record, p, "string")).alias(c)
         for c, p in OPTIONAL.items()
     ]
-    error = F.coalesce(*[missing_field(record, p) for p in REQUIRED.values()])
-    flat = records.select(*keep, *fields, error.alias(ERROR), "record")
-    raw = F.when(F.col(ERROR).isNotNull(), F.to_json("record"))
-    return flat.withColumn(RAW_RECORD, raw).drop("record")
+    error = F.coalesce("fault", *[missing_field(record, p) for p in REQUIRED.values()])
+    flat = records.select(*keep, *fields, error.alias(ERROR), "record", "text")
+    raw = F.when(F.col(ERROR).isNotNull(), F.coalesce(F.to_json("record"), "text", F.lit("null")))
+    return flat.withColumn(RAW_RECORD, raw).drop("record", "text")
 
 
 def parse_staff_json(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Flattened records with ordinals and errors. Store the result, then ``split_rejects`` it."""
 
     def scan() -> DataFrame:
-        return spark.read.option("wholetext", not lines).text(path)
+        return spark.read.text(path, wholetext=not lines)
 
     text = read_or_empty(spark, scan, "value string")
     records = parse_lines(text) if lines else explode_pages(text)

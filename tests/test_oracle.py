@@ -2,10 +2,10 @@ from pathlib import Path
 
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from workload.oracle import ORACLE_SQL
 from rosterweave.operators import fuzzy
 from tools.check_oracle import rows_of
-from workload.queries import SETTINGS, exact
+from workload.queries import QUERIES, SETTINGS, exact
 
 FOLDER = "/root/testdata/sf0.001"
 NAMES = [
@@ -16,7 +16,7 @@ needs_data = pytest.mark.skipif(not Path(FOLDER).exists(), reason="driver tables
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
 
 
 @needs_data
@@ -26,8 +26,8 @@ def test_query_equals_its_sql(spark, name):
     db = duckdb.connect()
     for path in Path(FOLDER).glob("*.parquet"):
         db.sql(f"create view {path.stem} as select * from '{path}'")
-    df = queries()[name](spark, FOLDER)
-    want = db.sql(oracle_sql()[name])
+    df = QUERIES[name](spark, FOLDER)
+    want = db.sql(ORACLE_SQL[name])
     assert sorted(df.columns) == sorted(want.columns)
     assert rows_of(df.columns, df.collect()) == rows_of(want.columns, want.fetchall())
 

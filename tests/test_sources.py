@@ -1,8 +1,10 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from rosterweave.config import STAFF_B
+from rosterweave.functions.values import parse_hire_date
 from rosterweave.operators import align
 from rosterweave.sources import benefits_xml, payroll, staff_csv, staff_json
 from rosterweave.sources.common import dead_letter_summary, split_rejects
@@ -48,7 +50,7 @@ def test_csv_ordinals_follow_the_file_across_splits(spark, tmp_path):
     try:
         spark.conf.set("spark.sql.files.maxPartitionBytes", 16000)
         spark.conf.set("spark.sql.files.openCostInBytes", 1000)
-        table = staff_csv.read_staff_csv(spark, str(path))
+        table = staff_csv.read_staff_csv(spark, str(path), multiline=False)
         assert table.rdd.getNumPartitions() > 3
         ids = [int(r.employee_id) for r in table.orderBy("ingest_ordinal").collect()]
     finally:
@@ -99,13 +101,74 @@ def test_json_leaves_absent_null_and_wrong_parent(spark, tmp_path):
     assert [r.full_name for r in rows] == ["Ann Lee", "Ann Lee", "", "Ann Lee"]
     rejects = parsed.rejects.collect()
     assert sorted(r.error for r in rejects) == sorted([
+        staff_json.BAD_PAGE, staff_json.BAD_PAGE, staff_json.BAD_PAGE,
         "Missing field: 'employee_identifier'", "Missing field: 'last'",
         "Missing field: 'name' is not an object", "Missing field: 'assignment' is not an object",
         "Missing field: 'employment' is not an object",
     ])
-    assert all(json.loads(r.raw_record) for r in rejects)
+    assert {r.raw_record for r in rejects if r.error == staff_json.BAD_PAGE} == {
+        '{"employees": [', '{"employees": {"a": 1}}', '{"total_records": 0}'
+    }
+    assert all(json.loads(r.raw_record) for r in rejects if r.error != staff_json.BAD_PAGE)
     summary = {r.error: r["count"] for r in dead_letter_summary(parsed.rejects).collect()}
-    assert summary["Missing field: 'last'"] == 1 and len(summary) == 5
+    assert summary["Missing field: 'last'"] == 1 and len(summary) == 6
+
+
+def test_indented_pages_and_their_counts(spark, tmp_path):
+    page = {"total_records": 3, "employees": [record(employee_identifier=f"ACQ_{i}") for i in range(3)]}
+    (tmp_path / "p.json").write_text(json.dumps(page, indent=2))
+    rows = staff_json.parse_staff_json(spark, str(tmp_path)).orderBy("ingest_ordinal").collect()
+    assert [r.employee_identifier for r in rows] == ["ACQ_0", "ACQ_1", "ACQ_2"]
+    assert [r.total_records for r in staff_json.expected_records(spark, str(tmp_path)).collect()] == [3]
+
+
+def test_page_larger_than_a_variant(spark):
+    one = json.dumps(record())
+    n = 140_000_000 // len(one)
+    page = spark.range(1).selectExpr(f"""concat('{{"employees":[', array_join(array_repeat('{one}', {n}), ','), ']}}') as value""")
+    assert staff_json.explode_pages(page).where("fault is null").count() == n
+
+
+def test_lines_that_cannot_be_read_are_dead_letters(spark, tmp_path):
+    good, twice = json.dumps(record()), '{"a": 1, "a": 2}'
+    (tmp_path / "a.jsonl").write_text("\n".join([good, good[:50], "", twice, good]))
+    parsed = split_rejects(staff_json.parse_staff_json(spark, str(tmp_path), lines=True), STAFF_B)
+    assert parsed.rows.count() == 2
+    got = {(r.error, r.raw_record) for r in parsed.rejects.collect()}
+    assert got == {(staff_json.BAD_RECORD, good[:50]), (staff_json.BAD_RECORD, twice)}
+
+
+def test_csv_line_breaks_and_column_orders(spark, tmp_path):
+    (tmp_path / "1.csv").write_text(HEADER + '1,Ann,"Le\ne",a@b.co,Sales,Rep,2018-03-05,Peru,Temp,Active,2\n')
+    turned = ",".join(reversed(HEADER.strip().split(",")))
+    (tmp_path / "2.csv").write_text(turned + "\n3,Active,Temp,Peru,2018-03-05,Rep,Sales,b@b.co,Li,Bob,2\n")
+    rows = sorted(staff_csv.read_staff_csv(spark, str(tmp_path)).collect(), key=lambda r: r.employee_id)
+    assert [(r.employee_id, r.last_name, r.manager_id) for r in rows] == [("1", "Le\ne", "2"), ("2", "Li", "3")]
+
+
+def test_xml_damage_stays_in_its_element(spark, tmp_path):
+    bad = "<enrollment><employee_id>2</employee_id><plan_type>A &bad; </plan_type><premium_employee>5</premium_employee></enrollment>"
+    (tmp_path / "b.xml").write_text(
+        "<root><enrollment><employee_id>1</employee_id></enrollment>" + bad
+        + "<enrollment><employee_id> </employee_id><note>keep <b>me</b></note></enrollment>"
+        + "<enrollment><employee_id>3</employee_id></enrollment></root>")
+    parsed = benefits_xml.split_enrollments(benefits_xml.parse_benefits_xml(spark, str(tmp_path)))
+    assert sorted(r.employee_id for r in parsed.rows.collect()) == ["1", "3"]
+    raw = {r.error: r.raw_record for r in parsed.rejects.collect()}
+    assert raw[benefits_xml.BAD_ELEMENT] == bad
+    assert "keep <b>me</b>" in raw["empty employee_id"]
+
+
+def test_dates_of_company_b_in_all_layouts(spark):
+    rows = [("2018-03-05T09:00:00Z",), ("15-Mar-2018",), ("03/15/2018",), (None,)]
+    staff = spark.createDataFrame([record() for _ in rows], "employee_identifier string").select(
+        "employee_identifier", *[F.lit("x").alias(c) for c in (
+            "first_name", "last_name", "email", "department", "role", "location",
+            "employment_type", "employment_status", "manager_employee_id")])
+    dated = staff.limit(1).crossJoin(spark.createDataFrame(rows, "hire_timestamp string"))
+    got = align.align_staff_b(dated.withColumn("ingest_ordinal", F.lit(1)))
+    parsed = got.select(parse_hire_date(F.col("hire_date")).cast("string").alias("d")).collect()
+    assert [r.d for r in parsed] == ["2018-03-05", "2018-03-15", "2018-03-15", None]
 
 
 def test_json_lines_give_the_same_rows(spark, tmp_path):

@@ -42,12 +42,15 @@ select 1000000000 + s.s_suppkey as ingest_ordinal,
     case when s.s_suppkey % 10 = 0 then concat('ACQ_DUP_', lpad(cast(s.s_suppkey + 1 as string),5,'0'))
       when s.s_suppkey % 10 = 4 then concat('ACQ_DUP_', lpad(cast(s.s_suppkey - 1 as string),5,'0'))
       when s.s_suppkey % 10 = 6 then concat('ACQ_', lpad(cast(s.s_suppkey - 1 as string),5,'0'))
+      when s.s_suppkey % 10 = 9 then concat('ACQ_', lpad(cast(s.s_suppkey + 90000 as string),5,'0'))
       else concat('ACQ_', lpad(cast(s.s_suppkey as string),5,'0')) end as employee_identifier,
     case when s.s_suppkey % 10 = 0 then concat('dup', split_part(p.p_name,' ',1)) else upper(split_part(p.p_name,' ',1)) end as first_name,
     split_part(p.p_name,' ',2) as last_name,
     concat(split_part(p.p_name,' ',1),'.',split_part(p.p_name,' ',2), case when s.s_suppkey % 10 in (0,3,7) then '@a.example.com' else '@b.example.com' end) as email,
     'Marketing' as department, 'Rep' as role, n.n_name as location,
-    concat(substring(cast(o.o_orderdate as string),1,10),'T09:00:00Z') as hire_timestamp,
+    case when s.s_suppkey % 10 = 2 then concat(substring(cast(o.o_orderdate as string),6,2),'/',substring(cast(o.o_orderdate as string),9,2),'/',substring(cast(o.o_orderdate as string),1,4))
+      when s.s_suppkey % 10 = 8 then concat(substring(cast(o.o_orderdate as string),9,2),'-',substring('JanFebMarAprMayJunJulAugSepOctNovDec', 3*cast(substring(cast(o.o_orderdate as string),6,2) as int)-2, 3),'-',substring(cast(o.o_orderdate as string),1,4))
+      else concat(substring(cast(o.o_orderdate as string),1,10),'T09:00:00Z') end as hire_timestamp,
     case s.s_suppkey % 4 when 0 then 'FT' when 1 then 'PT' when 2 then 'CONTRACTOR' else 'INTERN' end as employment_type,
     case when s.s_suppkey % 8 = 0 then 'On Leave' else 'Active' end as employment_status,
     concat('ACQ_', lpad(cast((s.s_suppkey * 3) % 120 as string),5,'0')) as manager_employee_id

@@ -106,7 +106,8 @@ STEPS: dict[str, str] = {
       from fx_hris_a
       union all
       select ingest_ordinal, employee_identifier, {B}, first_name, last_name, email, department,
-        role, left(hire_timestamp, 10), location,
+        role, case when regexp_full_match(hire_timestamp, '\\d{{1,2}}-[A-Za-z]{{3}}-\\d{{4}}')
+          then hire_timestamp else left(hire_timestamp, 10) end, location,
         case employment_type when 'FT' then 'Full-Time' when 'PT' then 'Part-Time'
           when 'CONTRACTOR' then 'Contractor' else employment_type end,
         employment_status, coalesce(manager_employee_id, '')
@@ -425,6 +426,12 @@ QUERIES: dict[str, str] = {
         hire_timestamp, employment_type, employment_status,
         case when odd = 0 then manager_employee_id else '' end as manager_employee_id
       from staff_errors where error is null""",
+    "staff_json_scan": """
+      select employee_identifier, first_name, last_name, '' as full_name,
+        case when k = 9 then null else email end as email, department, role, location,
+        hire_timestamp, employment_type, employment_status,
+        case when odd = 0 then manager_employee_id else '' end as manager_employee_id, form
+      from staff_errors, (values ('pages'), ('lines')) f(form) where error is null""",
     "staff_json_dead_letters": f"""
       select {B} as source, error, location, hire_timestamp from staff_errors
       where error is not null""",
@@ -442,10 +449,15 @@ QUERIES: dict[str, str] = {
       union all
       select 'Benefits_MedShield', error, count(*) from enrollment_texts where error is not null
       group by error""",
-    "staff_csv_scan": "select * exclude (ingest_ordinal) from fx_hris_a",
+    "staff_csv_scan": """
+      select * exclude (ingest_ordinal) replace (case when ingest_ordinal % 10 = 4
+        then first_name || chr(10) || last_name else first_name end as first_name)
+      from fx_hris_a""",
     "payroll_csv_scan": """
       select employee_id, source, nullif(base_salary, 'n/a') as base_salary, currency,
-        pay_frequency, 2.5::double as bonus_target_pct, effective_date from fx_payroll""",
+        case when ingest_ordinal % 10 = 7 then 'a' || chr(10) || 'b ' || pay_frequency
+          else pay_frequency end as pay_frequency,
+        2.5::double as bonus_target_pct, effective_date from fx_payroll""",
     "enrollment_xml_scan": "select * exclude (ingest_ordinal) from enrollments",
     "payroll_repeated_ids": """
       select count(*) - count(distinct employee_id) - max((employee_id is null)::int)

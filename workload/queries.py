@@ -97,7 +97,7 @@ def final_employees(spark, folder, stage=None):
 # --- sources -----------------------------------------------------------------------------------
 
 
-def _record(dirty: bool) -> Column:
+def _record() -> Column:
     """A staff B record as nested JSON. Some suppliers get a record that lacks a field."""
     s = F.col("ingest_ordinal") % 1000
 
@@ -105,7 +105,7 @@ def _record(dirty: bool) -> Column:
         return F.struct(*[c.alias(k) for k, c in fields.items()])
 
     def lacks(n: int, value: Column) -> Column:
-        return F.when(s % 11 != n, value) if dirty else value
+        return F.when(s % 11 != n, value)
 
     c = F.col
     nested = part(
@@ -121,16 +121,14 @@ def _record(dirty: bool) -> Column:
     )
     # to_json leaves null fields out; one record in eleven keeps a present null instead.
     json = F.to_json(nested)
-    if dirty:
-        json = F.when(s % 11 == 9, F.regexp_replace(json, '"email":"[^"]*"', '"email":null')).otherwise(json)
-    return json
+    return F.when(s % 11 == 9, F.regexp_replace(json, '"email":"[^"]*"', '"email":null')).otherwise(json)
 
 
 def staff_pages(spark: SparkSession, folder: str, size: int = 100) -> DataFrame:
     """Page documents of ``size`` records, as an API delivers them."""
     rows = staff_b(spark, folder).select(
         F.floor((F.col("ingest_ordinal") - 1_000_000_000) / size).alias("page"),
-        _record(dirty=True).alias("record"),
+        _record().alias("record"),
     )
     listed = F.array_join(F.collect_list("record"), ",")
     return rows.groupBy("page").agg(
@@ -149,6 +147,26 @@ def staff_json_records(spark, folder):
     return split_rejects(parsed_staff(spark, folder), STAFF_B).rows
 
 
+@query
+def staff_json_scan(spark, folder):
+    """Indented page files and JSON lines written from staff B, and read back by the file reader."""
+    folder_out = Stage(spark).folder
+    pages = staff_pages(spark, folder).select(
+        F.regexp_replace("value", r'([{,\[])(["{])', "$1\n  $2").alias("value")
+    )
+    # One document per file: a page is split off by the writer after each row.
+    pages.write.option("maxRecordsPerFile", 1).text(f"{folder_out}/pages")
+    staff_b(spark, folder).select(_record()).write.text(f"{folder_out}/lines")
+    both = [
+        staff_json.parse_staff_json(spark, f"{folder_out}/pages").withColumn("form", F.lit("pages")),
+        staff_json.parse_staff_json(spark, f"{folder_out}/lines", lines=True).withColumn(
+            "form", F.lit("lines")
+        ),
+    ]
+    parsed = Stage(spark)(both[0].unionByName(both[1]), "staff_b")
+    return split_rejects(parsed, STAFF_B).rows.drop("ingest_ordinal")
+
+
 @query
 def staff_json_dead_letters(spark, folder):
     """The raw record is shown by its role and location; JSON texts order keys differently."""
@@ -224,13 +242,22 @@ def dead_letters_by_error(spark, folder):
     return dead_letter_summary(both)
 
 
+def _write_csv(df, path):
+    df.write.mode("append").option("header", True).option("escape", '"').option(
+        "ignoreLeadingWhiteSpace", False
+    ).option("ignoreTrailingWhiteSpace", False).csv(path)
+
+
 @query
 def staff_csv_scan(spark, folder):
-    """Staff A written as CSV and read back."""
+    """Staff A written as CSV in two column orders, with line breaks in names, and read back."""
     path = f"{Stage(spark).folder}/staff_csv"
-    staff_a(spark, folder).drop("ingest_ordinal").write.option("header", True).option(
-        "escape", '"'
-    ).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    rows = staff_a(spark, folder)
+    broken = F.when(F.col("ingest_ordinal") % 10 == 4, F.concat("first_name", F.lit("\n"), "last_name"))
+    rows = rows.withColumn("first_name", F.coalesce(broken, "first_name"))
+    halves = [rows.where("ingest_ordinal % 2 = 0"), rows.where("ingest_ordinal % 2 = 1")]
+    for half, columns in zip(halves, (rows.columns[1:], rows.columns[:0:-1])):
+        _write_csv(half.select(*columns), path)
     return staff_csv.read_staff_csv(spark, path).drop("ingest_ordinal")
 
 
@@ -238,9 +265,12 @@ def staff_csv_scan(spark, folder):
 def payroll_csv_scan(spark, folder):
     """Payroll written as CSV and read back; 'n/a' cells arrive as null."""
     path = f"{Stage(spark).folder}/payroll_csv"
-    fixture(spark, folder, "fx_payroll").withColumn("bonus_target_pct", F.lit("2.5")).drop(
-        "ingest_ordinal"
-    ).write.option("header", True).csv(path)
+    rows = fixture(spark, folder, "fx_payroll").withColumn("bonus_target_pct", F.lit("2.5"))
+    broken = F.when(F.col("ingest_ordinal") % 10 == 7, F.concat(F.lit("a\nb "), "pay_frequency"))
+    rows = rows.withColumn("pay_frequency", F.coalesce(broken, "pay_frequency"))
+    halves = [rows.where("ingest_ordinal % 2 = 0"), rows.where("ingest_ordinal % 2 = 1")]
+    for half, columns in zip(halves, (rows.columns[1:], rows.columns[:0:-1])):
+        _write_csv(half.select(*columns), path)
     return payroll.read_payroll(spark, path).drop("ingest_ordinal")
 
 
