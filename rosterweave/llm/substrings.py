@@ -271,7 +271,8 @@ def repeated_ranges(keyed: DataFrame, stage: Stage, width: int = WIDTH) -> DataF
     met = found.groupBy("bucket").agg(F.sum("times").alias("n")).where("n > 1").select("bucket")
     runs = found.join(met, "bucket").select("bucket", *_KEY, "begin", "end")
     runs = runs.groupBy(*_KEY).agg(F.collect_set(F.struct("bucket", "begin", "end")).alias("runs"))
-    suspects = keyed.join(runs, _KEY).select("text", "runs", *_KEY)
+    # All columns stay, so that the join with the ranges can reuse this shuffle of the texts.
+    suspects = keyed.join(runs, _KEY)
     packed = map_arrow(suspects, _packing, _TRAVEL)
     sorted_buckets = packed.repartition("bucket").sortWithinPartitions("bucket")
     ranges = map_arrow(sorted_buckets, _counting(width), _RANGE)
