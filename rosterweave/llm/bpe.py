@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import codecs
 import json
+import re
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import cache
 
@@ -32,17 +34,17 @@ PART = 1 << 16  # characters fed at once
 _LONG = 1 << 12  # characters without a settled place from which a pre-token is merged in parts
 _BEHIND = 4  # characters a pre-token's end may depend on
 _CACHED = 300_000  # pieces whose ids a task keeps
-_PAIRS = 1_000_000  # pairs of tokens of which it is remembered whether they fit
 _SHIFT = 20  # ids are below 2**20
 _MASK = (1 << _SHIFT) - 1
-#: Code points with the property White_Space.
-SPACE = r"\t-\r\x20\x85\xa0  -     　"
+# Code points with the property White_Space, the rarer ones apart.
+_BLANKS = r"\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACE = r"\t-\r\x20" + _BLANKS
 _PRE_TOKEN = regex.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+"
     rf"|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 )
 _PIECE = regex.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-_UNEVEN = regex.compile(rf"[{SPACE}][{SPACE}]|[^\S\n ]|[\0\x1c-\x1f\x85]|[{SPACE}]\Z")
+_RARE = re.compile(rf"[\0\t\x0b-\r{_BLANKS}]")  # a zero would split pieces
 _SETTLED = regex.compile(rf"(?r)(?<=[^{SPACE}])[{SPACE}]")
 _RUNS = {
     kind: regex.compile(f"[{kind}]*")
@@ -52,7 +54,8 @@ _RUNS = {
 
 def pieces(text: str) -> list[str]:
     """Parts of ``text`` whose ids do not depend on what stands around them."""
-    if _UNEVEN.search(text):
+    doubled = any(pair in text for pair in ("  ", " \n", "\n ", "\n\n"))
+    if doubled or text[-1:] in (" ", "\n") or _RARE.search(text):
         return _PIECE.findall(text)
     return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
 
@@ -84,6 +87,13 @@ def lookahead(merges: list[tuple[bytes, bytes]]) -> int:
     return most
 
 
+class _Spelling(dict):
+    """Bytes by id; an id that the vocabulary lacks stands for nothing."""
+
+    def __missing__(self, _: int) -> bytes:
+        return b""
+
+
 class Merges:
     """A byte-level vocabulary file: ids, merge ranks, special strings, lookahead."""
 
@@ -92,16 +102,13 @@ class Merges:
             content = json.load(file)
         byte_of = _byte_names()
         ids = content["model"]["vocab"]
-        self.bytes_of = {i: bytes(byte_of[c] for c in token) for token, i in ids.items()}
+        self.bytes_of = _Spelling({i: bytes(byte_of[c] for c in token) for token, i in ids.items()})
         self.special = {t["content"]: t["id"] for t in content["added_tokens"]}
-        self.bytes_of |= {i: s.encode() for s, i in self.special.items()}
+        self.bytes_of.update((i, s.encode()) for s, i in self.special.items())
         self.byte_ids = [0] * 256
         for token, i in ids.items():
             if len(token) == 1:
                 self.byte_ids[byte_of[token]] = i
-        self.id_of = {self.bytes_of[i]: i for i in ids.values()}
-        self.longest = max(map(len, self.id_of))
-        self.fits: dict[int, bool] = {}
         self.ranked: dict[int, int] = {}
         spelled = []
         for rank, pair in enumerate(content["model"]["merges"]):
@@ -111,67 +118,18 @@ class Merges:
         self.lookahead = lookahead(spelled)
 
     def merged(self, text: bytes) -> list[int]:
-        """Ids of one pre-token.
-
-        Tokens are the ones that merging gives just if each two neighbours are what their own
-        bytes merge to. So the longest token is tried at each place, then shorter ones, and a dead
-        end is left backwards; which neighbours fit is remembered.
-        """
-        ids: list[int] = []
-        starts: list[int] = []
-        dead: set[int] = set()
-        at, reach = 0, self.longest
-        while at < len(text):
-            last = ids[-1] if ids else -1
-            for size in range(min(reach, len(text) - at), 0, -1):
-                token = self.id_of.get(text[at : at + size])
-                if token is None or at + size in dead:
-                    continue
-                fits = self.fits.get(last << _SHIFT | token)
-                if fits is None:
-                    fits = self._fit(last, token)
-                if fits:
-                    ids.append(token)
-                    starts.append(at)
-                    at, reach = at + size, self.longest
-                    break
-            else:
-                dead.add(at)
-                reach = at - starts[-1] - 1
-                ids.pop()
-                at = starts.pop()
-        return ids
-
-    def _fit(self, left: int, right: int) -> bool:
-        want = [right] if left < 0 else [left, right]
-        fits = self.merged_in_order(b"".join(self.bytes_of[i] for i in want)) == want
-        if len(self.fits) >= _PAIRS:
-            self.fits.clear()
-        self.fits[left << _SHIFT | right] = fits
-        return fits
-
-    def merged_in_order(self, text: bytes) -> list[int]:
-        """The same by definition: the earliest merge of the list first, from left to right."""
+        """Ids of one pre-token: the earliest merge of the list first, from left to right."""
         ids = [self.byte_ids[b] for b in text]
         get, none = self.ranked.get, 1 << 60
-        while len(ids) > 1:
-            found = [get(a << _SHIFT | b, none) for a, b in zip(ids, ids[1:])]
-            best = min(found)
-            if best == none:
-                break
-            if found.count(best) == 1:
-                at = found.index(best)
-                ids[at : at + 2] = [best & _MASK]
-                continue
-            out, i = [], 0
-            while i < len(ids):
-                if i < len(found) and found[i] == best:
-                    out.append(best & _MASK)
-                    i += 2
-                else:
-                    out.append(ids[i])
-                    i += 1
-            ids = out
+        found = [get(a << _SHIFT | b, none) for a, b in zip(ids, ids[1:])]
+        while found and (best := min(found)) != none:
+            at = found.index(best)
+            new = ids[at] = best & _MASK
+            del ids[at + 1], found[at]
+            if at < len(found):
+                found[at] = get(new << _SHIFT | ids[at + 1], none)
+            if at:
+                found[at - 1] = get(ids[at - 1] << _SHIFT | new, none)
         return ids
 
 
@@ -189,7 +147,7 @@ class Pieces(dict):
             ids += self.merges.merged(token.encode("utf-8", "surrogatepass"))
         if len(self) >= _CACHED:
             self.clear()
-        value = self[piece] = np.array(ids, "<u4").tobytes()
+        value = self[piece] = array("I", ids).tobytes()
         return value
 
 
@@ -316,8 +274,7 @@ class Decoder:
         self.state = codecs.getincrementaldecoder("utf-8")("replace")
 
     def feed(self, ids: Iterable[int]) -> str:
-        """Text of the ids; ids that the vocabulary lacks stand for nothing."""
-        return self.state.decode(b"".join(map(self.bytes_of.get, ids)))
+        return self.state.decode(b"".join(map(self.bytes_of.__getitem__, ids)))
 
     def finish(self) -> str:
         text = self.state.decode(b"", True)
@@ -325,8 +282,7 @@ class Decoder:
         return text
 
     def decode(self, ids: np.ndarray) -> str:
-        known = [i for i in ids.tolist() if i in self.bytes_of]
-        parts = [self.feed(known[i : i + PART]) for i in range(0, len(known), PART)]
+        parts = [self.feed(ids[i : i + PART].tolist()) for i in range(0, len(ids), PART)]
         return "".join([*parts, self.finish()])
 
 
