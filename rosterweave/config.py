@@ -62,13 +62,8 @@ MISSING_CELLS = [
 
 # --- end of fixed values ---
 
-# Rows a single key may hold before a join slices it, and how many such keys are looked at.
-# Ranked by weight, any key beyond the first HEAVY_KEYS holds under 1/HEAVY_KEYS of the rows.
+# Rows a single key may hold, or joined rows it may make, before a join slices it.
 HEAVY_ROWS = 1_000_000
-HEAVY_KEYS = 10_000
-
-# Rows a counted table of names may have to be broadcast.
-BROADCAST_ROWS = 100_000
 
 
 @dataclass(frozen=True)

@@ -98,9 +98,9 @@ def probing_segments(text: Column, threshold: int) -> Column:
 def may_match(a: Column, b: Column, threshold: int) -> Column:
     """Cheap test that never rejects a match: Levenshtein is at most the number of edits."""
     la, lb = F.length(a), F.length(b)
-    return (F.abs(la - lb) <= budget(la, lb, threshold)) & (
-        F.levenshtein(a, b) <= budget(la, lb, threshold)
-    )
+    most = budget(la, lb, threshold)
+    # With a bound the distance stops early, and is -1 beyond it.
+    return (F.abs(la - lb) <= most) & (F.call_function("levenshtein", a, b, most) >= 0)
 
 
 def lcs_length(a: Column, b: Column) -> Column:

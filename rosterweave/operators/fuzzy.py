@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterweave.config import BROADCAST_ROWS, STAFF_A, STAFF_B, Settings
+from rosterweave.config import STAFF_A, STAFF_B, Settings
 from rosterweave.functions import similarity
 from rosterweave.functions.text import full_name
 from rosterweave.operators.identity import staff_of
@@ -113,14 +113,12 @@ def _prefixed(side: DataFrame, key: str, prefix: str) -> DataFrame:
 def probable_matches(employees: DataFrame, names: DataFrame, settings: Settings) -> DataFrame:
     """Rows of both companies whose names are a pair of ``names`` and whose dates are close.
 
-    ``names`` should be stored: it is counted, and if it has few rows, they pick the rows that
-    take part before any is shuffled.
+    ``names`` should be stored, as it is read three times. It picks the rows of company A that
+    take part; rows of one name and bucket are cut by the pairs they make.
     """
     width, window = _bucket_width(settings), settings.match_window_days
-    a = _side(employees, STAFF_A)
-    if names.count() <= BROADCAST_ROWS:
-        picked = names.select(F.col("a_key").alias("name_key")).distinct()
-        a = a.join(F.broadcast(picked), "name_key", "left_semi")
+    picked = names.select(F.col("a_key").alias("name_key")).distinct()
+    a = _side(employees, STAFF_A).join(picked, "name_key", "left_semi")
     b = _side(employees, STAFF_B)
     rows_a = _prefixed(a, "a_key", "gt").withColumn(
         "bucket", _own_bucket(F.col("gt_hire_date"), width)
@@ -135,13 +133,14 @@ def probable_matches(employees: DataFrame, names: DataFrame, settings: Settings)
         heavy_rows=settings.heavy_rows,
     )
     near = _near_buckets(F.col("acq_hire_date"), width)
+    b_in_buckets = b_with_names.withColumn("bucket", F.explode(near))
+    key, many = ["a_key", "bucket"], F.count(F.lit(1))
+    weights = rows_a.groupBy(*key).agg(many.alias("n")).join(
+        b_in_buckets.groupBy(*key).agg(many.alias("m")), key
+    )
     pairs = spread_join(
-        rows_a,
-        b_with_names.withColumn("bucket", F.explode(near)),
-        ["a_key", "bucket"],
-        rows_a.groupBy("a_key", "bucket").agg(F.count(F.lit(1)).alias("n")),
-        "a_key_row",
-        heavy_rows=settings.heavy_rows,
+        rows_a, b_in_buckets, key, weights, "a_key_row", heavy_rows=settings.heavy_rows,
+        other_id="b_key_row",
     )
     apart = F.abs(F.date_diff("acq_hire_date", "gt_hire_date"))
     return (

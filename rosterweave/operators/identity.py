@@ -34,15 +34,15 @@ def resolve_ids(
 ) -> DataFrame:
     """One row per id with provenance, the group size and whether the group is one person.
 
-    Rows of an id are merged by an aggregate, so a heavy id is combined before the shuffle. The
-    id then stays the partitioning of both provenance joins. Rows without an id are no group:
-    each takes a key of its own, which also spreads them.
+    Ids are counted by an aggregate over names and ordinals only, so a heavy id is combined before
+    the shuffle. The id stays the partitioning of both provenance joins, and the ordinal of the
+    row to keep then fetches that row: whole rows are shuffled once, by a key that none shares.
+    Rows without an id are no group: each takes a key of its own, which also spreads them.
     """
     columns = [c for c in employees.columns if c != "employee_id"]
     marked = F.coalesce(
         F.lower(settings.copy_marker_column).contains(settings.copy_marker), F.lit(False)
     )
-    row = F.struct("employee_id", *columns)
     grouped = (
         employees.withColumn("_id", own_key("employee_id"))
         .groupBy("_id")
@@ -54,8 +54,8 @@ def resolve_ids(
                 & (F.min("last_name") == F.max("last_name")),
                 F.lit(False),
             ).alias(SAME_PERSON),
-            F.min_by(row, ORDINAL).alias("_first"),
-            F.min_by(row, F.when(~marked, F.col(ORDINAL))).alias("_first_unmarked"),
+            F.min(ORDINAL).alias("_first"),
+            F.min(F.when(~marked, F.col(ORDINAL))).alias("_first_unmarked"),
         )
     )
     kept = F.when(F.col(SAME_PERSON), F.col("_first")).otherwise(
@@ -66,24 +66,20 @@ def resolve_ids(
         ",",
         F.sort_array(
             F.array(
-                slug(F.col("_kept.source_system")),
+                slug(F.col("source_system")),
                 F.when(F.col("_in_payroll"), "payroll"),
                 F.when(F.col("_in_benefits"), "benefits"),
             )
         ),
     )
+    known = one_each.join(
+        _known_ids(payroll, "_in_payroll").withColumnRenamed("employee_id", "_id"), "_id", "left"
+    ).join(
+        _known_ids(benefits, "_in_benefits").withColumnRenamed("employee_id", "_id"), "_id", "left"
+    )
     return (
-        one_each.join(
-            _known_ids(payroll, "_in_payroll").withColumnRenamed("employee_id", "_id"),
-            "_id",
-            "left",
-        )
-        .join(
-            _known_ids(benefits, "_in_benefits").withColumnRenamed("employee_id", "_id"),
-            "_id",
-            "left",
-        )
-        .select("_kept.*", ROWS, SAME_PERSON, sources.alias("source_systems"))
+        employees.join(known, F.col(ORDINAL) == F.col("_kept"))
+        .select("employee_id", *columns, ROWS, SAME_PERSON, sources.alias("source_systems"))
         .withColumn(
             "dedup_method",
             F.when(F.col("source_systems").contains(","), "exact_id").otherwise("single_source"),

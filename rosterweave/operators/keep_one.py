@@ -35,8 +35,10 @@ def split_latest(
     """Latest rows and all others.
 
     The others are found by row identity, not by ranking inside the key: the join is spread evenly
-    however many rows one key has. ``row_id`` must be unique and without nulls.
+    however many rows one key has. ``row_id`` must be unique; nulls in it are values.
     """
     row_id = row_id or [ORDINAL]
     current = latest(df, keys, by)
-    return Split(current, df.join(current.select(*row_id), row_id, "left_anti"))
+    kept = current.select(*[F.col(c).alias(f"_kept_{c}") for c in row_id])
+    same = [F.col(c).eqNullSafe(F.col(f"_kept_{c}")) for c in row_id]
+    return Split(current, df.join(kept, same, "left_anti"))

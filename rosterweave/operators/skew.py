@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterweave.config import HEAVY_KEYS, HEAVY_ROWS
+from rosterweave.config import HEAVY_ROWS
 
-_SLICES, _SLICE = "_slices", "_slice"
+_CUTS, _OTHER_CUTS, _SLICE, _OTHER_SLICE = "_cuts", "_other_cuts", "_slice", "_other_slice"
 
 
 def own_key(column: str, row_id: str = "ingest_ordinal") -> Column:
@@ -23,36 +23,47 @@ def spread_join(
     row_id: str,
     how: str = "inner",
     heavy_rows: int = HEAVY_ROWS,
-    heavy_keys: int = HEAVY_KEYS,
+    other_id: str | None = None,
 ) -> DataFrame:
     """Join ``rows`` to ``other``, spreading the rows of heavy keys over many tasks.
 
     ``weights`` has the columns ``on`` and ``n``, the number of ``rows`` per key. One small job
-    reads its maximum: without a heavy key the join is a plain one. Otherwise keys with
-    ``heavy_rows`` rows or more are cut into slices by ``row_id``, and their partners in
-    ``other`` are repeated once per slice.
+    reads its maximum: without a heavy key the join is a plain one. Every key with ``heavy_rows``
+    rows or more is cut into slices by ``row_id``, and its partners in ``other`` are repeated once
+    per slice.
 
-    The heavy keys are broadcast. They are the ``heavy_keys`` heaviest at most, which bounds the
-    broadcast; any key beyond them holds less than ``1 / heavy_keys`` of all rows, so leaving it
-    whole is harmless. No row is dropped either way.
+    With ``other_id``, for inner joins, ``weights`` also has ``m``, the number of partners per
+    key. Then a key is heavy if it makes ``heavy_rows`` pairs or more, and both sides are cut, so
+    that a slice makes about ``heavy_rows`` pairs.
+
+    The table of heavy keys is joined like any other: its size decides how.
     """
-    heaviest = weights.agg(F.max("n")).first()[0]
-    if heaviest is None or heaviest < heavy_rows:
+    if other_id is None:
+        heavy, side = weights.where(F.col("n") >= heavy_rows), heavy_rows
+        other_cuts = F.lit(1)
+    else:
+        if how != "inner":
+            raise ValueError("both sides of an inner join can be cut, of no other")
+        heavy = weights.where(F.col("n") * F.col("m") >= heavy_rows)
+        side = max(int(heavy_rows**0.5), 1)
+        other_cuts = F.ceil(F.col("m") / side)
+    if heavy.isEmpty():
         return rows.join(other, on, how)
-    heavy = (
-        weights.where(F.col("n") >= heavy_rows)
-        .orderBy(F.col("n").desc(), *on)
-        .limit(heavy_keys)
-        .select(*on, F.ceil(F.col("n") / heavy_rows).cast("long").alias(_SLICES))
+    cuts = heavy.select(
+        *on,
+        F.ceil(F.col("n") / side).cast("long").alias(_CUTS),
+        other_cuts.cast("long").alias(_OTHER_CUTS),
     )
     one = F.lit(1).cast("long")
-    slices = F.coalesce(_SLICES, one)
-    sliced = rows.join(F.broadcast(heavy), on, "left").withColumn(
-        _SLICE, F.pmod(F.xxhash64(row_id), slices)
-    )
-    repeated = other.join(F.broadcast(heavy), on, "left").withColumn(
-        _SLICE, F.explode(F.sequence(one - 1, slices - 1))
-    )
-    return (
-        sliced.drop(_SLICES).join(repeated.drop(_SLICES), [*on, _SLICE], how).drop(_SLICE)
-    )
+
+    def cut(df: DataFrame, own: str, name: str, id_: str | None, far: str, far_name: str):
+        """Each row in its slice of ``own`` cuts, once per slice of the ``far`` side."""
+        mine = F.pmod(F.xxhash64(id_), F.coalesce(own, one)) if id_ else one - 1
+        repeats = F.explode(F.sequence(one - 1, F.coalesce(far, one) - 1))
+        sliced = df.join(cuts, on, "left").withColumn(name, mine)
+        return sliced.withColumn(far_name, repeats).drop(_CUTS, _OTHER_CUTS)
+
+    sliced = cut(rows, _CUTS, _SLICE, row_id, _OTHER_CUTS, _OTHER_SLICE)
+    repeated = cut(other, _OTHER_CUTS, _OTHER_SLICE, other_id, _CUTS, _SLICE)
+    keys = [*on, _SLICE, _OTHER_SLICE]
+    return sliced.join(repeated, keys, how).drop(_SLICE, _OTHER_SLICE)

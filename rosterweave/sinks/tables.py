@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rosterweave.config import Settings
 from rosterweave.operators import aggregates, quality, review
-from rosterweave.sinks.dictionary import GOLDEN_DICTIONARY, data_dictionary
+from rosterweave.sinks.dictionary import GOLDEN_SCHEMA, data_dictionary
 from rosterweave.sources.common import dead_letter_summary
 
 if TYPE_CHECKING:
@@ -28,10 +28,9 @@ def _parquet(df: DataFrame, path: str) -> None:
 
 
 def documented(golden: DataFrame) -> DataFrame:
-    """Column comments travel in the table's schema; the hire date is stored as a timestamp."""
-    comments = {name: text for name, _, text, _, _ in GOLDEN_DICTIONARY}
-    return golden.withColumn("hire_date", F.col("hire_date").cast("timestamp")).select(
-        *[F.col(c).alias(c, metadata={"comment": comments[c]}) for c in golden.columns]
+    """Types and column comments of the schema; the hire date is a time stamp without a zone."""
+    return golden.select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name, metadata=f.metadata) for f in GOLDEN_SCHEMA]
     )
 
 

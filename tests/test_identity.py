@@ -109,10 +109,29 @@ def test_spread_join_equals_a_plain_join(spark, heavy):
     weights = left.groupBy("k").agg(F.count("*").alias("n"))
     for how in ("inner", "left"):
         plain = left.join(right, "k", how).select("id", "k", "v")
-        spread = spread_join(left, right, ["k"], weights, "id", how, heavy_rows=heavy, heavy_keys=2)
+        spread = spread_join(left, right, ["k"], weights, "id", how, heavy_rows=heavy)
         assert sorted(map(repr, spread.select("id", "k", "v").collect())) == sorted(map(repr, plain.collect()))
 
 
+@pytest.mark.parametrize("heavy", [10**9, 400, 9, 1])
+def test_both_sides_of_a_heavy_key_are_cut(spark, heavy):
+    left = spark.range(120).selectExpr("id", "if(id < 90, 'hot', 'k' || id % 7) as k")
+    right = spark.range(100).selectExpr("id as v", "if(id < 60, 'hot', 'k' || id % 9) as k")
+    many = F.count("*")
+    weights = left.groupBy("k").agg(many.alias("n")).join(right.groupBy("k").agg(many.alias("m")), "k")
+    spread = spread_join(left, right, ["k"], weights, "id", heavy_rows=heavy, other_id="v")
+    plain = left.join(right, "k")
+    assert sorted(map(tuple, spread.select("id", "k", "v").collect())) == sorted(
+        map(tuple, plain.select("id", "k", "v").collect())
+    )
+
+
+def test_nulls_in_row_ids_are_values(spark):
+    df = spark.createDataFrame([(1, None, "a"), (1, "x", "b")], "k long, part string, d string")
+    both = split_latest(df, ["k"], ["d"], ["k", "part"])
+    assert [r.d for r in both.current.collect()] == ["b"] and [r.d for r in both.history.collect()] == ["a"]
+
+
 def test_latest_does_not_depend_on_row_order(spark):
     rng = random.Random(4)
     rows = [(i, rng.choice(["a", "a", f"k{i % 5}", None]), rng.choice([None, "2020-01-01", f"2020-01-{1 + i % 9:02d}"])) for i in range(200)]

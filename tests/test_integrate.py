@@ -48,7 +48,7 @@ def test_end_to_end_and_read_back(spark, sources, stage, settings, tmp_path):
     rows = {r.employee_id: r for r in golden.collect()}
     assert set(rows) == {"GT-000001", "GT-000002", "GT-000003", "AC-000001"}
     assert len(golden.columns) == 19 and golden.columns[-1] == "company_origin"
-    assert dict(golden.dtypes)["hire_date"] == "timestamp"
+    assert dict(golden.dtypes)["hire_date"] == "timestamp_ntz"
     assert rows["AC-000001"].dedup_method == "fuzzy_name"
     assert rows["GT-000003"].dedup_method == "email_match" and rows["GT-000003"].full_name == "Cy O'Neil"
     assert rows["GT-000001"].source_systems == "benefits,globaltech_hris,payroll"

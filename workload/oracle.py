@@ -642,4 +642,37 @@ QUERIES: dict[str, str] = {
         as company_origin, count(*) as rows from pass2 group by 1""",
 }
 
+STEPS["golden"] = QUERIES["golden_employees"]
+_STAMPED = "select * replace (hire_date::timestamp as hire_date) from golden"
+_COLUMNS = [
+    *STANDARD.split(", "), "first_name_raw", "last_name_raw", "source_systems", "dedup_method",
+    "company_origin", "full_name", "tenure_years",
+]
+_NEVER_NULL = ["employee_id", "source_system", "source_systems", "dedup_method", "company_origin"]
+_KINDS = {"hire_date": "timestamp[ns]", "tenure_years": "double"}
+_FIGURES = {
+    "headcount_company": "headcount_company", "headcount_department": "headcount_department",
+    "headcount_country": "headcount_country_top20", "salary_distribution": "salary_distribution",
+    "salary_histogram": "salary_histogram", "tenure_stats": "tenure_stats",
+    "tenure_histogram": "tenure_histogram", "enrollment_rate": "enrollment_rate",
+    "check_bars": "dq_check_bars",
+}
+QUERIES |= {
+    "golden_round_trip": _STAMPED,
+    "integrate_golden": _STAMPED,
+    "data_dictionary": " union all ".join(
+        f"select '{c}' as column_name, '{_KINDS.get(c, 'string')}' as data_type, "
+        f"'{'NO' if c in _NEVER_NULL else 'YES'}' as nullable, "
+        f"count(*) filter ({c} is null) as nulls from golden"
+        for c in _COLUMNS
+    ),
+    "ghost_extract": QUERIES["ghost_report"],
+    "match_extract": QUERIES["probable_match_review"],
+    "validation_csv": "select * exclude (check_no) from checks",
+    "figures_written": " union all ".join(
+        f"select '{figure}' as figure, count(*) as rows from ({QUERIES[name]})"
+        for figure, name in _FIGURES.items()
+    ),
+}
+
 ORACLE_SQL = {name: statement(sql) for name, sql in QUERIES.items()}

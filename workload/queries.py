@@ -13,7 +13,9 @@ from rosterweave.config import STAFF_B, Settings
 from rosterweave.functions import text, values
 from rosterweave.operators import aggregates, align, clean, fuzzy, identity, quality, review
 from rosterweave.operators.keep_one import split_latest
-from rosterweave.plans.resolve import BENEFITS_KEY, BENEFITS_ORDER, exact_passes
+from rosterweave.plans.ingest import Sources
+from rosterweave.plans.integrate import integrate
+from rosterweave.plans.resolve import BENEFITS_KEY, BENEFITS_ORDER, Resolved, exact_passes
 from rosterweave.plans.staging import Stage
 from rosterweave.sinks import tables
 from rosterweave.sources import benefits_xml, golden, payroll, staff_csv, staff_json
@@ -25,6 +27,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 SETTINGS = Settings(report_date=dt.date(2002, 1, 1))
 BENEFITS_BY = [*BENEFITS_ORDER, *BENEFITS_TIES]
 BENEFITS_ROW = ["ingest_ordinal", *BENEFITS_TIES]
+FIGURES = [
+    "headcount_company", "headcount_department", "headcount_country", "salary_distribution",
+    "salary_histogram", "tenure_stats", "tenure_histogram", "enrollment_rate", "check_bars",
+]
 QUERIES: dict[str, Query] = {}
 
 
@@ -441,7 +447,8 @@ def pass1_resolved(spark, folder):
 
 @query
 def pass1_quarantine(spark, folder):
-    return identity.colliding_rows(employees(spark, folder), resolved_ids(spark, folder), SETTINGS)
+    resolved = Stage(spark)(resolved_ids(spark, folder), "resolved_ids")
+    return identity.colliding_rows(employees(spark, folder), resolved, SETTINGS)
 
 
 @query
@@ -626,6 +633,119 @@ def golden_company_rows(spark, folder):
     )
 
 
+@query
+def golden_round_trip(spark, folder):
+    """The golden table written and read back, all columns of both companies."""
+    stage = Stage(spark)
+    path = tables.write_golden(final_employees(spark, folder, stage), SETTINGS, stage.folder)
+    return golden.read_golden(spark, path)
+
+
+@query
+def data_dictionary(spark, folder):
+    """The dictionary as written, next to how many rows of the written table lack each column."""
+    stage = Stage(spark)
+    path = tables.write_golden(final_employees(spark, folder, stage), SETTINGS, stage.folder)
+    table_ = golden.read_golden(spark, path)
+    lacking = table_.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in table_.columns])
+    lacking = lacking.unpivot([], table_.columns, "column_name", "nulls")
+    written = spark.read.option("header", True).csv(tables.write_dictionary(spark, stage.folder))
+    return written.join(lacking, "column_name").select(
+        "column_name", "data_type", "nullable", "nulls"
+    )
+
+
+@query
+def ghost_extract(spark, folder):
+    """The ghost extract written as CSV and read back."""
+    path = tables.write_ghosts(ghosts(spark, folder), Stage(spark).folder)
+    return _read_csv(spark, path, review.ghost_report(ghosts(spark, folder)).schema)
+
+
+@query
+def match_extract(spark, folder):
+    """The match review written as CSV, best first, and read back with each row's place."""
+    stage = Stage(spark)
+    pairs = with_pairs(spark, folder, stage)[1]
+    path = tables.write_match_review(pairs, stage.folder)
+    read = _read_csv(spark, path, review.match_review(pairs).schema)
+    return long(read, "hire_date_diff_days")
+
+
+@query
+def validation_csv(spark, folder):
+    """The quality report written as CSV and read back."""
+    stage, found = Stage(spark), report(spark, folder)
+    tables.write_quality_report(found, SETTINGS, stage.folder)
+    return _read_csv(spark, f"{stage.folder}/validation_report", found.drop("check_no").schema)
+
+
+def _read_csv(spark, path, schema):
+    return spark.read.schema(schema).option("header", True).csv(path)
+
+
+@query
+def figures_written(spark, folder):
+    """Every figure table of the job, with the number of rows that were written."""
+    stage = Stage(spark)
+    emp = final_employees(spark, folder, stage)
+    paid = stage(pay(spark, folder), "payroll")
+    # The figures read three tables of the resolved ones.
+    resolved = Resolved(emp, paid, benefits(spark, folder), *[None] * 6)
+    found = quality.quality_report(
+        {"employees": emp, "payroll": paid}, quality.default_checks(SETTINGS)
+    )
+    tables.write_figures(resolved, stage(found, "report"), SETTINGS, stage.folder)
+    counts = [
+        spark.read.parquet(f"{stage.folder}/figures/{name}").agg(F.count("*").alias("rows")).select(
+            F.lit(name).alias("figure"), "rows"
+        )
+        for name in FIGURES
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query
+def integrate_golden(spark, folder):
+    """The whole job: source files written from the fixtures, golden table out."""
+    stage = Stage(spark)
+    raw = f"{stage.folder}/raw"
+
+    def ordered(name):
+        return fixture(spark, folder, name).repartition(1).sortWithinPartitions("ingest_ordinal")
+
+    _write_csv(ordered("fx_hris_a").drop("ingest_ordinal"), f"{raw}/staff_a")
+    paid = ordered("fx_payroll").withColumn("bonus_target_pct", F.lit("2.5"))
+    _write_csv(paid.drop("ingest_ordinal"), f"{raw}/payroll")
+    c = F.col
+    premiums = [c(p).cast("decimal(18,2)").cast("string").alias(p) for p in benefits_xml.PREMIUMS]
+    enrolled = ordered("fx_benefits").select(*benefits_xml.TEXTS, *premiums)
+    enrolled.write.format("xml").option("rootTag", "benefits").option(
+        "rowTag", "enrollment"
+    ).save(f"{raw}/benefits")
+    whole = F.struct(
+        "employee_identifier",
+        F.struct(c("first_name").alias("first"), c("last_name").alias("last")).alias("name"),
+        F.struct("email").alias("contact"),
+        F.struct("department", "role", "location", "hire_timestamp").alias("assignment"),
+        F.struct(
+            c("employment_type").alias("type"), c("employment_status").alias("status")
+        ).alias("employment"),
+        "manager_employee_id",
+    )
+    staff = staff_b(spark, folder).select(F.struct("ingest_ordinal", F.to_json(whole).alias("j")).alias("r"))
+    page = staff.agg(F.sort_array(F.collect_list("r")).alias("rs"), F.count("*").alias("n"))
+    page.select(
+        F.concat(
+            F.lit('{"total_records":'), "n", F.lit(', "employees":[\n'), F.array_join("rs.j", ",\n"), F.lit("]}"),
+        ).alias("value")
+    ).write.text(f"{raw}/staff_b")
+    sources = Sources(f"{raw}/staff_a", f"{raw}/staff_b", f"{raw}/payroll", f"{raw}/benefits")
+    out = f"{stage.folder}/out"
+    integrate(spark, sources, out, SETTINGS, respect_gate=False, stage=stage)
+    return golden.read_golden(spark, f"{out}/golden_employees")
+
+
 @query
 def rows_per_company(spark, folder):
     written = review.golden_employees(exact(spark, folder).employees, SETTINGS)
