@@ -121,7 +121,9 @@ def _collecting(block: _Block, cutoffs: np.ndarray, k: int):
         query, ids, score = map(np.concatenate, zip(*parts))
         order = np.lexsort((ids, -score, query))
         query, ids, score = query[order], ids[order], score[order]
-        first = np.flatnonzero(np.r_[True, query[1:] != query[:-1]]) if len(query) else []
+        new = np.ones(len(query), bool)
+        new[1:] = query[1:] != query[:-1]
+        first = np.flatnonzero(new)
         place = np.arange(len(query)) - np.repeat(first, np.diff(np.r_[first, len(query)]))
         keep = place < k
         return query[keep], ids[keep], score[keep]
