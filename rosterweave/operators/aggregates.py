@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rosterweave.config import EMPLOYMENT_TYPES, STAFF_A, STAFF_B
 from rosterweave.operators.identity import staff_of
 from rosterweave.operators.quantiles import exact_quantiles
+from rosterweave.plans.staging import Stage
 
 NO_DEPARTMENT = "(no department)"
 DAYS_PER_YEAR = 365.25
@@ -65,11 +66,20 @@ def matched_salaries(payroll: DataFrame, employees: DataFrame) -> DataFrame:
     return paid.join(types, "employee_id")
 
 
-def salary_distribution(payroll: DataFrame, employees: DataFrame) -> DataFrame:
-    """Box figures per employment type of the allow-list."""
+def matched_total(payroll: DataFrame, employees: DataFrame) -> DataFrame:
+    """Number of all matched pay records, whatever their type."""
+    return matched_salaries(payroll, employees).agg(F.count(F.lit(1)).alias("matched_records"))
+
+
+def salary_distribution(
+    payroll: DataFrame, employees: DataFrame, stage: Stage | None = None
+) -> DataFrame:
+    """Box figures per employment type of the allow-list. With a stage the join runs once."""
     salaries = matched_salaries(payroll, employees).where(
         F.col("employment_type").isin(EMPLOYMENT_TYPES)
     )
+    if stage:
+        salaries = stage(salaries, "matched_salaries")
     return exact_quantiles(
         salaries, "employment_type", "salary_usd_annual", {"q1": 0.25, "median": 0.5, "q3": 0.75}
     )

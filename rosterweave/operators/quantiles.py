@@ -22,7 +22,8 @@ def exact_quantiles(
     are counted per value, and the rank is looked up there. A bracket holds about ``6/accuracy``
     of a large group. Should the sketch ever miss, the query fails rather than give a wrong value.
 
-    ``group`` must have few values: the brackets are broadcast.
+    ``df`` is read twice, so it should be a stored table. Sizes decide how the brackets, one row
+    per group and quantile, are joined.
     """
     margin = 3 / accuracy
     names = list(probabilities)
@@ -32,8 +33,7 @@ def exact_quantiles(
         F.count(F.lit(1)).alias("n"),
         F.min(value).alias("min"),
         F.max(value).alias("max"),
-        F.percentile_approx(value, low, accuracy).alias("_low"),
-        F.percentile_approx(value, high, accuracy).alias("_high"),
+        F.percentile_approx(value, low + high, accuracy).alias("_bounds"),
     )
     # In a small group all values are looked at: the bracket would be as wide.
     large = F.col("n") >= 4 * accuracy
@@ -41,8 +41,8 @@ def exact_quantiles(
         F.struct(
             F.lit(name).alias("name"),
             (F.lit(probabilities[name]) * (F.col("n") - 1)).alias("rank"),
-            F.when(large, F.col("_low")[i]).otherwise(F.col("min")).alias("low"),
-            F.when(large, F.col("_high")[i]).otherwise(F.col("max")).alias("high"),
+            F.when(large, F.col("_bounds")[i]).otherwise(F.col("min")).alias("low"),
+            F.when(large, F.col("_bounds")[len(names) + i]).otherwise(F.col("max")).alias("high"),
         )
         for i, name in enumerate(names)
     ]
@@ -51,7 +51,7 @@ def exact_quantiles(
     counted = (
         df.where(v.isNotNull())
         .select(group, value)
-        .join(F.broadcast(brackets), group)
+        .join(brackets, group)
         .where(v <= F.col("high"))
         # Null stands for everything below the bracket, and sorts first.
         .select(group, "name", "rank", F.when(v >= F.col("low"), v).alias("v"))
@@ -75,4 +75,4 @@ def exact_quantiles(
         .groupBy(group)
         .agg(*[F.max(F.when(F.col("name") == n, F.col("q"))).alias(n) for n in names])
     )
-    return sketch.select(group, "n", "min", "max").join(F.broadcast(found), group)
+    return sketch.select(group, "n", "min", "max").join(found, group)

@@ -55,6 +55,6 @@ def integrate(
     passed = quality.gate(report, settings.max_failed_checks)
     exported = passed or not respect_gate
     if exported:
-        tables.write_figures(resolved, report, settings, out)
+        tables.write_figures(resolved, report, settings, out, stage)
         tables.export_all(resolved, settings, out)
     return Outcome(passed, exported, report, ingested, resolved, cleaned.reports)

@@ -14,6 +14,7 @@ from rosterweave.sources.common import dead_letter_summary
 
 if TYPE_CHECKING:
     from rosterweave.plans.resolve import Resolved
+    from rosterweave.plans.staging import Stage
 
 # Splits what one task writes to a company folder, so a large company is many files.
 MAX_RECORDS_PER_FILE = 20_000_000
@@ -103,13 +104,16 @@ def write_dead_letters(dead_letters: DataFrame, out: str) -> None:
     _parquet(dead_letter_summary(dead_letters), f"{out}/dead_letter_summary")
 
 
-def figures(resolved: Resolved, report: DataFrame, settings: Settings) -> dict[str, DataFrame]:
+def figures(
+    resolved: Resolved, report: DataFrame, settings: Settings, stage: Stage | None = None
+) -> dict[str, DataFrame]:
     emp, pay, ben = resolved.employees, resolved.payroll, resolved.benefits
     return {
         "headcount_company": aggregates.headcount_by_company(emp),
         "headcount_department": aggregates.headcount_by_department(emp),
         "headcount_country": aggregates.headcount_by_country(emp),
-        "salary_distribution": aggregates.salary_distribution(pay, emp),
+        "salary_distribution": aggregates.salary_distribution(pay, emp, stage),
+        "salary_matched_total": aggregates.matched_total(pay, emp),
         "salary_histogram": aggregates.salary_histogram(pay, emp),
         "tenure_stats": aggregates.tenure_stats(emp, settings.report_date),
         "tenure_histogram": aggregates.tenure_histogram(emp, settings.report_date),
@@ -118,6 +122,12 @@ def figures(resolved: Resolved, report: DataFrame, settings: Settings) -> dict[s
     }
 
 
-def write_figures(resolved: Resolved, report: DataFrame, settings: Settings, out: str) -> None:
-    for name, table in figures(resolved, report, settings).items():
+def write_figures(
+    resolved: Resolved,
+    report: DataFrame,
+    settings: Settings,
+    out: str,
+    stage: Stage | None = None,
+) -> None:
+    for name, table in figures(resolved, report, settings, stage).items():
         _parquet(table, f"{out}/figures/{name}")

@@ -601,6 +601,9 @@ QUERIES: dict[str, str] = {
         round(quantile_cont(x, 0.25), 4) as q1, round(quantile_cont(x, 0.5), 4) as median,
         round(quantile_cont(x, 0.75), 4) as q3
       from {_SALARIES} group by 1""",
+    "salary_matched_total": """
+      select count(*) as matched_records from pay join pass2 using (employee_id)
+      where employment_type is not null and salary_usd_annual is not null""",
     "salary_histogram": f"""
       select employment_type, floor(log10(x) / 0.1::double)::bigint as bin, count(*) as rows
       from {_SALARIES} where x > 0 group by 1, 2""",
@@ -653,6 +656,7 @@ _KINDS = {"hire_date": "timestamp[ns]", "tenure_years": "double"}
 _FIGURES = {
     "headcount_company": "headcount_company", "headcount_department": "headcount_department",
     "headcount_country": "headcount_country_top20", "salary_distribution": "salary_distribution",
+    "salary_matched_total": "salary_matched_total",
     "salary_histogram": "salary_histogram", "tenure_stats": "tenure_stats",
     "tenure_histogram": "tenure_histogram", "enrollment_rate": "enrollment_rate",
     "check_bars": "dq_check_bars",

@@ -29,7 +29,7 @@ BENEFITS_BY = [*BENEFITS_ORDER, *BENEFITS_TIES]
 BENEFITS_ROW = ["ingest_ordinal", *BENEFITS_TIES]
 FIGURES = [
     "headcount_company", "headcount_department", "headcount_country", "salary_distribution",
-    "salary_histogram", "tenure_stats", "tenure_histogram", "enrollment_rate", "check_bars",
+    "salary_matched_total", "salary_histogram", "tenure_stats", "tenure_histogram", "enrollment_rate", "check_bars",
 ]
 QUERIES: dict[str, Query] = {}
 
@@ -587,10 +587,15 @@ def salaries(spark, folder):
 
 @query
 def salary_distribution(spark, folder):
-    found = aggregates.salary_distribution(*salaries(spark, folder))
+    found = aggregates.salary_distribution(*salaries(spark, folder), Stage(spark))
     return rounded(found, 4, "min", "max", "q1", "median", "q3")
 
 
+@query
+def salary_matched_total(spark, folder):
+    return aggregates.matched_total(*salaries(spark, folder))
+
+
 @query
 def salary_histogram(spark, folder):
     return long(aggregates.salary_histogram(*salaries(spark, folder)), "bin")
