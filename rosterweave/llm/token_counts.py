@@ -26,7 +26,7 @@ VOCABULARY = "piece_bpe_32k.model"
 START = "▁"
 _UNIT = 1_000_000
 _PENALTY = 10 * _UNIT  # what a character outside the vocabulary costs beyond the dearest piece
-_CACHED = 300_000  # pre-tokens whose counts a task keeps
+_CACHED = 400_000  # pre-tokens in each of two generations whose counts a task keeps
 _TOGETHER = 256  # texts whose pre-tokens share a trie
 
 
@@ -62,19 +62,17 @@ class Vocabulary:
             shared = len(commonprefix((last, token)))
             del path[shared + 1 :]
             for end in range(shared + 1, len(token) + 1):
-                char = token[end - 1]
-                before = path[end - 1]
-                best = (
-                    before[0] + self.unknown,
-                    before[1] + len(char.encode("utf-8", "surrogatepass")),
-                )
+                cost, count = path[end - 1]
+                cost += self.unknown
+                count += len(token[end - 1].encode("utf-8", "surrogatepass"))
                 for start in range(max(0, end - longest), end):
-                    cost = cost_of(token[start:end])
-                    if cost is not None:
-                        way = (path[start][0] + cost, path[start][1] + 1)
-                        if way < best:
-                            best = way
-                path.append(best)
+                    own = cost_of(token[start:end])
+                    if own is not None:
+                        before, pieces = path[start]
+                        before += own
+                        if before < cost or (before == cost and pieces + 1 < count):
+                            cost, count = before, pieces + 1
+                path.append((cost, count))
             last = token
             yield token, path[-1][1]
 
@@ -86,15 +84,17 @@ def vocabulary_at(path: str) -> Vocabulary:
 
 def _counting(path: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, known = vocabulary_at(path), {}
+        vocabulary, known, older = vocabulary_at(path), {}, {}
         for batch in batches:
             for first in range(0, len(batch), _TOGETHER):
                 part = batch.slice(first, _TOGETHER)
                 split = [(text or "").split() for text in part["text"].to_pylist()]
                 if len(known) > _CACHED:
-                    known.clear()
-                unseen = {w for words in split for w in words if w not in known}
-                found = vocabulary.counts(START + w for w in unseen)
+                    known, older = {}, known
+                unseen = set().union(*split).difference(known)
+                again = unseen & older.keys()
+                known.update((w, older[w]) for w in again)
+                found = vocabulary.counts(START + w for w in unseen - again)
                 known.update((token[1:], n) for token, n in found)
                 yield pa.RecordBatch.from_arrays(
                     [
