@@ -148,7 +148,9 @@ def _packing(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     size += len(packed) + 300
                 else:
                     first[2] = True
-                    answers.append((key_text, None, key_id, key_text, a, b, True))
+                    # Copies have one text: their answers are dealt by id and place.
+                    spread = (key_id * 1_000_003 + a) % (1 << 62)
+                    answers.append((spread, None, key_id, key_text, a, b, True))
                     size += 300
             if size > _HELD:
                 yield from flush()
