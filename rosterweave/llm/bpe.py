@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import codecs
 import json
-import re
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import cache
@@ -36,15 +35,13 @@ _BEHIND = 4  # characters a pre-token's end may depend on
 _CACHED = 300_000  # pieces whose ids a task keeps
 _SHIFT = 20  # ids are below 2**20
 _MASK = (1 << _SHIFT) - 1
-# Code points with the property White_Space, the rarer ones apart.
-_BLANKS = r"\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-SPACE = r"\t-\r\x20" + _BLANKS
+#: Code points with the property White_Space.
+SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _PRE_TOKEN = regex.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+"
     rf"|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 )
 _PIECE = regex.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-_RARE = re.compile(rf"[\0\t\x0b-\r{_BLANKS}]")  # a zero would split pieces
 _SETTLED = regex.compile(rf"(?r)(?<=[^{SPACE}])[{SPACE}]")
 _RUNS = {
     kind: regex.compile(f"[{kind}]*")
@@ -54,13 +51,14 @@ _RUNS = {
 
 def pieces(text: str) -> list[str]:
     """Parts of ``text`` whose ids do not depend on what stands around them."""
+    visible = text.replace(" ", "").replace("\n", "")
     doubled = any(pair in text for pair in ("  ", " \n", "\n ", "\n\n"))
-    if doubled or text[-1:] in (" ", "\n") or _RARE.search(text):
+    if doubled or text[-1:] in (" ", "\n") or "\0" in text or visible.split(None, 1) != [visible]:
         return _PIECE.findall(text)
     return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
 
 
-def _byte_names() -> dict[str, int]:
+def byte_names() -> dict[str, int]:
     """The character that stands for each byte in the vocabulary file."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     hidden = [b for b in range(256) if b not in shown]
@@ -100,7 +98,7 @@ class Merges:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             content = json.load(file)
-        byte_of = _byte_names()
+        byte_of = byte_names()
         ids = content["model"]["vocab"]
         self.bytes_of = _Spelling({i: bytes(byte_of[c] for c in token) for token, i in ids.items()})
         self.special = {t["content"]: t["id"] for t in content["added_tokens"]}

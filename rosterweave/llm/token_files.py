@@ -6,7 +6,9 @@ ORC stores the id lists run-length encoded in stripes, each with row indexes and
 
 from __future__ import annotations
 
+import os
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -16,39 +18,82 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from rosterweave.llm.bpe import VOCABULARY, pieces
+from rosterweave.llm.bpe import VOCABULARY, byte_names, pieces
 from rosterweave.llm.common import map_arrow
 from rosterweave.plans.staging import Stage
 
 END = 0
-_CACHED = 300_000  # pieces whose ids a task keeps
-_TOGETHER = 64  # texts whose unseen pieces are encoded in one call
+_CACHED = 300_000  # pieces in a generation of those whose ids a task keeps
+_MARKS = frozenset(".,;:!?")
+_LINES = 4_096  # unseen pieces in one call
+_TOGETHER = 256  # texts whose unseen pieces are encoded together
 _STORED = "doc_id long, place long, ids array<int>"
 
 
 class _Library:
-    """Ids as the tokenizers library gives them; pieces of texts are encoded once."""
+    """Ids as the tokenizers library gives them; pieces of texts are encoded once.
+
+    A piece of letters is one pre-token and goes straight to the library's merge model. Other
+    unseen pieces go to the tokenizer as one text, a line each; the line feeds between them are
+    tokens of their own there, at which the ids are cut. Two generations of pieces are kept: when
+    the younger is full, it becomes the older, and what is met again moves on.
+    """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs as many tasks as there are cores
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in made]
+        self.older: dict[str, bytes] = {}
+        self.names = {b: c for c, b in byte_names().items()}
+        self.model = self.tokenizer.model
+        (self.line_feed,) = self._ids("\n").tolist()
+
+    def _ids(self, text: str) -> np.ndarray:
+        ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        return np.array(ids, "<u4")
+
+    def _learn(self, unseen: set[str]) -> None:
+        again = unseen & self.older.keys()
+        self.known.update((p, self.older[p]) for p in again)
+        others, marked = [], []
+        tokenize, blank = self.model.tokenize, self.names[32]
+        for p in unseen - again:
+            if not (p[1:] if p[:1] == " " else p).isalpha():
+                # A mark behind a letter is a token of its own: the word without it will do.
+                (marked if p[-1:] in _MARKS and p[-2:-1].isalpha() else others).append(p)
+                continue
+            if p.isascii():
+                named = p.replace(" ", blank)
+            else:
+                named = p.encode("utf-8").decode("latin-1").translate(self.names)
+            self.known[p] = array("I", [t.id for t in tokenize(named)]).tobytes()
+        if marked:
+            self._learn({q for p in marked for q in (p[:-1], p[-1])}.difference(self.known))
+            self.known.update((p, self.known[p[:-1]] + self.known[p[-1]]) for p in marked)
+        odd = [p for p in others if "\n" in p or p.isspace() or not p]
+        self.known.update((p, self._ids(p).tobytes()) for p in odd)
+        lines = sorted(set(others).difference(odd))
+        for first in range(0, len(lines), _LINES):
+            part = lines[first : first + _LINES]
+            ids = self._ids("\n".join(part))
+            cut = np.flatnonzero(ids == self.line_feed).tolist()
+            assert len(cut) == len(part) - 1
+            data = ids.tobytes()
+            starts, ends = [0, *(4 * c + 4 for c in cut)], [*(4 * c for c in cut), len(data)]
+            self.known.update(zip(part, map(data.__getitem__, map(slice, starts, ends))))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Special strings act beyond their piece, so texts that hold one are encoded whole."""
         whole = [any(s in t for s in self.special) for t in texts]
         split = [[] if w else pieces(t) for t, w in zip(texts, whole)]
         if len(self.known) > _CACHED:
-            self.known.clear()
-        unseen = list(dict.fromkeys(p for ps in split for p in ps if p not in self.known))
-        self.known.update(zip(unseen, self._encode(unseen)))
+            self.known, self.older = {}, self.known
+        self._learn(set().union(*split).difference(self.known))
         joined = [b"".join(map(self.known.__getitem__, ps)) for ps in split]
-        made = [self._encode([t])[0] if w else j for t, w, j in zip(texts, whole, joined)]
-        return [np.frombuffer(x, "<u4") for x in made]
+        return [
+            self._ids(t) if w else np.frombuffer(j, "<u4") for t, w, j in zip(texts, whole, joined)
+        ]
 
 
 def _encoding(path: str, end: int):
