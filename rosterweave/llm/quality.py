@@ -89,9 +89,13 @@ class Forest:
         return 1 / (1 + np.exp(-np.clip(total, -30, 30)))
 
 
-def fit(x: np.ndarray, y: np.ndarray) -> Forest:
-    """Boost the log loss. With one label only, or none, the score is the smoothed share of ones."""
-    share = (y.sum() + 1) / (len(y) + 2)
+def fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> Forest:
+    """Boost the log loss. With one label only, or none, the score is the smoothed share of ones.
+
+    ``weight`` is how many rows of the whole table a row stands for; its mean does not count.
+    """
+    weight = np.ones(len(y)) if weight is None else weight * (len(y) / max(weight.sum(), 1e-9))
+    share = ((weight * y).sum() + 1) / (len(y) + 2)
     start = float(np.log(share / (1 - share)))
     inner, leaves = 2**DEPTH - 1, 2**DEPTH
     if len(np.unique(y)) < 2:
@@ -102,7 +106,7 @@ def fit(x: np.ndarray, y: np.ndarray) -> Forest:
     trees = []
     for _ in range(ROUNDS):
         p = 1 / (1 + np.exp(-total))
-        slope, bend = p - y, p * (1 - p)
+        slope, bend = weight * (p - y), weight * p * (1 - p)
         feature, threshold = np.zeros(inner, int), np.full(inner, np.inf)
         node = np.zeros(len(y), np.int64)
         for level in range(DEPTH):
@@ -148,7 +152,8 @@ def _measuring(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         x = _table(batch["text"].to_pylist())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(list(x), pa.list_(pa.float64())), batch["label"]], ["x", "label"]
+            [pa.array(list(x), pa.list_(pa.float64())), batch["label"], batch["weight"]],
+            ["x", "label", "weight"],
         )
 
 
@@ -160,12 +165,13 @@ def train(docs: DataFrame, labels: DataFrame, stage: Stage) -> Forest:
     learn = remainder("doc_id", FOLDS) != 0
     sample = labelled_sample(docs, labels, learn, SAMPLE, stage)
     measured = map_arrow(
-        sample.select("text", F.col("label").cast("int").alias("label")),
-        _measuring, "x array<double>, label int",
+        sample.select("text", F.col("label").cast("int").alias("label"), "weight"),
+        _measuring, "x array<double>, label int, weight double",
     ).toPandas()
     if not len(measured):
         return fit(np.zeros((0, len(STATISTICS))), np.zeros(0))
-    return fit(np.stack(measured["x"].to_list()), measured["label"].to_numpy(float))
+    y, weight = (measured[c].to_numpy(float) for c in ("label", "weight"))
+    return fit(np.stack(measured["x"].to_list()), y, weight)
 
 
 def scored(docs: DataFrame, forest: Forest, columns: list[str]) -> DataFrame:

@@ -19,7 +19,10 @@ def remainder(doc_id: str | Column, divisor: int) -> Column:
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, learn: Column, most: dict[int, int], stage: Stage
 ) -> DataFrame:
-    """``text, label`` of up to ``most[label]`` rows per label, stored.
+    """``text, label, weight`` of up to ``most[label]`` rows per label, stored.
+
+    ``weight`` is how many learnable labels a row stands for: the number of its label in the whole
+    table over the number taken, so weighted shares are those of the table however large it is.
 
     ``labels`` has ``doc_id, label``; rows count where ``learn`` is true. Rows are taken by a hash
     of the id, so they are spread over the table and the same in every run. A document with two
@@ -27,14 +30,16 @@ def labelled_sample(
     """
     ids = labels.where(learn & F.col("doc_id").isNotNull()).groupBy("doc_id")
     ids = ids.agg(F.max("label").alias("label"))
+    count = dict(ids.where(F.col("label").isin(*most)).groupBy("label").count().collect())
     parts = [
         ids.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+        .withColumn("weight", F.lit(max(count.get(label, 0) / n, 1.0)))
         for label, n in most.items()
     ]
     taken = parts[0]
     for part in parts[1:]:
         taken = taken.union(part)
-    # At most sum(most) rows of two numbers.
+    # At most sum(most) rows of three numbers.
     chosen = docs.select("doc_id", "text").join(F.broadcast(taken), "doc_id")
     short = chosen.where(F.length(F.coalesce("text", F.lit(""))) <= SAMPLED_CHARS)
-    return stage(short.dropDuplicates(["doc_id"]).select("doc_id", "text", "label"), "sample")
+    return stage(short.dropDuplicates(["doc_id"]).select("doc_id", "text", "label", "weight"), "sample")

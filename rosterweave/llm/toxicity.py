@@ -150,26 +150,31 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.raw(x) + self.shift, -30, 30)))
 
 
-def fit(dictionaries: Dictionaries, x: np.ndarray, y: np.ndarray) -> Model:
+def fit(
+    dictionaries: Dictionaries, x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None
+) -> Model:
     """Logistic fit; the score ``CUT`` stands where the F1 measure on ``x`` is best.
 
-    With one label only, or none, every text has the same low score.
+    With one label only, or none, every text has the same low score. ``weight`` is how many rows
+    of the whole table a row stands for; its mean does not count.
     """
     none = np.zeros(0)
     if len(np.unique(y)) < 2:
         return Model(dictionaries, none, none, none, 0.0)
-    middle, spread = x.mean(0), x.std(0) + 1e-9
+    weight = np.ones(len(y)) if weight is None else weight * (len(y) / weight.sum())
+    middle = np.average(x, 0, weight)
+    spread = np.sqrt(np.average((x - middle) ** 2, 0, weight)) + 1e-9
     z = np.c_[(x - middle) / spread, np.ones(len(x))]
     w = np.zeros(z.shape[1])
     ridge = np.diag([1.0] * (len(w) - 1) + [1e-6])
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        hessian = (z * (p * (1 - p))[:, None]).T @ z + ridge
-        w = w - np.linalg.solve(hessian, z.T @ (p - y) + ridge @ w)
+        hessian = (z * (weight * p * (1 - p))[:, None]).T @ z + ridge
+        w = w - np.linalg.solve(hessian, z.T @ (weight * (p - y)) + ridge @ w)
     raw = z @ w
     order = np.argsort(-raw, kind="stable")
-    hits = np.cumsum(y[order])
-    f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
+    hits = np.cumsum((weight * y)[order])
+    f1 = 2 * hits / (np.cumsum(weight[order]) + (weight * y).sum())
     best = int(f1.argmax())
     cut = raw[order[best]]
     if best + 1 < len(y):
@@ -185,8 +190,9 @@ def train(docs: DataFrame, labels: DataFrame, stage: Stage) -> Model:
     """
     learn = remainder("doc_id", FOLDS) != 1
     sample = labelled_sample(docs, labels, learn, SAMPLE, stage)
-    rows = sample.orderBy(F.xxhash64("doc_id"), "doc_id").select("text", "label").toPandas()
+    rows = sample.orderBy(F.xxhash64("doc_id"), "doc_id").select("text", "label", "weight").toPandas()
     texts, y = rows["text"].tolist(), rows["label"].astype(int).tolist()
+    weights = dict(zip(y, rows["weight"]))
     if len(set(y)) < 2:
         return fit(train_dictionaries(texts, y), np.zeros((len(y), 1)), np.array(y, float))
     found = []
@@ -198,7 +204,7 @@ def train(docs: DataFrame, labels: DataFrame, stage: Stage) -> Model:
         found.append(map_arrow(own, _measuring(other), "x array<double>, label int").toPandas())
     x = np.concatenate([np.stack(f["x"].to_list()) for f in found])
     measured = np.concatenate([f["label"].to_numpy(float) for f in found])
-    return fit(train_dictionaries(texts, y), x, measured)
+    return fit(train_dictionaries(texts, y), x, measured, np.array([weights[int(v)] for v in measured]))
 
 
 def _measuring(dictionaries: Dictionaries):

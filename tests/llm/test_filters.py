@@ -135,6 +135,50 @@ def test_sample_is_bounded_and_learns_no_held_out_row(spark, stage):
     assert all(zlib.crc32(str(r.doc_id).encode()) % 3 != 1 for r in taken)
 
 
+def overlapping(n, share, rude, seed):
+    """Texts whose number of rude words and marks leans on the label, without telling it surely."""
+    rng = np.random.default_rng(seed)
+    rows, labels = [], []
+    for i in range(n):
+        one = rng.random() < share
+        words = ["".join(rng.choice(["th", "er", "on", "an", "in"], 3)) for _ in range(40)]
+        for at in rng.integers(0, 40, rng.poisson(2.6 if one else rude)):
+            words[at] = str(rng.choice(["idiot!", "worthless!", "pathetic!"]))
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(one)))
+    return rows, labels
+
+
+def test_capped_and_uncapped_fits_decide_alike(spark, tmp_path, monkeypatch):
+    rows, labels = overlapping(2500, 0.85, 0.6, 5)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    table = spark.createDataFrame(labels, "doc_id long, label int")
+    chosen = []
+    for name, most in (("all", quality.SAMPLE), ("capped", {0: 6000, 1: 250})):
+        monkeypatch.setattr(quality, "SAMPLE", most)
+        forest = quality.train(docs, table, Stage(spark, str(tmp_path / name)))
+        scores = quality.scored(docs, forest, ["doc_id"]).where(F.col("score") >= quality.CUT)
+        chosen.append({r.doc_id for r in scores.collect()})
+    assert len(chosen[0] ^ chosen[1]) < 0.1 * len(rows)
+
+
+def test_toxicity_of_a_capped_sample_cuts_where_the_whole_does(spark, stage, monkeypatch):
+    rng = np.random.default_rng(1)
+    y = (rng.random(20_000) < 0.12).astype(float)
+    x = rng.normal(size=(len(y), 1)) + 1.5 * y[:, None]
+    whole = toxicity.fit(None, x, y)
+    taken = (y == 1) | (rng.random(len(y)) < 0.05)
+    weight = np.where(y[taken] == 1, 1.0, (y == 0).sum() / (y[taken] == 0).sum())
+    capped = toxicity.fit(None, x[taken], y[taken], weight)
+    share = [(m.calibrated(x) >= toxicity.CUT).mean() for m in (whole, capped)]
+    assert abs(share[0] - share[1]) < 0.04
+    rows, labels = made(200)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    table = spark.createDataFrame([(i, t) for i, _, t in labels], "doc_id long, label int")
+    got = labelled_sample(docs, table, F.lit(True), {0: 30, 1: 500}, stage).groupBy("label").agg(F.max("weight"))
+    assert dict(got.collect()) == {0: 5.0, 1: 1.0}
+
+
 def test_trees_walk_as_their_arrays_say():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(300, len(quality.STATISTICS)))
