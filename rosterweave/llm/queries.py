@@ -13,6 +13,7 @@ from rosterweave.llm import (
     chat,
     decontaminate,
     quality,
+    sharding,
     simhash,
     substrings,
     token_counts,
@@ -233,3 +234,58 @@ FROM s QUALIFY rank <= 20
 @query
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assigned(table(spark, sf_dir, "documents"), Stage(spark))
+
+
+ORACLE_SQL["op11_sharding"] = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, CAST(doc_id AS BIGINT) AS doc_id, coalesce(text, '') AS text
+  FROM documents
+), h1 AS (
+  SELECT r, CASE WHEN doc_id IS NULL THEN NULL
+            WHEN doc_id < 0 THEN CAST(18446744073709551616 + doc_id::HUGEINT AS UBIGINT)
+            ELSE CAST(doc_id AS UBIGINT) END AS k
+  FROM d
+), h2 AS (
+  SELECT r, CAST(xor(k, k >> 33)::UHUGEINT * {sharding.MIX[0]}::UHUGEINT
+                 % 18446744073709551616::UHUGEINT AS UBIGINT) AS k FROM h1
+), h3 AS (
+  SELECT r, CAST(xor(k, k >> 33)::UHUGEINT * {sharding.MIX[1]}::UHUGEINT
+                 % 18446744073709551616::UHUGEINT AS UBIGINT) AS k FROM h2
+), h4 AS (
+  SELECT r, coalesce(xor(k, k >> 33), {sharding.NO_ID}::UBIGINT) AS k FROM h3
+), j AS (
+  SELECT r, n, k, CAST(0 AS BIGINT) AS shard, CAST(0 AS BIGINT) AS nxt
+  FROM h4, (VALUES ({sharding.SHARDS}), ({sharding.SHARDS + 1})) AS s(n)
+  UNION ALL
+  SELECT r, n, k2, nxt, CAST(floor((nxt + 1) * (2147483648.0::DOUBLE
+         / CAST((k2 >> 33) + 1 AS DOUBLE))) AS BIGINT)
+  FROM (SELECT *, CAST((k::UHUGEINT * {sharding.JUMP}::UHUGEINT + 1::UHUGEINT)
+                       % 18446744073709551616::UHUGEINT AS UBIGINT) AS k2 FROM j WHERE nxt < n)
+), s AS (
+  SELECT r, max(shard) FILTER (WHERE n = {sharding.SHARDS}) AS shard,
+         max(shard) FILTER (WHERE n = {sharding.SHARDS + 1}) AS grown
+  FROM j GROUP BY r
+), crc AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(range(9), lambda c, b: CASE WHEN b = 0 THEN c WHEN c & 1 = 1
+           THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS c FROM range(256) AS x(i))
+), bytes AS (
+  SELECT r, list_transform(regexp_extract_all(hex(encode(text)), '..'),
+                           lambda h: CAST('0x' || h AS BIGINT)) AS b FROM d
+), sums AS (
+  SELECT r, len(b) + {sharding.OVERHEAD} AS size,
+         xor(4294967295, list_reduce(b, lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1]),
+                                     4294967295)) AS text_crc32
+  FROM bytes, crc
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32,
+       '{sharding.LAW}' AS law, CAST(shard AS INTEGER) AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, size, text_crc32) - 1 AS slot,
+       CAST(grown AS INTEGER) AS grown_shard
+FROM d JOIN s USING (r) JOIN sums USING (r)
+"""
