@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterweave.llm import (
+    alignment,
     bpe,
     chat,
     decontaminate,
@@ -289,3 +290,8 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_
        CAST(grown AS INTEGER) AS grown_shard
 FROM d JOIN s USING (r) JOIN sums USING (r)
 """
+
+
+@query
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.link_counts(table(spark, sf_dir, "documents"), Stage(spark))
