@@ -21,6 +21,7 @@ from rosterweave.llm import (
     token_files,
     topk,
     toxicity,
+    vector_codes,
 )
 from rosterweave.llm.common import table
 from rosterweave.llm.samples import remainder
@@ -292,6 +293,61 @@ FROM d JOIN s USING (r) JOIN sums USING (r)
 """
 
 
+@query
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.code_table(table(spark, sf_dir, "embeddings"), Stage(spark))
+
+
+def _round_sql(turn: int) -> str:
+    """Assignment to the entries ``c{turn}`` and, before the last one, the entries that follow."""
+    assigned = f"""a{turn} AS MATERIALIZED (
+  SELECT r, p, arg_min(i, (c2 - 2 * list_inner_product(x, c), i)) AS i,
+         min(x2 - 2 * list_inner_product(x, c) + c2) AS d
+  FROM x JOIN c{turn} USING (p) GROUP BY r, p
+)"""
+    if turn == vector_codes.ROUNDS:
+        return assigned
+    return f"""{assigned}, m{turn} AS (
+  SELECT p, i, list(floor(s / n) ORDER BY k) AS c FROM (
+    SELECT p, i, k, sum(v) AS s, count(*) AS n
+    FROM (SELECT p, i, unnest(x) AS v, unnest(range(1, len(x) + 1)) AS k
+          FROM x JOIN a{turn} USING (r, p)) GROUP BY p, i, k
+  ) GROUP BY p, i
+), c{turn + 1} AS MATERIALIZED (
+  SELECT p, i, c, list_inner_product(c, c) AS c2
+  FROM (SELECT p, i, coalesce(m.c, o.c) AS c FROM c{turn} AS o LEFT JOIN m{turn} AS m USING (p, i))
+), {_round_sql(turn + 1)}"""
+
+
+ORACLE_SQL["op12_vector_codes"] = f"""
+WITH v AS (
+  SELECT vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r,
+         list_transform(embedding, lambda x: floor({vector_codes.SCALE} * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), x AS MATERIALIZED (
+  SELECT r, p, x, list_inner_product(x, x) AS x2 FROM (
+    SELECT r, p, list_slice(e, p * len(e) // {vector_codes.PARTS} + 1,
+                            (p + 1) * len(e) // {vector_codes.PARTS}) AS x
+    FROM v, range({vector_codes.PARTS}) AS t(p))
+), c0 AS MATERIALIZED (
+  SELECT p, r - 1 AS i, x AS c, x2 AS c2 FROM x WHERE r <= {vector_codes.ENTRIES}
+), {_round_sql(0)}, f AS (
+  SELECT r, string_agg(lower(printf('%02x', i)), '' ORDER BY p) AS code,
+         CAST(sum(d) AS BIGINT) AS error
+  FROM a{vector_codes.ROUNDS} GROUP BY r
+), h AS (
+  SELECT sha256(string_agg(CAST(CAST(y AS BIGINT) AS VARCHAR), ',' ORDER BY p, i, k)) AS h
+  FROM (SELECT p, i, unnest(c) AS y, unnest(range(1, len(c) + 1)) AS k
+        FROM c{vector_codes.ROUNDS})
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       h AS codebooks_sha256
+FROM v JOIN f USING (r), h
+"""
+
+
 @query
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.link_counts(table(spark, sf_dir, "documents"), Stage(spark))
