@@ -9,13 +9,21 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterweave.config import BENEFITS, STAFF_A, STAFF_B
+from rosterweave.config import BENEFITS, PAYROLL, STAFF_A, STAFF_B
 from rosterweave.operators.align import align
 from rosterweave.plans.staging import Stage
-from rosterweave.sources.benefits_xml import parse_benefits_xml, split_enrollments
-from rosterweave.sources.common import split_rejects
-from rosterweave.sources.payroll import read_payroll
-from rosterweave.sources.staff_csv import read_staff_csv
+from rosterweave.sources.benefits_xml import expected_elements, parse_benefits_xml
+from rosterweave.sources.common import (
+    ERROR,
+    FILE,
+    LINES,
+    STAFF_B_OFFSET,
+    in_file_order,
+    split_rejects,
+)
+from rosterweave.sources.csv_records import expected_lines
+from rosterweave.sources.payroll import parse_payroll
+from rosterweave.sources.staff_csv import parse_staff_csv
 from rosterweave.sources.staff_json import expected_records, parse_staff_json
 
 
@@ -23,7 +31,7 @@ from rosterweave.sources.staff_json import expected_records, parse_staff_json
 class Sources:
     """Paths of the four sources; each may be a file, a folder or a pattern.
 
-    ``csv_multiline`` lets quoted CSV cells hold line breaks, at the price of one task per file.
+    ``csv_multiline`` lets quoted CSV cells hold line breaks.
     """
 
     staff_csv: str
@@ -44,54 +52,78 @@ class Ingested(NamedTuple):
     report: DataFrame
 
 
-def ingest_report(
-    read: dict[str, DataFrame], rejects: DataFrame, expected: DataFrame
-) -> DataFrame:
-    """``source, rows_read, dead_letters, expected_records`` per source.
+def ingest_report(stored: dict[str, DataFrame], expected: dict[str, DataFrame]) -> DataFrame:
+    """``source, unit, expected, accounted, rows_read, dead_letters, files, files_off`` per source.
 
-    Only the page documents of staff B say how many records they hold.
+    What a file should give is counted apart from its parsing: lines behind the header of a CSV
+    file, ``total_records`` of a JSON page, start tags of an XML file. Against it stands what became
+    of it: the lines, records or elements that rows and dead letters take. ``files_off`` counts the
+    files where the two differ. Files that say nothing (pages without a number, JSON lines, payroll
+    as a table) are read, but not compared.
     """
-    counts = reduce(
-        DataFrame.unionByName,
-        [
-            df.agg(F.count(F.lit(1)).alias("rows_read")).select(F.lit(name).alias("source"), "rows_read")
-            for name, df in read.items()
-        ],
-    )
-    dead = rejects.groupBy("source").agg(F.count(F.lit(1)).alias("dead_letters"))
-    said = expected.agg(F.sum("total_records").alias("expected_records")).select(
-        F.lit(STAFF_B).alias("source"), "expected_records"
-    )
-    joined = counts.join(dead, "source", "left").join(said, "source", "left")
-    return joined.na.fill(0, ["dead_letters"])
+    made = []
+    for source, parsed in stored.items():
+        unit = LINES if LINES in parsed.columns else "records"
+        size = F.col(LINES) if LINES in parsed.columns else F.lit(1)
+        bad = F.col(ERROR).isNotNull()
+        found = parsed.groupBy(FILE).agg(
+            F.sum(size).alias("accounted"),
+            F.count_if(~bad).alias("rows_read"),
+            F.count_if(bad).alias("dead_letters"),
+        )
+        both = found.join(expected[source].select(FILE, "expected"), FILE, "full")
+        accounted = F.coalesce("accounted", F.lit(0))
+        totals = both.agg(
+            F.sum("expected").cast("long").alias("expected"),
+            F.sum(F.when(F.col("expected").isNotNull(), accounted)).cast("long").alias("accounted"),
+            *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("rows_read", "dead_letters")],
+            F.count("*").alias("files"),
+            F.count_if(F.col("expected") != accounted).alias("files_off"),
+        )
+        made.append(totals.select(F.lit(source).alias("source"), F.lit(unit).alias("unit"), "*"))
+    return reduce(DataFrame.unionByName, made)
+
+
+def _expected(spark: SparkSession, sources: Sources) -> dict[str, DataFrame]:
+    silent = spark.createDataFrame([], f"{FILE} string, expected long")
+    pages = silent
+    if not sources.staff_json_lines:
+        pages = expected_records(spark, sources.staff_json)
+        pages = pages.groupBy(FILE).agg(F.sum("total_records").alias("expected"))
+    paid = silent
+    if sources.payroll_format == "csv":
+        paid = expected_lines(spark, sources.payroll, sources.csv_encoding)
+    return {
+        STAFF_A: expected_lines(spark, sources.staff_csv, sources.csv_encoding),
+        STAFF_B: pages,
+        PAYROLL: paid,
+        BENEFITS: expected_elements(spark, sources.benefits_xml),
+    }
 
 
 def ingest_all(spark: SparkSession, sources: Sources, stage: Stage) -> Ingested:
-    """Text is parsed once: the tables are stored with their ordinals and errors, then split."""
+    """Text is parsed once: the tables are stored with their ordinals and errors, then split.
+
+    Ordinals follow the names of the files, so of repeated ids the row of the first file is first.
+    """
     csv = sources.csv_encoding, sources.csv_multiline
-    staff_a = stage(read_staff_csv(spark, sources.staff_csv, *csv), "staff_a")
-    staff_b = split_rejects(
-        stage(parse_staff_json(spark, sources.staff_json, sources.staff_json_lines), "staff_b"),
-        STAFF_B,
-    )
-    payroll = stage(
-        read_payroll(spark, sources.payroll, sources.payroll_format, *csv), "payroll"
-    )
-    benefits = split_enrollments(
-        stage(parse_benefits_xml(spark, sources.benefits_xml), "benefits")
-    )
-    rejects = staff_b.rejects.unionByName(benefits.rejects)
-    rows = {
-        STAFF_A: staff_a, STAFF_B: staff_b.rows, "payroll": payroll, BENEFITS: benefits.rows
+    parsed = {
+        STAFF_A: parse_staff_csv(spark, sources.staff_csv, stage.within("staff_csv"), *csv),
+        STAFF_B: parse_staff_json(spark, sources.staff_json, sources.staff_json_lines),
+        PAYROLL: parse_payroll(
+            spark, sources.payroll, stage.within("payroll_csv"), sources.payroll_format, *csv
+        ),
+        BENEFITS: parse_benefits_xml(spark, sources.benefits_xml),
+    }
+    stored = {source: stage(df, f"parsed_{source}") for source, df in parsed.items()}
+    split = {
+        source: split_rejects(in_file_order(df, STAFF_B_OFFSET if source == STAFF_B else 0), source)
+        for source, df in stored.items()
     }
-    if sources.staff_json_lines:
-        expected = spark.createDataFrame([], "file string, total_records long")
-    else:
-        expected = expected_records(spark, sources.staff_json)
     return Ingested(
-        align(staff_a, staff_b.rows),
-        payroll,
-        benefits.rows,
-        rejects,
-        stage(ingest_report(rows, rejects, expected), "ingest_report"),
+        align(split[STAFF_A].rows, split[STAFF_B].rows),
+        split[PAYROLL].rows,
+        split[BENEFITS].rows,
+        reduce(DataFrame.unionByName, [part.rejects for part in split.values()]),
+        stage(ingest_report(stored, _expected(spark, sources)), "ingest_report"),
     )

@@ -42,3 +42,7 @@ class Stage:
         path = f"{self.folder}/{name}"
         df.write.parquet(path)
         return self._spark.read.schema(df.schema).parquet(path)
+
+    def within(self, name: str) -> Stage:
+        """A stage of its own in the folder of this one, for steps that name tables themselves."""
+        return Stage(self._spark, f"{self.folder}/{name}")

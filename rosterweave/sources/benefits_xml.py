@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterweave.config import BENEFITS
 from rosterweave.functions.text import strip
 from rosterweave.sources.common import (
     ERROR,
+    FILE,
     RAW_RECORD,
-    Parsed,
+    file_of_scan,
     read_or_empty,
-    split_rejects,
     string_columns,
     with_ordinal,
 )
@@ -20,9 +19,10 @@ from rosterweave.sources.common import (
 TEXTS = ["employee_id", "plan_type", "coverage_level", "enrollment_date"]
 PREMIUMS = ["premium_employee", "premium_employer"]
 COLUMNS = TEXTS + PREMIUMS
-# What children of other names hold, as XML text without their tags, and the whole text of an element that cannot be read.
-OTHERS, UNREADABLE = "other_children", "unreadable"
+UNREADABLE = "unreadable"
 BAD_ELEMENT = "Element is not well-formed"
+_END = "</enrollment>"
+_START = r"<enrollment(?=[\s>])"
 
 # Fixed value: number texts beyond plain decimals (any case, single underscores in digits).
 SPECIAL_NUMBER = (
@@ -43,64 +43,72 @@ def _premium(text: Column) -> Column:
     )
 
 
+def elements_of(chunks: DataFrame, *keep: str) -> DataFrame:
+    """``keep`` and ``raw``, the text of each element, of chunks of XML text in ``value``.
+
+    A chunk is what stands before an end tag of an element. All of its start tags but the last lack
+    their end tag, so damage stays within an element. An empty element tag gives nothing.
+    """
+    pieces = F.split(F.regexp_replace("value", rf"\A(?s:.*?)({_START}|\z)", "$1"), f"(?={_START})")
+    placed = chunks.select(*keep, pieces.alias("_pieces"))
+    filled = F.filter("_pieces", lambda x: x.rlike(rf"\A{_START}") & ~x.rlike(r"\A<enrollment\s[^>]*/>"))
+    last = F.element_at("_pieces", -1)
+    closed = F.transform(filled, lambda x: F.when(x == last, F.concat(x, F.lit(_END))).otherwise(x))
+    return placed.select(*keep, F.explode(closed).alias(RAW_RECORD))
+
+
 def parse_enrollments(elements: DataFrame, *keep: str) -> DataFrame:
-    """Typed columns from text columns, and an error with the element's texts where unusable."""
-    typed = elements.select(
+    """Typed columns of the elements in ``raw_record``, and an error where one is unusable."""
+    schema = f"{string_columns(COLUMNS)}, {UNREADABLE} string"
+    options = {
+        "ignoreSurroundingSpaces": "false", "columnNameOfCorruptRecord": UNREADABLE, "rowTag": "enrollment",
+    }
+    read = elements.select(*keep, RAW_RECORD, F.from_xml(RAW_RECORD, schema, options).alias("_e"))
+    text = {c: F.col(f"_e.{c}") for c in COLUMNS}
+    typed = read.select(
         *keep,
-        *[F.coalesce(strip(F.col(c)), F.lit("")).alias(c) for c in TEXTS],
-        *[_premium(F.col(c)).alias(c) for c in PREMIUMS],
-        F.struct(*COLUMNS).alias("_element"),
-        *[
-            (F.col(c) if c in elements.columns else F.lit(None).cast(kind)).alias(c)
-            for c, kind in ((OTHERS, "array<string>"), (UNREADABLE, "string"))
-        ],
+        *[F.coalesce(strip(text[c]), F.lit("")).alias(c) for c in TEXTS],
+        *[_premium(text[c]).alias(c) for c in PREMIUMS],
+        "_e", RAW_RECORD,
     )
     errors = [
-        F.when(F.col(UNREADABLE).isNotNull(), BAD_ELEMENT),
+        F.when(F.col("_e").isNull() | F.col(f"_e.{UNREADABLE}").isNotNull(), BAD_ELEMENT),
         F.when(F.col("employee_id") == "", "empty employee_id"),
     ]
     for c in PREMIUMS:
-        text = F.col("_element")[c]
-        message = F.concat(F.lit("could not convert string to float: '"), text, F.lit("'"))
+        message = F.concat(F.lit("could not convert string to float: '"), text[c], F.lit("'"))
         errors.append(F.when(F.col(c).isNull(), message))
     error = F.coalesce(*errors)
     return typed.select(
-        *keep,
-        *COLUMNS,
-        error.alias(ERROR),
-        F.when(error.isNotNull(), F.struct("_element", OTHERS, UNREADABLE)).alias(RAW_RECORD),
+        *keep, *COLUMNS, error.alias(ERROR), F.when(error.isNotNull(), F.col(RAW_RECORD)).alias(RAW_RECORD)
     )
 
 
-def split_enrollments(parsed: DataFrame) -> Parsed:
-    """Only dead letters are turned back into XML text."""
-    split = split_rejects(parsed, BENEFITS)
-    known = F.to_xml(f"{RAW_RECORD}._element", {"rowTag": "enrollment", "indent": ""})
-    tagged = F.transform(f"{RAW_RECORD}.{OTHERS}", lambda x: F.concat(F.lit("<other>"), x, F.lit("</other>")))
-    others = F.coalesce(F.array_join(tagged, ""), F.lit(""))
-    whole = F.concat(F.regexp_replace(known, r"\s*</enrollment>$", ""), others, F.lit("</enrollment>"))
-    raw = F.coalesce(f"{RAW_RECORD}.{UNREADABLE}", whole)
-    return Parsed(split.rows, split.rejects.withColumn(RAW_RECORD, raw))
-
-
 def parse_benefits_xml(spark: SparkSession, path: str) -> DataFrame:
-    """Enrolments with ordinals and errors. Store the result, then ``split_enrollments``.
+    """Enrolments with ordinals and errors. Store the result, then ``split_rejects`` it.
 
-    An element that is not well-formed is an error with its text, whatever could be read of it.
-    The parser takes files apart by row tag, so damage stays within an element.
+    Files are split between tasks at the end tags of elements, and every element is parsed by
+    itself. An error keeps the element as it came; one that has no end tag reaches to the next start
+    tag, or to the end of the file, and there gets the end tag that it lacks.
     """
-    schema = f"{string_columns(COLUMNS)}, {OTHERS} array<string>, {UNREADABLE} string"
 
     def scan() -> DataFrame:
-        return (
-            spark.read.format("xml")
-            .option("rowTag", "enrollment")
-            .option("ignoreSurroundingSpaces", False)
-            .option("useLegacyXMLParser", True)
-            .option("wildcardColName", OTHERS)
-            .option("columnNameOfCorruptRecord", UNREADABLE)
-            .schema(schema)
-            .load(path)
+        return spark.read.option("lineSep", _END).text(path).select("value", file_of_scan())
+
+    chunks = read_or_empty(spark, scan, f"value string, {FILE} string")
+    elements = with_ordinal(elements_of(chunks, FILE))
+    return parse_enrollments(elements, FILE, "ingest_ordinal")
+
+
+def expected_elements(spark: SparkSession, path: str) -> DataFrame:
+    """``file, expected``: start tags of elements that are not empty element tags."""
+
+    def scan() -> DataFrame:
+        chunks = spark.read.option("lineSep", _END).text(path)
+        found = F.regexp_count("value", F.lit(_START)) - F.regexp_count(
+            "value", F.lit(r"<enrollment\s[^>]*/>")
         )
+        return chunks.select(file_of_scan(), found.cast("long").alias("expected"))
 
-    return parse_enrollments(with_ordinal(read_or_empty(spark, scan, schema)), "ingest_ordinal")
+    found = read_or_empty(spark, scan, f"{FILE} string, expected long")
+    return found.groupBy(FILE).agg(F.sum("expected").alias("expected"))

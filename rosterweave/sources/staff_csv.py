@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from rosterweave.config import MISSING_CELLS
-from rosterweave.functions.text import missing_as_null
-from rosterweave.sources.common import absent, string_columns, with_ordinal
+from rosterweave.config import STAFF_A
+from rosterweave.plans.staging import Stage
+from rosterweave.sources.common import split_rejects
+from rosterweave.sources.csv_records import parse_csv
 
 COLUMNS = [
     "employee_id", "first_name", "last_name", "email", "department", "job_title", "hire_date",
@@ -18,64 +15,16 @@ COLUMNS = [
 ]
 
 
-def _headers(spark: SparkSession, path: str, encoding: str) -> dict[str, list[str]]:
-    """First lines, each with the files it stands in. Only the first block of a file is read for it."""
-    lines = spark.read.option("encoding", encoding).text(path).select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"),
-    )
-    firsts = lines.where("block = 0 and trim(value) <> ''").groupBy("file").agg(
-        F.min_by("value", "line").alias("header")
-    )
-    files: dict[str, list[str]] = {}
-    for row in firsts.orderBy("file").toLocalIterator():
-        files.setdefault(row.header, []).append(row.file)
-    return files
-
-
-def read_csv_table(
-    spark: SparkSession,
-    path: str,
-    columns: list[str],
-    encoding: str = "UTF-8",
-    multiline: bool = True,
+def parse_staff_csv(
+    spark: SparkSession, path: str, stage: Stage, encoding: str = "UTF-8", multiline: bool = True
 ) -> DataFrame:
-    """Columns by header name; cells that mean "missing" become null.
-
-    Files of a folder may have their columns in different orders: those with one header are one
-    scan. With ``multiline`` a quoted cell may hold line breaks, and a file is read by one task;
-    files known to have none are split between tasks without it.
-    """
-
-    def scan(paths: str | list[str]) -> DataFrame:
-        table = (
-            spark.read.option("header", True)
-            .option("encoding", encoding)
-            .option("escape", '"')
-            .option("multiLine", multiline)
-            .csv(paths)
-        )
-        lacking = [c for c in columns if c not in table.columns]
-        if lacking:
-            raise ValueError(f"{path} has no column {', '.join(lacking)}")
-        return table.select(*[missing_as_null(F.col(c), MISSING_CELLS).alias(c) for c in columns])
-
-    try:
-        headers = _headers(spark, path, encoding)
-    except AnalysisException as error:
-        if not absent(error):
-            raise
-        headers = {}
-    if not headers:
-        return spark.createDataFrame([], string_columns(columns))
-    if len(headers) == 1:
-        return scan(path)
-    return reduce(DataFrame.unionByName, [scan(files) for files in headers.values()])
+    """Rows with ordinals and errors. Store the result, then ``split_rejects`` it."""
+    return parse_csv(spark, path, COLUMNS, stage, encoding, multiline)
 
 
 def read_staff_csv(
     spark: SparkSession, path: str, encoding: str = "UTF-8", multiline: bool = True
 ) -> DataFrame:
-    return with_ordinal(read_csv_table(spark, path, COLUMNS, encoding, multiline))
+    """The usable rows alone."""
+    parsed = parse_staff_csv(spark, path, Stage(spark), encoding, multiline)
+    return split_rejects(parsed, STAFF_A).rows

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from rosterweave.sources.common import (
     ERROR,
+    FILE,
     RAW_RECORD,
     STAFF_B_OFFSET,
+    file_of_scan,
     read_or_empty,
     with_ordinal,
 )
@@ -101,9 +103,9 @@ def expected_records(spark: SparkSession, path: str) -> DataFrame:
 
     def scan() -> DataFrame:
         pages = spark.read.schema("total_records long").json(path, multiLine=True)
-        return pages.select(F.col("_metadata.file_path").alias("file"), "total_records")
+        return pages.select(file_of_scan(), "total_records")
 
-    return read_or_empty(spark, scan, "file string, total_records long")
+    return read_or_empty(spark, scan, f"{FILE} string, total_records long")
 
 
 def flatten_records(records: DataFrame, *keep: str) -> DataFrame:
@@ -128,8 +130,8 @@ def parse_staff_json(spark: SparkSession, path: str, lines: bool = False) -> Dat
     """Flattened records with ordinals and errors. Store the result, then ``split_rejects`` it."""
 
     def scan() -> DataFrame:
-        return spark.read.text(path, wholetext=not lines)
+        return spark.read.text(path, wholetext=not lines).select("value", file_of_scan())
 
-    text = read_or_empty(spark, scan, "value string")
-    records = parse_lines(text) if lines else explode_pages(text)
-    return flatten_records(with_ordinal(records, STAFF_B_OFFSET), "ingest_ordinal")
+    text = read_or_empty(spark, scan, f"value string, {FILE} string")
+    records = parse_lines(text, FILE) if lines else explode_pages(text, FILE)
+    return flatten_records(with_ordinal(records, STAFF_B_OFFSET), FILE, "ingest_ordinal")

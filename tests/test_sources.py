@@ -3,11 +3,11 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from rosterweave.config import STAFF_B
+from rosterweave.config import BENEFITS, STAFF_B
 from rosterweave.functions.values import parse_hire_date
 from rosterweave.operators import align
 from rosterweave.sources import benefits_xml, payroll, staff_csv, staff_json
-from rosterweave.sources.common import dead_letter_summary, split_rejects
+from rosterweave.sources.common import STAFF_B_OFFSET, dead_letter_summary, in_file_order, split_rejects
 
 HEADER = "employee_id,first_name,last_name,email,department,job_title,hire_date,country,employment_type,employment_status,manager_id\n"
 
@@ -51,7 +51,6 @@ def test_csv_ordinals_follow_the_file_across_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", 16000)
         spark.conf.set("spark.sql.files.openCostInBytes", 1000)
         table = staff_csv.read_staff_csv(spark, str(path), multiline=False)
-        assert table.rdd.getNumPartitions() > 3
         ids = [int(r.employee_id) for r in table.orderBy("ingest_ordinal").collect()]
     finally:
         for k, v in before.items():
@@ -152,11 +151,47 @@ def test_xml_damage_stays_in_its_element(spark, tmp_path):
         "<root><enrollment><employee_id>1</employee_id></enrollment>" + bad
         + "<enrollment><employee_id> </employee_id><note>keep <b>me</b></note></enrollment>"
         + "<enrollment><employee_id>3</employee_id></enrollment></root>")
-    parsed = benefits_xml.split_enrollments(benefits_xml.parse_benefits_xml(spark, str(tmp_path)))
+    parsed = split_rejects(benefits_xml.parse_benefits_xml(spark, str(tmp_path)), BENEFITS)
     assert sorted(r.employee_id for r in parsed.rows.collect()) == ["1", "3"]
     raw = {r.error: r.raw_record for r in parsed.rejects.collect()}
     assert raw[benefits_xml.BAD_ELEMENT] == bad
-    assert "keep <b>me</b>" in raw["empty employee_id"]
+    assert raw["empty employee_id"] == "<enrollment><employee_id> </employee_id><note>keep <b>me</b></note></enrollment>"
+
+
+def test_xml_elements_without_end_tags_and_over_splits(spark, tmp_path):
+    good = [f'<enrollment n="{i}">\n <employee_id>{i}</employee_id></enrollment>' for i in range(900)]
+    lost = "<enrollment><employee_id>lost</employee_id>\n"
+    text = "<r>" + "\n".join(good[:450]) + lost + "<enrollment/><enrollment />" + "\n".join(good[450:]) + lost + "</r>"
+    (tmp_path / "b.xml").write_text(text)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", 7000)
+        spark.conf.set("spark.sql.files.openCostInBytes", 1000)
+        read = benefits_xml.parse_benefits_xml(spark, str(tmp_path))
+        assert read.rdd.getNumPartitions() > 4
+        parsed = split_rejects(read, BENEFITS)
+        ids = [r.employee_id for r in parsed.rows.orderBy("ingest_ordinal").collect()]
+        raw = sorted(r.raw_record for r in parsed.rejects.collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert ids == [str(i) for i in range(900)]
+    assert raw == sorted([lost + "<enrollment/>", lost + "</r></enrollment>"])
+    assert benefits_xml.expected_elements(spark, str(tmp_path)).first().expected == 902
+
+
+def test_ordinals_follow_the_names_of_files_of_any_size(spark, tmp_path):
+    sizes = [3, 400, 1, 90, 1000]
+    for n, size in enumerate(sizes):
+        lines = [json.dumps(record(employee_identifier=f"{n}-{i:04}")) for i in range(size)]
+        (tmp_path / f"{n}.jsonl").write_text("\n".join(lines))
+    parsed = staff_json.parse_staff_json(spark, str(tmp_path), lines=True)
+    parsed.write.parquet(f"{tmp_path}/stored")
+    stored = spark.read.parquet(f"{tmp_path}/stored")
+    placed = in_file_order(stored, STAFF_B_OFFSET)
+    got = [r.employee_identifier for r in placed.orderBy("ingest_ordinal").collect()]
+    assert got == [f"{n}-{i:04}" for n, size in enumerate(sizes) for i in range(size)]
+    assert placed.agg(F.min("ingest_ordinal")).first()[0] >= STAFF_B_OFFSET
 
 
 def test_dates_of_company_b_in_all_layouts(spark):
@@ -186,7 +221,7 @@ def test_xml_texts_premiums_and_dead_letters(spark, tmp_path):
         element("10", "1_000"), element("11", "1.0d"), element("12", " 3 "), element("13", "Infinity"),
         element("14", " "), "<enrollment><plan_type>x</plan_type></enrollment>",
     ]) + "</root>")
-    parsed = benefits_xml.split_enrollments(benefits_xml.parse_benefits_xml(spark, str(tmp_path)))
+    parsed = split_rejects(benefits_xml.parse_benefits_xml(spark, str(tmp_path)), BENEFITS)
     rows = {r.employee_id: r for r in parsed.rows.collect()}
     assert {k: r.premium_employee for k, r in rows.items()} == {
         "7": 12.5, "9": 0.0, "10": 1000.0, "12": 3.0, "13": float("inf")

@@ -385,9 +385,23 @@ STEPS["enrollment_texts"] = """
           as employee_id, plan_type,
         case when ingest_ordinal % 5 <> 0 then coverage_level else '' end as coverage_level,
         enrollment_date, premium_employee, premium_employer,
-        case when ingest_ordinal % 97 = 0 then 'empty employee_id'
+        case when ingest_ordinal % 79 = 0 then 'Element is not well-formed'
+          when ingest_ordinal % 97 = 0 then 'empty employee_id'
           when ingest_ordinal % 89 = 0 then 'could not convert string to float: ''12x'''
-          when ingest_ordinal % 83 = 0 then 'could not convert string to float: ''n/a''' end as error
+          when ingest_ordinal % 83 = 0 then 'could not convert string to float: ''n/a''' end as error,
+        '<enrollment><employee_id> ' || case when ingest_ordinal % 97 = 0 then ' ' else employee_id end
+          || '</employee_id><plan_type>'
+          || case when ingest_ordinal % 79 = 0 then 'A &bad; ' else plan_type end || '</plan_type>'
+          || case when ingest_ordinal % 5 <> 0
+            then '<coverage_level>' || coverage_level || '</coverage_level>' else '' end
+          || case when ingest_ordinal % 97 = 0 then '<note>keep <b k="1">me</b></note>' else '' end
+          || '<enrollment_date>' || enrollment_date || '</enrollment_date><premium_employee>'
+          || case when ingest_ordinal % 89 = 0 then '12x' when ingest_ordinal % 7 = 0 then ''
+            else premium_employee::decimal(18,2)::varchar end || '</premium_employee>'
+          || case when ingest_ordinal % 83 = 0 then '<premium_employer>n/a</premium_employer>'
+            when ingest_ordinal % 3 <> 0
+            then '<premium_employer>' || premium_employer::decimal(18,2)::varchar || '</premium_employer>'
+            else '' end || '</enrollment>' as raw_record
       from fx_benefits"""
 STEPS["enrollments"] = """
       select ingest_ordinal, employee_id, plan_type, coverage_level, enrollment_date,
@@ -398,6 +412,58 @@ STEPS["enrollments"] = """
       from enrollment_texts where error is null"""
 
 
+def _csv_line(columns: list[str]) -> str:
+    cells = [
+        f"case when regexp_matches({c}, '[\",\\n]') then '\"' || replace({c}, '\"', '\"\"') || '\"' "
+        f"else coalesce({c}, '') end"
+        for c in columns
+    ]
+    return " || ',' || ".join(cells)
+
+
+def _csv_damaged(table: str, spared: int, source: str, columns: list[str]) -> str:
+    """Every record as a line of its page, and what is wrong with it."""
+    n = "ingest_ordinal"
+    width = len(columns)
+    return f"""
+      select *, {source} as source, case damage when 'open' then case when contains(line, '"')
+            then 'Text behind a closing quote' else 'Quote is never closed' end
+          when 'short' then 'Expected {width} cells, found {width - 1}'
+          when 'surplus' then 'Expected {width} cells, found {width + 1}' end as error,
+        case damage when 'open' then substr(line, 1, strpos(line, ',')) || '"'
+            || substr(line, strpos(line, ',') + 1)
+          when 'short' then regexp_replace(line, ',[^,]*$', '')
+          when 'surplus' then line || ',more' else line end as raw_record
+      from (select *,
+          case when {n} % 10 = {spared} then 'none' when {n} % 101 = 3 then 'open'
+            when {n} % 103 = 5 then 'short' when {n} % 107 = 7 then 'surplus' else 'none' end as damage,
+          case when ({n} // 500) % 2 = 0 then {_csv_line(columns)}
+            else {_csv_line(columns[::-1])} end as line
+        from {table})"""
+
+
+_STAFF_COLUMNS = [
+    "employee_id", "first_name", "last_name", "email", "department", "job_title", "hire_date",
+    "country", "employment_type", "manager_id",
+]
+_PAY_COLUMNS = [
+    "employee_id", "source", "base_salary", "currency", "pay_frequency", "effective_date",
+    "bonus_target_pct",
+]
+STEPS["staff_file"] = """
+      select * replace (case when ingest_ordinal % 10 = 4
+        then first_name || chr(10) || last_name else first_name end as first_name)
+      from fx_hris_a"""
+STEPS["pay_file"] = """
+      select * replace (case when ingest_ordinal % 10 = 7 then 'a' || chr(10) || 'b ' || pay_frequency
+        else pay_frequency end as pay_frequency), '2.5' as bonus_target_pct from fx_payroll"""
+STEPS["staff_lines"] = _csv_damaged("staff_file", 4, A, _STAFF_COLUMNS)
+STEPS["pay_lines"] = _csv_damaged("(select * rename (source as paid_by) from pay_file)", 7, "'Payroll_ADP'", [
+    "paid_by" if c == "source" else c for c in _PAY_COLUMNS
+])
+_PAGE_COUNTS = "count(*) filter (error is null), count(*) filter (error is not null)"
+
+
 def statement(query: str) -> str:
     """The query with the steps it needs in front, in order."""
     needed: list[str] = []
@@ -441,7 +507,7 @@ QUERIES: dict[str, str] = {
       from events where event_id % 7 = 0""",
     "enrollment_records": "select * from enrollments",
     "enrollment_dead_letters": """
-      select 'Benefits_MedShield' as source, error, plan_type, enrollment_date
+      select 'Benefits_MedShield' as source, raw_record, error
       from enrollment_texts where error is not null""",
     "dead_letters_by_error": f"""
       select {B} as source, error, count(*) as count from staff_errors where error is not null
@@ -449,15 +515,31 @@ QUERIES: dict[str, str] = {
       union all
       select 'Benefits_MedShield', error, count(*) from enrollment_texts where error is not null
       group by error""",
-    "staff_csv_scan": """
-      select * exclude (ingest_ordinal) replace (case when ingest_ordinal % 10 = 4
-        then first_name || chr(10) || last_name else first_name end as first_name)
-      from fx_hris_a""",
+    "staff_csv_scan": f"select {', '.join(_STAFF_COLUMNS)} from staff_lines where error is null",
     "payroll_csv_scan": """
-      select employee_id, source, nullif(base_salary, 'n/a') as base_salary, currency,
-        case when ingest_ordinal % 10 = 7 then 'a' || chr(10) || 'b ' || pay_frequency
-          else pay_frequency end as pay_frequency,
-        2.5::double as bonus_target_pct, effective_date from fx_payroll""",
+      select employee_id, paid_by as source, nullif(base_salary, 'n/a') as base_salary, currency,
+        pay_frequency, 2.5::double as bonus_target_pct, effective_date
+      from pay_lines where error is null""",
+    "csv_dead_letters": """
+      select source, error, raw_record from staff_lines where error is not null
+      union all
+      select source, error, raw_record from pay_lines where error is not null""",
+    "ingest_report": f"""
+      select {A} as source, 'lines' as unit, l as expected, l as accounted, r as rows_read,
+        d as dead_letters, f as files, 0::bigint as files_off
+      from (select {_PAGE_COUNTS}, sum(1 + length(raw_record) - length(replace(raw_record, chr(10), '')))::bigint,
+        count(distinct ingest_ordinal // 500) from staff_lines) as t(r, d, l, f)
+      union all
+      select 'Payroll_ADP', 'lines', l, l, r, d, f, 0
+      from (select {_PAGE_COUNTS}, sum(1 + length(raw_record) - length(replace(raw_record, chr(10), '')))::bigint,
+        count(distinct ingest_ordinal // 500) from pay_lines) as t(r, d, l, f)
+      union all
+      select {B}, 'records', r + d, r + d, r, d, f, 0
+      from (select {_PAGE_COUNTS}, count(distinct (ingest_ordinal - 1000000000) // 100)
+        from staff_errors) as t(r, d, f)
+      union all
+      select 'Benefits_MedShield', 'records', r + d, r + d, r, d, f, 0
+      from (select {_PAGE_COUNTS}, count(distinct ingest_ordinal // 10000) from enrollment_texts) as t(r, d, f)""",
     "enrollment_xml_scan": "select * exclude (ingest_ordinal) from enrollments",
     "payroll_repeated_ids": """
       select count(*) - count(distinct employee_id) - max((employee_id is null)::int)
@@ -661,6 +743,29 @@ _FIGURES = {
     "tenure_histogram": "tenure_histogram", "enrollment_rate": "enrollment_rate",
     "check_bars": "dq_check_bars",
 }
+QUERIES |= {
+    "integrate_id_quarantine": f"select * exclude (ingest_ordinal) from ({QUERIES['pass1_quarantine']})",
+    "integrate_email_quarantine": f"select * exclude (ingest_ordinal) from ({QUERIES['pass2_quarantine']})",
+    "integrate_benefits": f"select * exclude (ingest_ordinal) from ({QUERIES['benefits_current']})",
+    "integrate_benefits_history": f"select * exclude (ingest_ordinal) from ({QUERIES['benefits_history']})",
+    "integrate_clean_reports": QUERIES["clean_reports"],
+    "integrate_pass_reports": QUERIES["dedup_reports"],
+    "integrate_validation": "select * exclude (check_no) from checks",
+    "integrate_ghosts": QUERIES["ghost_report"],
+    "integrate_ingest_report": f"""
+      select {A} as source, 'lines' as unit, n as expected, n as accounted, n as rows_read,
+        0::bigint as dead_letters, f as files, 0::bigint as files_off
+      from (select count(*), count(distinct ingest_ordinal // 500) from fx_hris_a) as t(n, f)
+      union all
+      select 'Payroll_ADP', 'lines', n, n, n, 0, f, 0
+      from (select count(*), count(distinct ingest_ordinal // 5000) from fx_payroll) as t(n, f)
+      union all
+      select {B}, 'records', n, n, n, 0, f, 0
+      from (select count(*), count(distinct (ingest_ordinal - 1000000000) // 100) from fx_hris_b) as t(n, f)
+      union all
+      select 'Benefits_MedShield', 'records', n, n, n, 0, f, 0
+      from (select count(*), count(distinct ingest_ordinal // 50000) from fx_benefits) as t(n, f)""",
+}
 QUERIES |= {
     "golden_round_trip": _STAMPED,
     "integrate_golden": _STAMPED,

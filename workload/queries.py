@@ -9,11 +9,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterweave.config import STAFF_B, Settings
+from rosterweave.config import BENEFITS, PAYROLL, STAFF_A, STAFF_B, Settings
 from rosterweave.functions import text, values
 from rosterweave.operators import aggregates, align, clean, fuzzy, identity, quality, review
 from rosterweave.operators.keep_one import split_latest
-from rosterweave.plans.ingest import Sources
+from rosterweave.plans.ingest import Sources, ingest_all
 from rosterweave.plans.integrate import integrate
 from rosterweave.plans.resolve import BENEFITS_KEY, BENEFITS_ORDER, Resolved, exact_passes
 from rosterweave.plans.staging import Stage
@@ -200,95 +200,209 @@ def props_dead_letters(spark, folder):
     )
 
 
-def raw_enrollments(spark, folder):
-    """Enrolment elements as text, some with a blank id, a missing or an unreadable premium."""
+def element(*tags):
+    """An enrolment element; absent texts leave no tag."""
+    parts = [F.concat(F.lit(f"<{t}>"), c, F.lit(f"</{t}>")) for t, c in tags]
+    texts = [F.coalesce(p, F.lit("")) for p in parts]
+    return F.concat(F.lit("<enrollment>"), *texts, F.lit("</enrollment>"))
+
+
+def money(c):
+    return F.col(c).cast("decimal(18,2)").cast("string")
+
+
+def enrollment_texts(spark, folder):
+    """Enrolment elements as text. Some have a blank id, a missing or an unreadable premium, or
+    cannot be read at all; some of these hold other tags too."""
     c, n = F.col, F.col("ingest_ordinal")
     fx = fixture(spark, folder, "fx_benefits")
-    return fx.select(
-        "ingest_ordinal",
-        F.when(n % 97 == 0, "  ").otherwise(F.concat(F.lit(" "), c("employee_id"))).alias("employee_id"),
-        "plan_type",
-        F.when(n % 5 != 0, c("coverage_level")).alias("coverage_level"),
-        "enrollment_date",
-        F.when(n % 89 == 0, "12x").when(n % 7 == 0, "").otherwise(
-            c("premium_employee").cast("decimal(18,2)").cast("string")
-        ).alias("premium_employee"),
-        F.when(n % 83 == 0, "n/a").when(n % 3 != 0,
-            c("premium_employer").cast("decimal(18,2)").cast("string")
-        ).alias("premium_employer"),
+    raw = element(
+        ("employee_id", F.when(n % 97 == 0, "  ").otherwise(F.concat(F.lit(" "), c("employee_id")))),
+        ("plan_type", F.when(n % 79 == 0, "A &bad; ").otherwise(c("plan_type"))),
+        ("coverage_level", F.when(n % 5 != 0, c("coverage_level"))),
+        ("note", F.when(n % 97 == 0, 'keep <b k="1">me</b>')),
+        ("enrollment_date", c("enrollment_date")),
+        ("premium_employee", F.when(n % 89 == 0, "12x").when(n % 7 == 0, "").otherwise(money("premium_employee"))),
+        ("premium_employer", F.when(n % 83 == 0, "n/a").when(n % 3 != 0, money("premium_employer"))),
     )
+    return fx.select("ingest_ordinal", raw.alias(RAW_RECORD))
 
 
 def parsed_enrollments(spark, folder):
     stage = Stage(spark)
-    elements = stage(raw_enrollments(spark, folder), "elements")
-    return stage(benefits_xml.parse_enrollments(elements, "ingest_ordinal"), "benefits")
+    elements = enrollment_texts(spark, folder)
+    parsed = stage(benefits_xml.parse_enrollments(elements, "ingest_ordinal"), "benefits")
+    return split_rejects(parsed, BENEFITS)
 
 
 @query
 def enrollment_records(spark, folder):
-    return benefits_xml.split_enrollments(parsed_enrollments(spark, folder)).rows
-
-
-@query
-def enrollment_dead_letters(spark, folder):
-    rejects = benefits_xml.split_enrollments(parsed_enrollments(spark, folder)).rejects
-    return rejects.select(
-        "source", ERROR,
-        F.xpath_string(RAW_RECORD, F.lit("enrollment/plan_type")).alias("plan_type"),
-        F.xpath_string(RAW_RECORD, F.lit("enrollment/enrollment_date")).alias("enrollment_date"),
-    )
+    return parsed_enrollments(spark, folder).rows
 
 
 @query
 def dead_letters_by_error(spark, folder):
     both = split_rejects(parsed_staff(spark, folder), STAFF_B).rejects.unionByName(
-        benefits_xml.split_enrollments(parsed_enrollments(spark, folder)).rejects
+        parsed_enrollments(spark, folder).rejects
     )
     return dead_letter_summary(both)
 
 
-def _write_csv(df, path):
-    df.write.mode("append").option("header", True).option("escape", '"').option(
-        "ignoreLeadingWhiteSpace", False
-    ).option("ignoreTrailingWhiteSpace", False).csv(path)
+def write_pages(df, path, page, order, line, head, join="\n", tail=""):
+    """Text files of the lines of a page each, in order; the files' names follow the pages.
 
+    A page is a range of ordinals, so it holds a bounded number of lines.
+    """
+    lines = F.array_sort(F.collect_list(F.struct(*order, line.alias("_line"))))
+    texts = df.groupBy(page.alias("_page"), head.alias("_head")).agg(
+        F.array_join(F.transform(lines, lambda x: x["_line"]), join).alias("_lines"),
+        F.count("*").alias("_n"),
+    )
+    value = F.concat(F.replace("_head", F.lit("#"), F.col("_n").cast("string")), "_lines", F.lit(tail))
+    dealt = texts.repartitionByRange("_page").sortWithinPartitions("_page").select(value.alias("value"))
+    dealt.write.option("maxRecordsPerFile", 1).text(path)
 
-@query
-def staff_csv_scan(spark, folder):
-    """Staff A written as CSV in two column orders, with line breaks in names, and read back."""
-    path = f"{Stage(spark).folder}/staff_csv"
+
+def csv_line(columns):
+    def cell(c):
+        quoted = F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+        return F.coalesce(F.when(F.col(c).rlike('[",\n\r]'), quoted).otherwise(F.col(c)), F.lit(""))
+
+    return F.concat_ws(",", *[cell(c) for c in columns])
+
+
+def csv_damage(spared):
+    """How a record is damaged: a quote that stays open, a cell too few or too many, or not at all.
+
+    Records with a line break (ordinals that end in ``spared``) are left alone.
+    """
+    n = F.col("ingest_ordinal")
+    return F.when(n % 10 == spared, "none").when(n % 101 == 3, "open").when(n % 103 == 5, "short").when(
+        n % 107 == 7, "surplus"
+    ).otherwise("none")
+
+
+def damaged_line(line, damage):
+    first = F.substring_index(line, ",", 1)
+    behind = F.substr(line, F.length(first) + 2)
+    return (
+        F.when(damage == "open", F.concat(first, F.lit(',"'), behind))
+        .when(damage == "short", F.regexp_replace(line, ",[^,]*$", ""))
+        .when(damage == "surplus", F.concat(line, F.lit(",more")))
+        .otherwise(line)
+    )
+
+
+def write_csv_pages(rows, path, spared=None, size=500):
+    """Pages of CSV, with the columns the other way round in every second one, some records damaged."""
+    columns = [c for c in rows.columns if c != "ingest_ordinal"]
+    page = F.floor(F.col("ingest_ordinal") / size)
+
+    def either(form):
+        return F.when(page % 2 == 0, form(columns)).otherwise(form(columns[::-1]))
+
+    line = either(csv_line)
+    if spared is not None:
+        line = damaged_line(line, csv_damage(spared))
+    head = either(lambda cs: F.lit(",".join(cs) + "\n"))
+    write_pages(rows, path, page, ["ingest_ordinal"], line, head)
+
+
+def raw_staff(spark, folder):
+    """Staff A with line breaks in names."""
     rows = staff_a(spark, folder)
     broken = F.when(F.col("ingest_ordinal") % 10 == 4, F.concat("first_name", F.lit("\n"), "last_name"))
-    rows = rows.withColumn("first_name", F.coalesce(broken, "first_name"))
-    halves = [rows.where("ingest_ordinal % 2 = 0"), rows.where("ingest_ordinal % 2 = 1")]
-    for half, columns in zip(halves, (rows.columns[1:], rows.columns[:0:-1])):
-        _write_csv(half.select(*columns), path)
-    return staff_csv.read_staff_csv(spark, path).drop("ingest_ordinal")
+    return rows.withColumn("first_name", F.coalesce(broken, "first_name"))
 
 
-@query
-def payroll_csv_scan(spark, folder):
-    """Payroll written as CSV and read back; 'n/a' cells arrive as null."""
-    path = f"{Stage(spark).folder}/payroll_csv"
+def raw_payroll(spark, folder):
+    """Payroll with line breaks in a column."""
     rows = fixture(spark, folder, "fx_payroll").withColumn("bonus_target_pct", F.lit("2.5"))
     broken = F.when(F.col("ingest_ordinal") % 10 == 7, F.concat(F.lit("a\nb "), "pay_frequency"))
-    rows = rows.withColumn("pay_frequency", F.coalesce(broken, "pay_frequency"))
-    halves = [rows.where("ingest_ordinal % 2 = 0"), rows.where("ingest_ordinal % 2 = 1")]
-    for half, columns in zip(halves, (rows.columns[1:], rows.columns[:0:-1])):
-        _write_csv(half.select(*columns), path)
-    return payroll.read_payroll(spark, path).drop("ingest_ordinal")
+    return rows.withColumn("pay_frequency", F.coalesce(broken, "pay_frequency"))
+
+
+def parsed_csv(spark, folder):
+    """Staff A and payroll written as CSV with damaged records, and parsed."""
+    stage = Stage(spark)
+    write_csv_pages(raw_staff(spark, folder), f"{stage.folder}/raw/staff", 4)
+    write_csv_pages(raw_payroll(spark, folder), f"{stage.folder}/raw/payroll", 7)
+    staff = staff_csv.parse_staff_csv(spark, f"{stage.folder}/raw/staff", stage.within("staff"))
+    paid = payroll.parse_payroll(spark, f"{stage.folder}/raw/payroll", stage.within("payroll"))
+    return (
+        split_rejects(stage(staff, "staff_rows"), STAFF_A),
+        split_rejects(stage(paid, "payroll_rows"), PAYROLL),
+    )
+
+
+@query
+def staff_csv_scan(spark, folder):
+    """Staff A read back from CSV with line breaks, two column orders and damaged records."""
+    return parsed_csv(spark, folder)[0].rows.drop("ingest_ordinal")
+
+
+@query
+def payroll_csv_scan(spark, folder):
+    """Payroll read back from such CSV; 'n/a' cells arrive as null."""
+    return parsed_csv(spark, folder)[1].rows.drop("ingest_ordinal")
+
+
+@query
+def csv_dead_letters(spark, folder):
+    """The damaged records of both, as they stand in their files."""
+    staff, paid = parsed_csv(spark, folder)
+    both = staff.rejects.unionByName(paid.rejects)
+    text = F.regexp_extract(RAW_RECORD, r"\Apart-[^:]*\.txt: (?s:(.*))", 1)
+    return both.select("source", ERROR, text.alias(RAW_RECORD))
+
+
+def write_enrollments(elements, path, size=10_000):
+    page = F.floor(F.col("ingest_ordinal") / size)
+    order = ["ingest_ordinal", *[c for c in BENEFITS_TIES if c in elements.columns]]
+    write_pages(
+        elements, path, page, order, F.col(RAW_RECORD), F.lit('<?xml version="1.0"?>\n<benefits n="#">\n'),
+        tail="\n</benefits>",
+    )
 
 
 @query
 def enrollment_xml_scan(spark, folder):
-    """Enrolments written as XML and read back."""
-    path = f"{Stage(spark).folder}/enrollments_xml"
-    raw_enrollments(spark, folder).drop("ingest_ordinal").write.format("xml").option(
-        "rootTag", "benefits"
-    ).option("rowTag", "enrollment").save(path)
-    parsed = Stage(spark)(benefits_xml.parse_benefits_xml(spark, path), "benefits")
-    return benefits_xml.split_enrollments(parsed).rows.drop("ingest_ordinal")
+    """Enrolments written as XML pages, damaged ones among them, and read back."""
+    return parsed_xml(spark, folder).rows.drop("ingest_ordinal")
+
+
+@query
+def enrollment_dead_letters(spark, folder):
+    """The unusable elements of those pages, as they stand in their files."""
+    return parsed_xml(spark, folder).rejects
+
+
+def parsed_xml(spark, folder):
+    stage = Stage(spark)
+    write_enrollments(enrollment_texts(spark, folder), f"{stage.folder}/raw")
+    parsed = stage(benefits_xml.parse_benefits_xml(spark, f"{stage.folder}/raw"), "benefits")
+    return split_rejects(parsed, BENEFITS)
+
+
+def write_staff_pages(spark, folder, path, record, size=100):
+    """Page documents of ``size`` records, named in their order, that tell how many they hold."""
+    page = F.floor((F.col("ingest_ordinal") - 1_000_000_000) / size)
+    rows = staff_b(spark, folder)
+    head = F.lit('{"total_records": #, "employees": [\n')
+    write_pages(rows, path, page, ["ingest_ordinal"], record, head, ",\n", "]}")
+
+
+@query
+def ingest_report(spark, folder):
+    """All four sources written as pages with damaged records, and what became of every file."""
+    stage = Stage(spark)
+    raw = f"{stage.folder}/raw"
+    write_csv_pages(raw_staff(spark, folder), f"{raw}/staff_a", 4)
+    write_csv_pages(raw_payroll(spark, folder), f"{raw}/payroll", 7)
+    write_staff_pages(spark, folder, f"{raw}/staff_b", _record())
+    write_enrollments(enrollment_texts(spark, folder), f"{raw}/benefits")
+    sources = Sources(f"{raw}/staff_a", f"{raw}/staff_b", f"{raw}/payroll", f"{raw}/benefits")
+    return ingest_all(spark, sources, stage).report
 
 
 @query
@@ -406,13 +520,17 @@ def clean_reports(spark, folder):
         fixture(spark, folder, "fx_benefits"),
         SETTINGS,
     )
-    rows = F.map_from_arrays(
-        F.array(*[F.lit(c) for c in ("input_rows", "output_rows", "rows_dropped")]),
-        F.array("input_rows", "output_rows", "rows_dropped"),
-    )
-    return reports.select(
-        "source", F.explode(F.map_concat(rows, "fixes_applied", "issues_flagged")).alias("counter", "value")
-    )
+    return counter_rows(reports, "source", CLEAN_COUNTS, "fixes_applied", "issues_flagged")
+
+
+CLEAN_COUNTS = ("input_rows", "output_rows", "rows_dropped")
+PASS_COUNTS = ("input_rows", "output_rows", "rows_removed", "rows_quarantined")
+
+
+def counter_rows(reports, name, fixed, *maps):
+    """A row per counter of each report."""
+    rows = F.map_from_arrays(F.array(*[F.lit(c) for c in fixed]), F.array(*fixed))
+    return reports.select(name, F.explode(F.map_concat(rows, *maps)).alias("counter", "value"))
 
 
 @query
@@ -508,11 +626,7 @@ def dedup_reports(spark, folder):
             )
         )
     )
-    fixed = ("input_rows", "output_rows", "rows_removed", "rows_quarantined")
-    rows = F.map_from_arrays(F.array(*[F.lit(c) for c in fixed]), F.array(*fixed))
-    return reports.select(
-        "pass_name", F.explode(F.map_concat(rows, "details")).alias("counter", "value")
-    )
+    return counter_rows(reports, "pass_name", PASS_COUNTS, "details")
 
 
 @query
@@ -710,45 +824,100 @@ def figures_written(spark, folder):
     return reduce(DataFrame.unionByName, counts)
 
 
+_JOBS: dict[tuple[str, str], str] = {}
+
+
+def job_output(spark, folder):
+    """Where the whole job wrote its outputs; it runs once per session and data set.
+
+    All sources are written as pages whose names follow their order, and read back by the job.
+    """
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _JOBS:
+        stage = Stage(spark)
+        raw, out, c = f"{stage.folder}/raw", f"{stage.folder}/out", F.col
+        write_csv_pages(staff_a(spark, folder), f"{raw}/staff_a")
+        paid = fixture(spark, folder, "fx_payroll").withColumn("bonus_target_pct", F.lit("2.5"))
+        write_csv_pages(paid, f"{raw}/payroll", size=5_000)
+        premiums = [(p, money(p)) for p in benefits_xml.PREMIUMS]
+        whole = element(*[(t, c(t)) for t in benefits_xml.TEXTS], *premiums)
+        enrolled = fixture(spark, folder, "fx_benefits")
+        write_enrollments(enrolled.withColumn(RAW_RECORD, whole), f"{raw}/benefits", 50_000)
+        record = F.struct(
+            "employee_identifier",
+            F.struct(c("first_name").alias("first"), c("last_name").alias("last")).alias("name"),
+            F.struct("email").alias("contact"),
+            F.struct("department", "role", "location", "hire_timestamp").alias("assignment"),
+            F.struct(
+                c("employment_type").alias("type"), c("employment_status").alias("status")
+            ).alias("employment"),
+            "manager_employee_id",
+        )
+        write_staff_pages(spark, folder, f"{raw}/staff_b", F.to_json(record))
+        sources = Sources(f"{raw}/staff_a", f"{raw}/staff_b", f"{raw}/payroll", f"{raw}/benefits")
+        integrate(spark, sources, out, SETTINGS, respect_gate=False, stage=stage)
+        _JOBS[key] = out
+    return _JOBS[key]
+
+
+def job_table(spark, folder, name):
+    return spark.read.parquet(f"{job_output(spark, folder)}/{name}")
+
+
 @query
 def integrate_golden(spark, folder):
-    """The whole job: source files written from the fixtures, golden table out."""
-    stage = Stage(spark)
-    raw = f"{stage.folder}/raw"
+    """The golden table of the whole job."""
+    return golden.read_golden(spark, f"{job_output(spark, folder)}/golden_employees")
 
-    def ordered(name):
-        return fixture(spark, folder, name).repartition(1).sortWithinPartitions("ingest_ordinal")
 
-    _write_csv(ordered("fx_hris_a").drop("ingest_ordinal"), f"{raw}/staff_a")
-    paid = ordered("fx_payroll").withColumn("bonus_target_pct", F.lit("2.5"))
-    _write_csv(paid.drop("ingest_ordinal"), f"{raw}/payroll")
-    c = F.col
-    premiums = [c(p).cast("decimal(18,2)").cast("string").alias(p) for p in benefits_xml.PREMIUMS]
-    enrolled = ordered("fx_benefits").select(*benefits_xml.TEXTS, *premiums)
-    enrolled.write.format("xml").option("rootTag", "benefits").option(
-        "rowTag", "enrollment"
-    ).save(f"{raw}/benefits")
-    whole = F.struct(
-        "employee_identifier",
-        F.struct(c("first_name").alias("first"), c("last_name").alias("last")).alias("name"),
-        F.struct("email").alias("contact"),
-        F.struct("department", "role", "location", "hire_timestamp").alias("assignment"),
-        F.struct(
-            c("employment_type").alias("type"), c("employment_status").alias("status")
-        ).alias("employment"),
-        "manager_employee_id",
+@query
+def integrate_id_quarantine(spark, folder):
+    return job_table(spark, folder, "id_quarantine").drop("ingest_ordinal")
+
+
+@query
+def integrate_email_quarantine(spark, folder):
+    return job_table(spark, folder, "email_quarantine").drop("ingest_ordinal")
+
+
+@query
+def integrate_benefits(spark, folder):
+    return job_table(spark, folder, "benefits").drop("ingest_ordinal")
+
+
+@query
+def integrate_benefits_history(spark, folder):
+    return job_table(spark, folder, "benefits_history").drop("ingest_ordinal")
+
+
+@query
+def integrate_clean_reports(spark, folder):
+    return counter_rows(job_table(spark, folder, "reports/clean"), "source", CLEAN_COUNTS, "fixes_applied", "issues_flagged")
+
+
+@query
+def integrate_pass_reports(spark, folder):
+    return counter_rows(job_table(spark, folder, "reports/passes"), "pass_name", PASS_COUNTS, "details")
+
+
+@query
+def integrate_ingest_report(spark, folder):
+    return job_table(spark, folder, "reports/ingest")
+
+
+@query
+def integrate_validation(spark, folder):
+    kinds = (
+        "check string, description string, total long, passed long, failed long, pass_rate double,"
+        " status string"
     )
-    staff = staff_b(spark, folder).select(F.struct("ingest_ordinal", F.to_json(whole).alias("j")).alias("r"))
-    page = staff.agg(F.sort_array(F.collect_list("r")).alias("rs"), F.count("*").alias("n"))
-    page.select(
-        F.concat(
-            F.lit('{"total_records":'), "n", F.lit(', "employees":[\n'), F.array_join("rs.j", ",\n"), F.lit("]}"),
-        ).alias("value")
-    ).write.text(f"{raw}/staff_b")
-    sources = Sources(f"{raw}/staff_a", f"{raw}/staff_b", f"{raw}/payroll", f"{raw}/benefits")
-    out = f"{stage.folder}/out"
-    integrate(spark, sources, out, SETTINGS, respect_gate=False, stage=stage)
-    return golden.read_golden(spark, f"{out}/golden_employees")
+    return _read_csv(spark, f"{job_output(spark, folder)}/validation_report", kinds)
+
+
+@query
+def integrate_ghosts(spark, folder):
+    path = f"{job_output(spark, folder)}/ghost_employees"
+    return _read_csv(spark, path, review.ghost_report(ghosts(spark, folder)).schema)
 
 
 @query
