@@ -46,3 +46,9 @@ class Stage:
     def within(self, name: str) -> Stage:
         """A stage of its own in the folder of this one, for steps that name tables themselves."""
         return Stage(self._spark, f"{self.folder}/{name}")
+
+    def drop(self, name: str) -> None:
+        """Delete a stored table that no later step reads; those that were made from it are stored."""
+        jvm = self._spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+        path.getFileSystem(self._spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
