@@ -42,4 +42,7 @@ def labelled_sample(
     # At most sum(most) rows of three numbers.
     chosen = docs.select("doc_id", "text").join(F.broadcast(taken), "doc_id")
     short = chosen.where(F.length(F.coalesce("text", F.lit(""))) <= SAMPLED_CHARS)
-    return stage(short.dropDuplicates(["doc_id"]).select("doc_id", "text", "label", "weight"), "sample")
+    # Of a repeated id the text with the least hash, so that every run learns from the same.
+    first = F.min(F.struct(F.xxhash64("text").alias("h"), "text", "label", "weight")).alias("first")
+    one = short.groupBy("doc_id").agg(first).select("doc_id", "first.text", "first.label", "first.weight")
+    return stage(one, "sample")

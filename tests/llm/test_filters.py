@@ -1,11 +1,13 @@
 """Classifiers, decontamination and the pipeline on small tables."""
 
+import math
 import random
 import re
 import zlib
 
 import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -126,6 +128,47 @@ def test_toxicity_with_too_few_labels(spark, stage):
     assert toxicity.scored(docs.where("false"), model).count() == 0
 
 
+def test_distances_and_features_equal_their_definition():
+    rng = np.random.default_rng(2)
+    made_up = [" ".join("".join(rng.choice(["th", "er", "on"], 3)) for _ in range(70)) for _ in range(60)]
+    labels = [int(i % 3 == 0) for i in range(60)]
+    texts = [t + " Worthless idiots" if y else t for t, y in zip(made_up, labels)]
+    dictionaries = toxicity.train_dictionaries(texts, labels)
+    for text, got in zip(["", None, "One", texts[0]], dictionaries.features(["", None, "One", texts[0]])):
+        want = []
+        for width in toxicity.WIDTHS:
+            split = [w[:5].upper() + w[5:] for w in (text or "").lower().split()]
+            saved = []
+            for i in range(0, len(split), width):
+                size = []
+                for content in (dictionaries.ordinary, dictionaries.toxic + dictionaries.ordinary):
+                    data = zstandard.ZstdCompressionDict(content, zstandard.DICT_TYPE_RAWCONTENT)
+                    one = zstandard.ZstdCompressor(
+                        19, dict_data=data, write_content_size=False, write_checksum=False, write_dict_id=False
+                    )
+                    size.append(len(one.compress(" ".join(split[i : i + width]).encode())))
+                saved.append(size[0] - size[1])
+            top = sorted(saved, reverse=True)
+            counted = top or [0]
+            want += [counted[0], sum(counted[:3]) / len(counted[:3]), 10 * sum(max(x, 0) for x in counted) / len(counted)]
+            want += [10 * sum(counted) / len(counted)]
+            want += [math.log1p(sum(x >= k for x in counted)) for k in toxicity.THRESHOLDS]
+            want += [math.log1p(len(counted))]
+        assert np.allclose(got, want)
+
+
+def test_sampled_characters_are_bounded(spark, tmp_path, monkeypatch):
+    rows, labels = made(200)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    table = spark.createDataFrame([(i, t) for i, _, t in labels], "doc_id long, label int")
+    monkeypatch.setattr(toxicity, "SAMPLE_CHARS", 5_000)
+    stage = Stage(spark, str(tmp_path / "c"))
+    model = toxicity.train(docs, table, stage)
+    taken = spark.read.parquet(f"{stage.folder}/taken")
+    assert 4_000 < taken.agg(F.sum(F.length("text"))).first()[0] <= 5_000
+    assert toxicity.scored(docs, model).count() == 200
+
+
 def test_sample_is_bounded_and_learns_no_held_out_row(spark, stage):
     rows, labels = made(200)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
