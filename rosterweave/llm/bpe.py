@@ -32,7 +32,8 @@ VOCABULARY = "byte_bpe_50k.json"
 PART = 1 << 16  # characters fed at once
 _LONG = 1 << 12  # characters without a settled place from which a pre-token is merged in parts
 _BEHIND = 4  # characters a pre-token's end may depend on
-_CACHED = 300_000  # pieces whose ids a task keeps
+_CACHED = 300_000  # pieces in a generation of those whose ids a worker keeps
+_MARKS = frozenset(".,;:!?")
 _SHIFT = 20  # ids are below 2**20
 _MASK = (1 << _SHIFT) - 1
 #: Code points with the property White_Space.
@@ -132,21 +133,35 @@ class Merges:
 
 
 class Pieces(dict):
-    """Ids of pieces as bytes of unsigned 32-bit integers, kept up to a bound."""
+    """Ids of pieces as bytes of unsigned 32-bit integers, in two generations of bounded size.
+
+    When the younger one is full it becomes the older, and what is met again moves on.
+    """
 
     def __init__(self, merges: Merges):
         super().__init__()
         self.merges = merges
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
+        value = self.older.get(piece)
+        if value is None:
+            value = self._ids(piece)
+        if len(self) >= _CACHED:
+            self.older = dict(self)
+            self.clear()
+        self[piece] = value
+        return value
+
+    def _ids(self, piece: str) -> bytes:
+        if piece[-1:] in _MARKS and piece[-2:-1].isalpha():
+            # A mark behind a letter is a pre-token of its own: the word without it will do.
+            return self[piece[:-1]] + self[piece[-1]]
         ids: list[int] = []
         whole = piece[piece[:1] == " " :].isalpha()
         for token in (piece,) if whole else _PRE_TOKEN.findall(piece):
             ids += self.merges.merged(token.encode("utf-8", "surrogatepass"))
-        if len(self) >= _CACHED:
-            self.clear()
-        value = self[piece] = array("I", ids).tobytes()
-        return value
+        return array("I", ids).tobytes()
 
 
 class _Run:
@@ -289,10 +304,17 @@ def merges_at(path: str) -> Merges:
     return Merges(path)
 
 
-def _with_ids(path: str, decode: bool):
+@cache
+def pieces_at(path: str) -> Pieces:
+    """Pieces that the tasks of a Python worker share, one after the other."""
+    return Pieces(merges_at(path))
+
+
+def _with_ids(vocabulary: str, decode: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        path = public_tokenizers.path(vocabulary)
         merges = merges_at(path)
-        encoder, decoder = Encoder(merges, Pieces(merges)), Decoder(merges)
+        encoder, decoder = Encoder(merges, pieces_at(path)), Decoder(merges)
         for batch in batches:
             made = [encoder.encode(t) for t in batch["text"].to_pylist()]
             names = [n for n in batch.schema.names if n != "text"]
@@ -317,10 +339,9 @@ def encoded(
     are one id, nothing is added. Null and empty texts have no ids and decode to the empty text.
     Columns may have any names, ``ids`` and ``decoded`` apart; rows are independent of each other.
     """
-    path = public_tokenizers.path(vocabulary)
     carried = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)], "text")
     kinds = [f"{f.name} {f.dataType.simpleString()}" for f in carried.schema.fields[:-1]]
     kinds += ["ids array<int>"] + ["decoded string"] * decode
-    made = map_arrow(carried, _with_ids(path, decode), ", ".join(kinds))
+    made = map_arrow(carried, _with_ids(vocabulary, decode), ", ".join(kinds))
     back = [F.col(f"c{i}").alias(c) for i, c in enumerate(columns)]
     return made.select(*back, *made.columns[len(columns) :])

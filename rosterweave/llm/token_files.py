@@ -10,6 +10,7 @@ import os
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -96,9 +97,15 @@ class _Library:
         ]
 
 
-def _encoding(path: str, end: int):
+@cache
+def _library_at(path: str) -> _Library:
+    """The tokenizer and the pieces that the tasks of a Python worker share, one after the other."""
+    return _Library(path)
+
+
+def _encoding(vocabulary: str, end: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        library, place = _Library(path), 0
+        library, place = _library_at(public_tokenizers.path(vocabulary)), 0
         for batch in batches:
             for first in range(0, len(batch), _TOGETHER):
                 part = batch.slice(first, _TOGETHER)
@@ -121,24 +128,40 @@ def write_token_files(
     """Write ``doc_id, place, ids`` for the whole texts of ``docs (doc_id, text)``.
 
     Files follow each other by name in ascending ``doc_id``, and so do the rows in a file;
-    ``place`` numbers them. Null ids come first, equal ids in the order of their texts. Null and
-    empty texts consist of the ``end`` id, which every document gets. No rows: no file with rows.
+    ``place`` numbers them. Null ids come first, equal ids in the order of a hash of their texts; a
+    repeated id is dealt over files by that hash, and repeated rows by a row number. Null and empty
+    texts consist of the ``end`` id, which every document gets. No rows: no file with rows. A text
+    is held whole with its ids, about 15 bytes a byte of it.
     """
+    spread = [F.xxhash64("text").alias("_hash"), F.monotonically_increasing_id().alias("_row")]
+    order = ["doc_id", "_hash", "_row"]
     ordered = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id", "text")
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *spread)
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .select("doc_id", "text")
     )
-    made = map_arrow(ordered, _encoding(public_tokenizers.path(vocabulary), end), _STORED)
+    made = map_arrow(ordered, _encoding(vocabulary, end), _STORED)
     made.write.option("orc.bloom.filter.columns", "doc_id").option(
         "orc.row.index.stride", 10_000
     ).option("orc.compress", "ZSTD").orc(path)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
-    """The stored rows with their ``file``."""
+    """The stored rows with their ``file``: its number, which its name begins with."""
+    stored = spark.read.schema(_STORED).orc(path)
+    number = F.regexp_extract("_metadata.file_name", r"^part-(\d+)-", 1).cast("long")
+    return stored.select("*", number.alias("file"))
+
+
+def tokens_of(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
+    """The stored rows of a few documents; files, stripes and row groups without them are skipped.
+
+    Files are in order of the ids, so their statistics leave few of them; within a file the Bloom
+    filters and the row indexes do the rest. Readers split a file at its stripes.
+    """
     stored = spark.read.schema(_STORED).orc(path)
-    return stored.select("*", F.col("_metadata.file_name").alias("file"))
+    return stored.where(F.col("doc_id").isin(doc_ids)).select("doc_id", "ids")
 
 
 def _summing(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,7 +185,7 @@ def summary(spark: SparkSession, path: str, stage: Stage) -> DataFrame:
     ``start`` counts the ids of all documents before it: those of earlier files, of which there
     is one total each, and those of earlier rows of its file.
     """
-    kinds = "file string, place long, doc_id long, n_tokens long, ids_crc32 long"
+    kinds = "file long, place long, doc_id long, n_tokens long, ids_crc32 long"
     rows = stage(map_arrow(read_token_files(spark, path), _summing, kinds), "token_counts")
     totals = rows.groupBy("file").agg(F.sum("n_tokens").alias("total"))
     before = F.sum("total").over(Window.orderBy("file")) - F.col("total")

@@ -1,5 +1,6 @@
 """Byte pair encoding, token files and unigram counts against the tokenizers library."""
 
+import glob
 import os
 import random
 import zlib
@@ -8,9 +9,11 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models
 
 from rosterweave.llm import bpe, token_counts, token_files
+from rosterweave.plans.staging import Stage
 
 os.environ["TOKENIZERS_PARALLELISM"] = "false"
 PATH = public_tokenizers.path(bpe.VOCABULARY)
@@ -97,18 +100,85 @@ def test_encoded_frame(spark, library):
 
 
 def test_token_files(spark, stage, library):
-    texts = [t for t in samples() if len(t) < 9000] + [None]
-    rows = [(3 * i % 101, t, i) for i, t in enumerate(texts)] + [(None, "null id", 0), (3, texts[1], 1)]
+    rows = [(3 * i % 101, t, i) for i, t in enumerate([*samples(), None])]
+    rows += [(None, "null id", 0), (None, None, 1), (3, rows[1][1], 1), (3, rows[1][1], 1)]
+    rows += [(50, f"one id, text {i}", i) for i in range(200)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, place int").repartition(5)
     path = f"{stage.folder}/tokens"
     token_files.write_token_files(docs, path)
     got = sorted(token_files.summary(spark, path, stage).collect(), key=lambda r: r.start)
-    start, want = 0, []
-    for doc_id, text in sorted(((r[0], r[1]) for r in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode())):
+    want = []
+    for doc_id, text, _ in rows:
         ids = np.array([*library.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
-        want.append((doc_id, start, len(ids), zlib.crc32(ids.tobytes())))
-        start += len(ids)
-    assert [tuple(r) for r in got] == want
+        want.append((str(doc_id), len(ids), zlib.crc32(ids.tobytes())))
+    assert sorted((str(r.doc_id), r.n_tokens, r.ids_crc32) for r in got) == sorted(want)
+    order = [(r.doc_id is not None, r.doc_id or 0) for r in got]
+    assert order == sorted(order)
+    assert [r.start for r in got] == [0, *np.cumsum([r.n_tokens for r in got])[:-1].tolist()]
+
+
+def test_files_are_in_the_order_of_their_numbers(spark, tmp_path):
+    for number, doc_id in ((99_999, 1), (100_000, 2), (7, 0)):
+        one = spark.createDataFrame([(doc_id, 0, [5, 0])], "doc_id long, place long, ids array<int>")
+        one.coalesce(1).write.orc(f"{tmp_path}/{number}")
+        (file,) = (tmp_path / str(number)).glob("*.orc")
+        (tmp_path / "all").mkdir(exist_ok=True)
+        (tmp_path / "all" / file.name.replace("part-00000-", f"part-{number:05}-")).write_bytes(file.read_bytes())
+    got = token_files.summary(spark, f"{tmp_path}/all", Stage(spark, str(tmp_path))).collect()
+    assert sorted((r.doc_id, r.start) for r in got) == [(0, 0), (1, 2), (2, 4)]
+
+
+def test_a_lookup_skips_row_groups_and_files(spark, stage):
+    path = f"{stage.folder}/tokens"
+    docs = spark.range(60_000).select(F.col("id").alias("doc_id"), F.lit("a").alias("text"))
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        token_files.write_token_files(docs, path)
+    finally:
+        spark.conf.set(setting, "true")
+    found = token_files.tokens_of(spark, path, [31_234, 31_235])
+    assert [(r.doc_id, list(r.ids)) for r in found.orderBy("doc_id").collect()] == [
+        (i, [64, 0]) for i in (31_234, 31_235)
+    ]
+    one = token_files.tokens_of(spark, path, [31_234])
+    assert len(one.collect()) == 1
+    plan = one._jdf.queryExecution().executedPlan()
+    assert "PushedFilters: [In(doc_id" in plan.toString() or "EqualTo(doc_id,31234)" in plan.toString()
+    scans = plan.collectLeaves()
+    assert 0 < scans.head().metrics().apply("numOutputRows").value() <= 20_000
+
+
+def test_a_file_of_several_stripes_is_read_by_several_tasks(spark, stage):
+    from pyarrow import orc
+
+    path = f"{stage.folder}/tokens"
+    text = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(20)), lambda i: F.hash("id", i).cast("string")), " ")
+    docs = spark.range(48_000).select(F.col("id").alias("doc_id"), text.alias("text"))
+    before = {"spark.sql.files.maxPartitionBytes": "200000", "spark.sql.files.openCostInBytes": "1000"}
+    spark.conf.set("orc.stripe.size", "100000")
+    old = {k: spark.conf.get(k) for k in before}
+    try:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+        token_files.write_token_files(docs.coalesce(1), path)
+        stored = token_files.read_token_files(spark, path)
+        files = glob.glob(f"{path}/*.orc")
+        assert max(orc.ORCFile(f).nstripes for f in files) > 1
+        assert stored.rdd.getNumPartitions() > len(files)
+        assert stored.count() == 48_000
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+        spark.conf.unset("orc.stripe.size")
+
+
+def test_pieces_of_two_generations(library, monkeypatch):
+    monkeypatch.setattr(bpe, "_CACHED", 7)
+    encoder = bpe.Encoder(bpe.merges_at(PATH), bpe.Pieces(bpe.merges_at(PATH)))
+    for text in ["to be, or not to be. that; is the: question! or? ", *samples()[:12]] * 2:
+        assert encoder.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(encoder.cached) <= 7 and len(encoder.cached.older) <= 7
 
 
 def test_token_files_of_nothing(spark, stage):
