@@ -209,6 +209,19 @@ def payroll_steps(payroll: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
+def payroll_ids(payroll: DataFrame) -> DataFrame:
+    """Distinct ids as ``clean_payroll`` writes them; each raw id is rewritten once."""
+    raw = payroll.select("employee_id", "source").distinct()
+    made = ids.employee_id(F.col("employee_id"), text.relabel(F.col("source"), PAYROLL_SOURCE_SYSTEM))
+    return raw.select(made.alias("employee_id")).distinct()
+
+
+def benefit_ids(benefits: DataFrame) -> DataFrame:
+    """Distinct ids as ``clean_benefits`` writes them; each raw id is rewritten once."""
+    raw = benefits.select("employee_id").distinct()
+    return raw.select(ids.employee_id(F.col("employee_id"), F.lit(STAFF_A)).alias("employee_id")).distinct()
+
+
 def clean_payroll(payroll: DataFrame, settings: Settings) -> DataFrame:
     """Latest pay record per employee and source."""
     steps = payroll_steps(payroll, settings).drop("_salary_in")

@@ -5,7 +5,8 @@ Comparing everybody hired around the same time grows with the square of a busy d
 1. Names are compared, not rows: each distinct token-sorted name enters once per date bucket, so
    copies of a name or a busy hire date do not multiply the work.
 2. Two names meet only if they share a segment (``functions.similarity``), which every pair that
-   reaches the threshold does. The join is an equi-join on bucket and segment.
+   reaches the threshold does, or, below a threshold of 67, are of lengths that may match. The
+   join is an equi-join on bucket and segment, with both sides of a heavy key cut in slices.
 3. A Levenshtein bound, which rejects no match, leaves few pairs for the exact score.
 4. Matched name pairs are joined back to the rows. What this emits is the result itself.
 """
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterweave.config import STAFF_A, STAFF_B, Settings
+from rosterweave.config import HEAVY_ROWS, STAFF_A, STAFF_B, Settings
 from rosterweave.functions import similarity
 from rosterweave.functions.text import full_name
 from rosterweave.operators.identity import staff_of
@@ -61,7 +62,25 @@ def _bucket_width(settings: Settings) -> int:
     return max(settings.match_window_days, 1)
 
 
-def name_pairs(names_a: DataFrame, names_b: DataFrame, threshold: int) -> DataFrame:
+def _meeting(names_a: DataFrame, names_b: DataFrame, a: DataFrame, b: DataFrame, heavy_rows: int) -> DataFrame:
+    """The exploded sides joined on bucket and segment, both cut where a key makes very many pairs.
+
+    No key makes more pairs than its bucket, so keys are only counted if some bucket is heavy.
+    """
+    key, many = ["bucket", SEGMENT], F.count(F.lit(1))
+    per_bucket = names_a.groupBy("bucket").agg(many.alias("n")).join(
+        names_b.groupBy("bucket").agg(many.alias("m")), "bucket"
+    )
+    if per_bucket.where(F.col("n") * F.col("m") >= heavy_rows).isEmpty():
+        # Exploded sides are larger than Spark estimates, so neither is to be broadcast.
+        return a.join(b.hint("merge"), key)
+    weights = a.groupBy(*key).agg(many.alias("n")).join(b.groupBy(*key).agg(many.alias("m")), key)
+    return spread_join(a, b.hint("merge"), key, weights, "a_key", heavy_rows=heavy_rows, other_id="b_key")
+
+
+def name_pairs(
+    names_a: DataFrame, names_b: DataFrame, threshold: int, heavy_rows: int = HEAVY_ROWS
+) -> DataFrame:
     """Distinct name pairs that reach the threshold, from names with the bucket they occur in."""
     a = names_a.select(
         "bucket",
@@ -76,8 +95,7 @@ def name_pairs(names_a: DataFrame, names_b: DataFrame, threshold: int) -> DataFr
     a_key, b_key = F.col("a_key"), F.col("b_key")
     lengths = F.length("a_key") + F.length("b_key")
     return (
-        # Exploded sides are larger than Spark estimates, so neither is to be broadcast.
-        a.join(b.hint("merge"), ["bucket", SEGMENT])
+        _meeting(names_a, names_b, a, b, heavy_rows)
         .where(similarity.may_match(a_key, b_key, threshold))
         .select("a_key", "b_key")
         .distinct()
@@ -96,7 +114,7 @@ def similar_names(employees: DataFrame, settings: Settings) -> DataFrame:
     names_b = _side(employees, STAFF_B).select(
         "name_key", F.explode(_near_buckets(F.col("hire_date"), width)).alias("bucket")
     ).distinct()
-    return name_pairs(names_a, names_b, settings.match_threshold)
+    return name_pairs(names_a, names_b, settings.match_threshold, settings.heavy_rows)
 
 
 def _prefixed(side: DataFrame, key: str, prefix: str) -> DataFrame:

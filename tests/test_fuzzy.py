@@ -134,3 +134,39 @@ def test_one_company_only_reports_no_comparison(spark, settings):
     pairs = fuzzy.probable_matches(emp, names, settings)
     report = fuzzy.fuzzy_report(emp, pairs, settings).first()
     assert report.details == {"probable_match_pairs": 0, "acqco_rows_flagged": 0}
+
+
+def test_lcs_of_names_of_all_lengths(spark):
+    rng = random.Random(7)
+    sizes = [0, 1, 2, 25, 61, 62, 63, 64, 124, 125, 190]
+    rows = []
+    for x in sizes:
+        for y in sizes:
+            a = "".join(rng.choice("abé ") for _ in range(x))
+            b = "".join(rng.choice("abé ") for _ in range(y)) if rng.random() < 0.6 else a[: y // 2] + a[-y:][: y - y // 2]
+            rows.append((a, b))
+    rows += [("a" * 130, "a" * 200), ("ab" * 40, "ba" * 40)]
+    df = spark.createDataFrame(rows, "a string, b string")
+    got = df.select("a", "b", similarity.lcs_length(F.col("a"), F.col("b")).alias("n")).collect()
+    assert [r.n for r in got] == [lcs(r.a, r.b) for r in got]
+
+
+def test_a_hot_bucket_is_cut_on_both_sides(spark):
+    rng = random.Random(8)
+    made = lambda n: [("".join(rng.choice("ab") for _ in range(rng.randint(6, 9))), 1) for _ in range(n)]
+    a, b = (spark.createDataFrame(made(n), "name_key string, bucket int").distinct() for n in (150, 120))
+    whole = {tuple(r) for r in fuzzy.name_pairs(a, b, 80, 10**9).collect()}
+    cut = fuzzy.name_pairs(a, b, 80, 50)
+    assert {tuple(r) for r in cut.collect()} == whole and whole
+    assert "_slice" in cut._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_low_thresholds_meet_by_length(spark):
+    df = spark.createDataFrame([("", ), ("abcdefgh",)], "t string")
+    got = df.select(
+        similarity.indexed_segments(F.col("t"), 60), similarity.probing_segments(F.col("t"), 60)
+    ).collect()
+    assert got[0][0] == ["length:0"] and got[0][1] == ["length:0"]
+    assert got[1][0] == ["length:8"] and got[1][1] == [f"length:{n}" for n in range(4, 19)]
+    with pytest.raises(ValueError, match="threshold"):
+        similarity.indexed_segments(F.col("t"), 0)

@@ -776,7 +776,9 @@ QUERIES |= {
         for c in _COLUMNS
     ),
     "ghost_extract": QUERIES["ghost_report"],
-    "match_extract": QUERIES["probable_match_review"],
+    "match_extract": f"""
+      select *, row_number() over (order by similarity_score desc, record_1_id, record_2_id) as place
+      from ({QUERIES["probable_match_review"]})""",
     "validation_csv": "select * exclude (check_no) from checks",
     "figures_written": " union all ".join(
         f"select '{figure}' as figure, count(*) as rows from ({QUERIES[name]})"

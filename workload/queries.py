@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rosterweave.config import BENEFITS, PAYROLL, STAFF_A, STAFF_B, Settings
@@ -75,13 +75,16 @@ def benefits(spark, folder):
     return clean.clean_benefits(fixture(spark, folder, "fx_benefits"))
 
 
-def exact(spark, folder, stage=None):
+def ids_of_both(spark, folder, stage):
+    """Ids of payroll and benefits, stored: membership needs no more, and keep-latest drops none."""
+    paid = stage(clean.payroll_ids(fixture(spark, folder, "fx_payroll")), "payroll_ids")
+    return paid, stage(clean.benefit_ids(fixture(spark, folder, "fx_benefits")), "benefit_ids")
+
+
+def exact(spark, folder, stage=None, known=None):
     stage = stage or Stage(spark)
-    # Membership needs ids only, and those are the same before the keep-latest step.
-    pay_ids = clean.payroll_steps(fixture(spark, folder, "fx_payroll"), SETTINGS)
-    return exact_passes(
-        employees(spark, folder), pay_ids, benefits(spark, folder), SETTINGS, stage
-    )
+    emp = stage(employees(spark, folder), "clean_employees")
+    return exact_passes(emp, *(known or ids_of_both(spark, folder, stage)), SETTINGS, stage)
 
 
 def with_pairs(spark, folder, stage=None):
@@ -548,25 +551,25 @@ def benefits_current(spark, folder):
 
 @query
 def benefits_history(spark, folder):
-    return split_latest(benefits(spark, folder), BENEFITS_KEY, BENEFITS_BY, BENEFITS_ROW).history
+    cleaned = Stage(spark)(benefits(spark, folder), "clean_benefits")
+    return split_latest(cleaned, BENEFITS_KEY, BENEFITS_BY, BENEFITS_ROW).history
 
 
-def resolved_ids(spark, folder):
-    pay_ids = clean.payroll_steps(fixture(spark, folder, "fx_payroll"), SETTINGS)
-    return identity.resolve_ids(
-        employees(spark, folder), pay_ids, benefits(spark, folder), SETTINGS
-    )
+def resolved_ids(spark, folder, stage):
+    emp = stage(employees(spark, folder), "clean_employees")
+    return emp, identity.resolve_ids(emp, *ids_of_both(spark, folder, stage), SETTINGS)
 
 
 @query
 def pass1_resolved(spark, folder):
-    return identity.kept_rows(resolved_ids(spark, folder))
+    return identity.kept_rows(resolved_ids(spark, folder, Stage(spark))[1])
 
 
 @query
 def pass1_quarantine(spark, folder):
-    resolved = Stage(spark)(resolved_ids(spark, folder), "resolved_ids")
-    return identity.colliding_rows(employees(spark, folder), resolved, SETTINGS)
+    stage = Stage(spark)
+    emp, resolved = resolved_ids(spark, folder, stage)
+    return identity.colliding_rows(emp, stage(resolved, "resolved_ids"), SETTINGS)
 
 
 @query
@@ -729,8 +732,10 @@ def tenure_histogram(spark, folder):
 
 @query
 def enrollment_rate(spark, folder):
-    emp = exact(spark, folder).employees
-    return rounded(aggregates.enrollment_rate(emp, benefits(spark, folder)), 6, "rate_percent")
+    stage = Stage(spark)
+    known = ids_of_both(spark, folder, stage)
+    emp = exact(spark, folder, stage, known).employees
+    return rounded(aggregates.enrollment_rate(emp, known[1]), 6, "rate_percent")
 
 
 # --- golden table ------------------------------------------------------------------------------
@@ -787,8 +792,16 @@ def match_extract(spark, folder):
     stage = Stage(spark)
     pairs = with_pairs(spark, folder, stage)[1]
     path = tables.write_match_review(pairs, stage.folder)
-    read = _read_csv(spark, path, review.match_review(pairs).schema)
-    return long(read, "hire_date_diff_days")
+    read = _read_csv(spark, path, review.match_review(pairs).schema).select(
+        "*", F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("at")
+    )
+    read = stage(read, "match_review")
+    sizes = read.groupBy("file").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.orderBy("file")) - F.col("n")
+    in_file = F.row_number().over(Window.partitionBy("file").orderBy("at"))
+    placed = read.withColumn("in_file", in_file).join(sizes.select("file", before.alias("before")), "file")
+    placed = placed.withColumn("place", F.col("before") + F.col("in_file"))
+    return long(placed.drop("file", "at", "in_file", "before"), "hire_date_diff_days")
 
 
 @query
