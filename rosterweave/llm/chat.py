@@ -178,9 +178,11 @@ def read_back(pieces: DataFrame) -> DataFrame:
 
 
 def events_of_turns(turns: DataFrame) -> DataFrame:
-    """Event log of ``turns (conv_id, turn, role, text)``: a start, then the text in two deltas.
+    """Event log of ``turns (conv_id, turn, role, text)``, as a chat that went wrong once per turn.
 
-    Turns with equal numbers are ordered by role and text.
+    A turn starts and streams a draft. In odd turns the answer is then regenerated and streamed
+    anew in two deltas; in even ones an edit replaces the draft by the first half, and a delta adds
+    the second. Events come in the wrong order. Turns with equal numbers are ordered by role and text.
     """
     numbered = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     half = F.floor(F.length("text") / 2).cast("int")
@@ -194,10 +196,14 @@ def events_of_turns(turns: DataFrame) -> DataFrame:
             text.alias("text"),
         )
 
-    log = F.array(
-        event(0, START, F.col("role"), none), event(1, DELTA, none, first),
-        event(2, DELTA, none, second),
+    draft = event(1, DELTA, none, F.reverse(second))
+    start = event(0, START, F.col("role"), none)
+    again = F.array(
+        event(4, DELTA, none, second), event(3, DELTA, none, first), event(2, REGENERATE, none, none),
+        draft, start,
     )
+    edited = F.array(event(3, DELTA, none, second), event(2, EDIT, none, first), draft, start)
+    log = F.when(F.col("message") % 2 == 1, again).otherwise(edited)
     return (
         turns.withColumn("message", F.row_number().over(numbered))
         .select("conv_id", "message", F.explode(log).alias("e"))
