@@ -14,7 +14,6 @@ looks at a single document, and a long text costs no more steps than a short one
 from __future__ import annotations
 
 import hashlib
-import os
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -25,8 +24,8 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
+from rosterweave.llm import token_files
 from rosterweave.llm.bpe import byte_names
 from rosterweave.llm.common import map_arrow
 from rosterweave.plans.staging import Stage
@@ -43,9 +42,8 @@ class Sides:
     """Both tokenizers with the bytes and the printed form of every token."""
 
     def __init__(self, path_a: str, path_b: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs as many tasks as there are cores
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True
+        self.library = token_files.Library(path_a, special_as_text=True)
+        self.a = self.library.tokenizer
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         of = byte_names()
         self.bytes_a = [
@@ -67,24 +65,24 @@ class Sides:
             *(f"{i}," for i in range(len(self.bytes_b))), *(f"{i};" for i in range(len(self.bytes_b))),
         ]
 
-    def encode(self, texts: list[str | None]) -> list[tuple[list[int], list[int]]]:
+    def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Ids of both sides; none where the tokens of a side do not spell space + text."""
         given = [t for t in texts if t]
-        made_a = self.a.encode_batch_fast([f" {t}" for t in given], add_special_tokens=False)
+        made_a = self.library.encode([f" {t}" for t in given])
         made_b = self.b.encode(given, num_threads=1) if given else []
-        sides = iter(zip(given, made_a, made_b))
+        sides, none = iter(zip(given, made_a, made_b)), np.zeros(0, np.int64)
         out = []
         for text in texts:
             if not text:
-                out.append(([], []))
+                out.append((none, none))
                 continue
             _, a, b = next(sides)
             spelled = f" {text}".encode()
             same = (
-                b"".join(map(self.bytes_a.__getitem__, a.ids)) == spelled
+                b"".join(map(self.bytes_a.__getitem__, a.tolist())) == spelled
                 and b"".join(map(self.bytes_b.__getitem__, b)) == spelled
             )
-            out.append((a.ids, b) if same else ([], []))
+            out.append((a.astype(np.int64), np.array(b, np.int64)) if same else (none, none))
         return out
 
 
@@ -141,8 +139,8 @@ def align(sides: Sides, texts: list[str | None]) -> Aligned:
     made = sides.encode(texts)
     first_a = np.cumsum([0, *(len(a) for a, _ in made)])
     first_b = np.cumsum([0, *(len(b) for _, b in made)])
-    ids_a = np.array([i for a, _ in made for i in a], np.int64)
-    ids_b = np.array([i for _, b in made for i in b], np.int64)
+    none = np.zeros(0, np.int64)
+    ids_a, ids_b = (np.concatenate([none, *(ids[side] for ids in made)]) for side in (0, 1))
     lanes = [np.arange(i, j, LANE) for i, j in zip(first_a, first_a[1:])]
     starts = np.concatenate([np.zeros(0, np.int64), *lanes])
     stops = np.minimum(starts + LANE, first_a[np.searchsorted(first_a, starts, "right")])

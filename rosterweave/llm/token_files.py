@@ -31,7 +31,7 @@ _TOGETHER = 256  # texts whose unseen pieces are encoded together
 _STORED = "doc_id long, place long, ids array<int>"
 
 
-class _Library:
+class Library:
     """Ids as the tokenizers library gives them; pieces of texts are encoded once.
 
     A piece of letters is one pre-token and goes straight to the library's merge model. Other
@@ -40,10 +40,12 @@ class _Library:
     the younger is full, it becomes the older, and what is met again moves on.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs as many tasks as there are cores
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.tokenizer.encode_special_tokens = special_as_text
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = [] if special_as_text else [t.content for t in added]
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.names = {b: c for c, b in byte_names().items()}
@@ -98,9 +100,9 @@ class _Library:
 
 
 @cache
-def _library_at(path: str) -> _Library:
+def _library_at(path: str) -> Library:
     """The tokenizer and the pieces that the tasks of a Python worker share, one after the other."""
-    return _Library(path)
+    return Library(path)
 
 
 def _encoding(vocabulary: str, end: int):
