@@ -23,6 +23,7 @@ from rosterweave.config import (
 )
 from rosterweave.functions import ids, text, values
 from rosterweave.operators.keep_one import latest
+from rosterweave.plans.staging import Stage
 
 RAW = "_raw_"
 
@@ -122,11 +123,12 @@ def clean_employees(aligned: DataFrame, settings: Settings) -> DataFrame:
     return employee_steps(aligned, settings).select(*EMPLOYEE_COLUMNS)
 
 
-def employees_report(aligned: DataFrame, settings: Settings) -> DataFrame:
+def employees_report(steps: DataFrame, settings: Settings) -> DataFrame:
+    """Counters of the result of ``employee_steps``."""
     c = F.col
     known = c("_department_in").isin(list(settings.department_map))
     hired = c("hire_date")
-    counted = employee_steps(aligned, settings).agg(
+    counted = steps.agg(
         F.count(F.lit(1)).alias("n"),
         F.coalesce(F.sum("_stripped_cells"), F.lit(0)).alias("stripped"),
         (
@@ -228,11 +230,12 @@ def clean_payroll(payroll: DataFrame, settings: Settings) -> DataFrame:
     return latest(steps, PAYROLL_KEY, PAYROLL_ORDER)
 
 
-def payroll_report(payroll: DataFrame, settings: Settings) -> DataFrame:
+def payroll_report(steps: DataFrame, settings: Settings) -> DataFrame:
+    """Counters of the result of ``payroll_steps``."""
     c = F.col
     salary = c("base_salary")
     plain = values.parse_number(text.strip(c("_salary_in")))
-    counted = payroll_steps(payroll, settings).agg(
+    counted = steps.agg(
         F.count(F.lit(1)).alias("n"),
         # A struct is never null, so a null id or source still counts as a key.
         F.count_distinct(F.struct(*PAYROLL_KEY)).alias("kept"),
@@ -287,9 +290,10 @@ def clean_benefits(benefits: DataFrame) -> DataFrame:
     )
 
 
-def benefits_report(benefits: DataFrame) -> DataFrame:
+def benefits_report(cleaned: DataFrame) -> DataFrame:
+    """Counters of the result of ``clean_benefits``."""
     c = F.col
-    counted = clean_benefits(benefits).agg(
+    counted = cleaned.agg(
         F.count(F.lit(1)).alias("n"),
         count_if(c("enrollment_date").isNull()).alias("no_date"),
         count_if(c("premium_employee") < 0).alias("negative_employee"),
@@ -311,18 +315,28 @@ def clean_reports(
     aligned: DataFrame, payroll: DataFrame, benefits: DataFrame, settings: Settings
 ) -> DataFrame:
     return (
-        employees_report(aligned, settings)
-        .unionByName(payroll_report(payroll, settings))
-        .unionByName(benefits_report(benefits))
+        employees_report(employee_steps(aligned, settings), settings)
+        .unionByName(payroll_report(payroll_steps(payroll, settings), settings))
+        .unionByName(benefits_report(clean_benefits(benefits)))
     )
 
 
 def clean_all(
-    aligned: DataFrame, payroll: DataFrame, benefits: DataFrame, settings: Settings
+    aligned: DataFrame, payroll: DataFrame, benefits: DataFrame, settings: Settings, stage: Stage
 ) -> Cleaned:
+    """The cleaned tables, stored, and their reports.
+
+    Every source is cleaned once: its steps are stored with the columns that only the counters need,
+    and both the table and the counters read them from there. Counters observed while a table is
+    written would count the rows of a repeated task twice.
+    """
+    employee = stage(employee_steps(aligned, settings), "clean_employees")
+    paid = stage(payroll_steps(payroll, settings), "payroll_steps")
+    enrolled = stage(clean_benefits(benefits), "clean_benefits")
+    reports = employees_report(employee, settings).unionByName(payroll_report(paid, settings))
     return Cleaned(
-        clean_employees(aligned, settings),
-        clean_payroll(payroll, settings),
-        clean_benefits(benefits),
-        clean_reports(aligned, payroll, benefits, settings),
+        employee.select(*EMPLOYEE_COLUMNS),
+        stage(latest(paid.drop("_salary_in"), PAYROLL_KEY, PAYROLL_ORDER), "clean_payroll"),
+        enrolled,
+        reports.unionByName(benefits_report(enrolled)),
     )

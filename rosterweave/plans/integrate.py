@@ -41,12 +41,10 @@ def integrate(
     """Run the job. A failed gate stops it after the report unless ``respect_gate`` is off."""
     stage = stage or Stage(spark)
     ingested = ingest_all(spark, sources, stage)
-    cleaned = clean.clean_all(ingested.employees, ingested.payroll, ingested.benefits, settings)
-    employees = stage(cleaned.employees, "clean_employees")
-    payroll = stage(cleaned.payroll, "clean_payroll")
-    benefits = stage(cleaned.benefits, "clean_benefits")
-
-    resolved = resolve_all(employees, payroll, benefits, settings, stage)
+    cleaned = clean.clean_all(
+        ingested.employees, ingested.payroll, ingested.benefits, settings, stage
+    )
+    resolved = resolve_all(cleaned.employees, cleaned.payroll, cleaned.benefits, settings, stage)
     report = stage(validate_all(resolved, settings), "quality_report")
     tables.write_quality_report(report, settings, out)
     tables.write_stage_reports(ingested.report, cleaned.reports, resolved.reports, out)

@@ -123,19 +123,19 @@ def test_payroll_report_lists_fixes_only_without_the_issue(spark, settings):
     good = spark.createDataFrame([(1, "7", "GlobalTech", "$70,315", "EUR", "Monthly", "3/5/2018"),
                                   (2, "7", "GlobalTech", "100", "USD", "Annual", "2018-03-06"),
                                   (3, "7", "AcquiredCo", "100", "USD", None, "2018-03-06")], PAY)
-    r = clean.payroll_report(good, settings).first()
+    r = clean.payroll_report(clean.payroll_steps(good, settings), settings).first()
     assert (r.input_rows, r.output_rows, r.rows_dropped) == (3, 2, 1)
     assert r.fixes_applied == {
         "salary_symbols_stripped": 1, "payroll_ids_namespaced": 3, "salary_converted_to_usd": 3,
         "salary_usd_annual_computed": 2, "effective_date_parsed": 3, "payroll_duplicates_removed": 1}
     assert r.issues_flagged == {}
     bad = spark.createDataFrame([(1, "7", "x", "100", "GBP", "Weekly", "soon"), (2, "8", "x", "-1", "JPY", "Annual", None)], PAY)
-    r = clean.payroll_report(bad, settings).first()
+    r = clean.payroll_report(clean.payroll_steps(bad, settings), settings).first()
     assert r.fixes_applied == {"payroll_ids_namespaced": 2}
     assert r.issues_flagged == {"non_positive_salary": 1, "invalid_currency": 1, "missing_fx_rate": 2,
                                 "unmapped_pay_frequency": 1, "unparseable_effective_date": 2}
     with_gbp = Settings(REPORT_DATE, fx_rates={"USD": 1.0, "GBP": 1.27, "JPY": 0.01})
-    r = clean.payroll_report(bad, with_gbp).first()
+    r = clean.payroll_report(clean.payroll_steps(bad, with_gbp), with_gbp).first()
     assert "missing_fx_rate" not in r.issues_flagged and r.fixes_applied["salary_converted_to_usd"] == 2
     kept = clean.clean_payroll(good, settings).orderBy("source").collect()
     assert [(k.employee_id, k.salary_usd_annual) for k in kept] == [("AC-000007", None), ("GT-000007", 100.0)]
