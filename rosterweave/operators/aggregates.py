@@ -74,15 +74,12 @@ def matched_total(payroll: DataFrame, employees: DataFrame) -> DataFrame:
 def salary_distribution(
     payroll: DataFrame, employees: DataFrame, stage: Stage | None = None
 ) -> DataFrame:
-    """Box figures per employment type of the allow-list. With a stage the join runs once."""
+    """Box figures per employment type of the allow-list."""
     salaries = matched_salaries(payroll, employees).where(
         F.col("employment_type").isin(EMPLOYMENT_TYPES)
     )
-    if stage:
-        salaries = stage(salaries, "matched_salaries")
-    return exact_quantiles(
-        salaries, "employment_type", "salary_usd_annual", {"q1": 0.25, "median": 0.5, "q3": 0.75}
-    )
+    box = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    return exact_quantiles(salaries, "employment_type", "salary_usd_annual", box, stage)
 
 
 def salary_histogram(payroll: DataFrame, employees: DataFrame, step: float = 0.1) -> DataFrame:

@@ -5,7 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SKETCH_ACCURACY = 100_000
+from rosterweave.plans.staging import Stage
+
+#: Cells that a bracket is cut into per round; a task sums up so many counts at most.
+CELLS = 4_096
+
+
+def _narrowed(values: DataFrame, open_: DataFrame, group: str, cells: int) -> DataFrame:
+    """The brackets, each replaced by the cell of it that holds its rank."""
+    v, low, high = F.col("v"), F.col("low"), F.col("high")
+    inner = F.floor(F.nanvl((v - low) / ((high - low) / cells), F.lit(0.0)))
+    # Both ends have a cell of their own, so every round takes values off a bracket.
+    cell = F.when(v == low, 0).when(v == high, cells).otherwise(
+        F.least(F.greatest(inner, F.lit(1)), F.lit(cells - 1))
+    )
+    key = [group, "name", "rank"]
+    counted = (
+        values.join(open_, group)
+        .where((v >= low) & (v <= high))
+        .groupBy(*key, "below", cell.alias("cell"))
+        .agg(F.sum("c").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+    )
+    upward = Window.partitionBy(*key).orderBy("cell")
+    end = F.col("below") + F.sum("n").over(upward)
+    found = counted.withColumn("end", end).withColumn("below", F.col("end") - F.col("n"))
+    return found.where((F.col("below") <= F.col("rank")) & (F.col("rank") < F.col("end"))).select(
+        *key, "low", "high", "below"
+    )
 
 
 def exact_quantiles(
@@ -13,66 +39,56 @@ def exact_quantiles(
     group: str,
     value: str,
     probabilities: dict[str, float],
-    accuracy: int = SKETCH_ACCURACY,
+    stage: Stage | None = None,
+    cells: int = CELLS,
 ) -> DataFrame:
     """Linearly interpolated quantiles per group, one column each, with n, min and max.
 
-    The built-in exact percentile holds every distinct value of a group in one task. Here a
-    sketch first brackets each quantile; values below the bracket are only counted, values inside
-    are counted per value, and the rank is looked up there. A bracket holds about ``6/accuracy``
-    of a large group. Should the sketch ever miss, the query fails rather than give a wrong value.
-
-    ``df`` is read twice, so it should be a stored table. Sizes decide how the brackets, one row
-    per group and quantile, are joined.
+    The built-in exact percentile holds every distinct value of a group in one task. Here each value
+    is counted once per group, and the two ranks of a quantile are searched for: a bracket, at first
+    from the least to the greatest value, is cut into cells, the counts of the cells are summed up,
+    and the one that holds the rank is the next bracket, until it is a single value. A round is one
+    aggregate over the counts; their number grows with the logarithm of the number of values.
     """
-    margin = 3 / accuracy
-    names = list(probabilities)
-    low = [max(probabilities[n] - margin, 0.0) for n in names]
-    high = [min(probabilities[n] + margin, 1.0) for n in names]
-    sketch = df.where(F.col(value).isNotNull()).groupBy(group).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
-        F.percentile_approx(value, low + high, accuracy).alias("_bounds"),
-    )
-    # In a small group all values are looked at: the bracket would be as wide.
-    large = F.col("n") >= 4 * accuracy
-    targets = [
-        F.struct(
-            F.lit(name).alias("name"),
-            (F.lit(probabilities[name]) * (F.col("n") - 1)).alias("rank"),
-            F.when(large, F.col("_bounds")[i]).otherwise(F.col("min")).alias("low"),
-            F.when(large, F.col("_bounds")[len(names) + i]).otherwise(F.col("max")).alias("high"),
-        )
-        for i, name in enumerate(names)
-    ]
-    brackets = sketch.select(group, F.inline(F.array(*targets)))
+    stage = stage or Stage(df.sparkSession)
     v = F.col(value)
-    counted = (
-        df.where(v.isNotNull())
-        .select(group, value)
-        .join(brackets, group)
-        .where(v <= F.col("high"))
-        # Null stands for everything below the bracket, and sorts first.
-        .select(group, "name", "rank", F.when(v >= F.col("low"), v).alias("v"))
-        .groupBy(group, "name", "rank", "v")
-        .agg(F.count(F.lit(1)).alias("c"))
-    )
-    upward = Window.partitionBy(group, "name").orderBy(F.col("v").asc_nulls_first())
-    ranked = counted.withColumn("end", F.sum("c").over(upward)).withColumn(
-        "start", F.col("end") - F.col("c")
+    counts = df.where(v.isNotNull()).groupBy(group, v.alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    values = stage(counts, "value_counts")
+    totals = stage(
+        values.groupBy(group).agg(
+            F.sum("c").alias("n"), F.min("v").alias("min"), F.max("v").alias("max")
+        ),
+        "value_totals",
     )
-    floor, ceil = F.floor("rank"), F.ceil("rank")
-
-    def at(rank):
-        return F.max(F.when((F.col("start") <= rank) & (rank < F.col("end")), F.col("v")))
-
-    found = (
-        ranked.groupBy(group, "name", "rank")
-        .agg(at(floor).alias("a"), at(ceil).alias("b"))
-        .withColumn("q", F.col("a") + (F.col("b") - F.col("a")) * (F.col("rank") - floor))
-        .withColumn("q", F.coalesce("q", F.raise_error(F.lit("quantile outside its bracket"))))
-        .groupBy(group)
-        .agg(*[F.max(F.when(F.col("name") == n, F.col("q"))).alias(n) for n in names])
+    last = F.col("n") - 1
+    ranks = [
+        F.struct(F.lit(f"{name}_{end}").alias("name"), to(F.lit(p) * last).cast("long").alias("rank"))
+        for name, p in probabilities.items()
+        for end, to in (("a", F.floor), ("b", F.ceil))
+    ]
+    brackets = totals.select(
+        group, "min", "max", F.inline(F.array(*ranks))
+    ).select(group, "name", "rank", F.col("min").alias("low"), F.col("max").alias("high"),
+             F.lit(0).cast("long").alias("below"))
+    done, turn = [], 0
+    brackets = stage(brackets, "brackets_0")
+    while True:
+        done.append(brackets.where("low = high").select(group, "name", F.col("low").alias("found")))
+        open_ = brackets.where("low <> high")
+        if open_.isEmpty():
+            break
+        turn += 1
+        brackets = stage(_narrowed(values, open_, group, cells), f"brackets_{turn}")
+    found = done[0]
+    for part in done[1:]:
+        found = found.unionByName(part)
+    ends = found.groupBy(group).agg(
+        *[F.max(F.when(F.col("name") == f"{n}_{e}", F.col("found"))).alias(f"{n}_{e}")
+          for n in probabilities for e in "ab"]
     )
-    return sketch.select(group, "n", "min", "max").join(found, group)
+    both = totals.join(ends, group)
+    new = {
+        n: F.col(f"{n}_a") + (F.col(f"{n}_b") - F.col(f"{n}_a")) * (F.lit(p) * last - F.floor(F.lit(p) * last))
+        for n, p in probabilities.items()
+    }
+    return both.withColumns(new).select(group, "n", "min", "max", *probabilities)

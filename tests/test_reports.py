@@ -1,8 +1,10 @@
 import datetime as dt
+import glob
 import random
 import statistics
 
 import pytest
+from pyspark.sql import functions as F
 
 from rosterweave.config import STAFF_A, STAFF_B, Settings
 from rosterweave.operators import aggregates, clean, quality, review
@@ -20,14 +22,14 @@ def quantile(values, p):
     return v[lo] + (v[hi] - v[lo]) * (pos - lo)
 
 
-@pytest.mark.parametrize("accuracy", [20, 100, 10_000])
-def test_exact_quantiles_with_brackets_and_a_hot_value(spark, accuracy):
+@pytest.mark.parametrize("cells", [100, 4_096])
+def test_exact_quantiles_by_narrowing_and_a_hot_value(spark, stage, cells):
     rng = random.Random(1)
     data = [("a", rng.choice([5.0, round(rng.lognormvariate(3, 1), 3)])) for _ in range(3000)]
     data += [("b", float(i)) for i in range(7)] + [("c", 1.5), ("c", None), ("d", None)]
     df = spark.createDataFrame(data, "g string, v double").repartition(5)
     probabilities = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-    got = {r.g: r for r in exact_quantiles(df, "g", "v", probabilities, accuracy).collect()}
+    got = {r.g: r for r in exact_quantiles(df, "g", "v", probabilities, stage, cells).collect()}
     assert set(got) == {"a", "b", "c"}
     for g, row in got.items():
         values = [v for k, v in data if k == g and v is not None]
@@ -36,6 +38,16 @@ def test_exact_quantiles_with_brackets_and_a_hot_value(spark, accuracy):
             assert row[name] == pytest.approx(quantile(values, p), abs=1e-12)
 
 
+def test_a_group_over_many_tasks_is_summed_by_cells(spark, stage):
+    df = spark.range(200_000).select(F.lit("g").alias("g"), (F.col("id") * 7 % 200_000 / 3.0).alias("v")).repartition(8)
+    got = exact_quantiles(df, "g", "v", {"p10": 0.1, "p90": 0.9}, stage, 64).first()
+    assert (got.n, got.min) == (200_000, 0.0)
+    assert got.p10 == pytest.approx(0.1 * 199_999 / 3) and got.p90 == pytest.approx(0.9 * 199_999 / 3)
+    # No task sums more than the cells of a bracket, in a logarithmic number of rounds.
+    rounds = [int(p.rsplit("_", 1)[1]) for p in glob.glob(f"{stage.folder}/brackets_*")]
+    assert 2 <= max(rounds) <= 4
+
+
 def hired(spark, dates):
     rows = [(f"GT-{i:06d}", STAFF_A, d) for i, d in enumerate(dates)]
     return spark.createDataFrame(rows, "employee_id string, source_system string, hire_date date")
