@@ -35,7 +35,7 @@ SAMPLE = {0: 6_000, 1: 3_000}
 #: Characters of the sampled texts at most; beyond it the sample takes no further rows.
 SAMPLE_CHARS = 1 << 26
 WIDTHS = (6, 30)
-LEVEL = 19
+LEVEL = 12
 ORDINARY_BYTES, TOXIC_BYTES = 65_536, 8_192
 #: So many times more often a word beginning stands in toxic texts that count as telling.
 TELLING = 16

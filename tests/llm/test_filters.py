@@ -144,7 +144,7 @@ def test_distances_and_features_equal_their_definition():
                 for content in (dictionaries.ordinary, dictionaries.toxic + dictionaries.ordinary):
                     data = zstandard.ZstdCompressionDict(content, zstandard.DICT_TYPE_RAWCONTENT)
                     one = zstandard.ZstdCompressor(
-                        19, dict_data=data, write_content_size=False, write_checksum=False, write_dict_id=False
+                        toxicity.LEVEL, dict_data=data, write_content_size=False, write_checksum=False, write_dict_id=False
                     )
                     size.append(len(one.compress(" ".join(split[i : i + width]).encode())))
                 saved.append(size[0] - size[1])
