@@ -25,6 +25,7 @@ from workload.fixtures import BENEFITS_TIES, fixture, table
 Query = Callable[[SparkSession, str], DataFrame]
 
 SETTINGS = Settings(report_date=dt.date(2002, 1, 1))
+CODEC = "gzip"  # of written source files; readers tell it by the file's name
 BENEFITS_BY = [*BENEFITS_ORDER, *BENEFITS_TIES]
 BENEFITS_ROW = ["ingest_ordinal", *BENEFITS_TIES]
 FIGURES = [
@@ -214,12 +215,11 @@ def money(c):
     return F.col(c).cast("decimal(18,2)").cast("string")
 
 
-def enrollment_texts(spark, folder):
-    """Enrolment elements as text. Some have a blank id, a missing or an unreadable premium, or
+def enrollment_text():
+    """An enrolment as an element. Some have a blank id, a missing or an unreadable premium, or
     cannot be read at all; some of these hold other tags too."""
     c, n = F.col, F.col("ingest_ordinal")
-    fx = fixture(spark, folder, "fx_benefits")
-    raw = element(
+    return element(
         ("employee_id", F.when(n % 97 == 0, "  ").otherwise(F.concat(F.lit(" "), c("employee_id")))),
         ("plan_type", F.when(n % 79 == 0, "A &bad; ").otherwise(c("plan_type"))),
         ("coverage_level", F.when(n % 5 != 0, c("coverage_level"))),
@@ -228,7 +228,11 @@ def enrollment_texts(spark, folder):
         ("premium_employee", F.when(n % 89 == 0, "12x").when(n % 7 == 0, "").otherwise(money("premium_employee"))),
         ("premium_employer", F.when(n % 83 == 0, "n/a").when(n % 3 != 0, money("premium_employer"))),
     )
-    return fx.select("ingest_ordinal", raw.alias(RAW_RECORD))
+
+
+def enrollment_texts(spark, folder):
+    fx = fixture(spark, folder, "fx_benefits")
+    return fx.select("ingest_ordinal", enrollment_text().alias(RAW_RECORD))
 
 
 def parsed_enrollments(spark, folder):
@@ -254,16 +258,20 @@ def dead_letters_by_error(spark, folder):
 def write_pages(df, path, page, order, line, head, join="\n", tail=""):
     """Text files of the lines of a page each, in order; the files' names follow the pages.
 
-    A page is a range of ordinals, so it holds a bounded number of lines.
+    A page is a range of ordinals, so it holds a bounded number of lines. Rows are dealt by ranges of
+    pages before they become lines, so that one shuffle of their columns does, and the files are
+    compressed. The number of parts is fixed: a part names no more than 1,000 files in order.
     """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.withColumn("_page", page).repartitionByRange(n, "_page")
     lines = F.array_sort(F.collect_list(F.struct(*order, line.alias("_line"))))
-    texts = df.groupBy(page.alias("_page"), head.alias("_head")).agg(
+    texts = dealt.groupBy("_page", head.alias("_head")).agg(
         F.array_join(F.transform(lines, lambda x: x["_line"]), join).alias("_lines"),
         F.count("*").alias("_n"),
     )
     value = F.concat(F.replace("_head", F.lit("#"), F.col("_n").cast("string")), "_lines", F.lit(tail))
-    dealt = texts.repartitionByRange("_page").sortWithinPartitions("_page").select(value.alias("value"))
-    dealt.write.option("maxRecordsPerFile", 1).text(path)
+    written = texts.sortWithinPartitions("_page").select(value.alias("value")).write
+    written.option("maxRecordsPerFile", 1).option("compression", CODEC).text(path)
 
 
 def csv_line(columns):
@@ -355,15 +363,14 @@ def csv_dead_letters(spark, folder):
     """The damaged records of both, as they stand in their files."""
     staff, paid = parsed_csv(spark, folder)
     both = staff.rejects.unionByName(paid.rejects)
-    text = F.regexp_extract(RAW_RECORD, r"\Apart-[^:]*\.txt: (?s:(.*))", 1)
+    text = F.regexp_extract(RAW_RECORD, r"\Apart-[^:]*\.txt\.\w+: (?s:(.*))", 1)
     return both.select("source", ERROR, text.alias(RAW_RECORD))
 
 
-def write_enrollments(elements, path, size=10_000):
+def write_enrollments(rows, text, path, size=10_000, ties=()):
     page = F.floor(F.col("ingest_ordinal") / size)
-    order = ["ingest_ordinal", *[c for c in BENEFITS_TIES if c in elements.columns]]
     write_pages(
-        elements, path, page, order, F.col(RAW_RECORD), F.lit('<?xml version="1.0"?>\n<benefits n="#">\n'),
+        rows, path, page, ["ingest_ordinal", *ties], text, F.lit('<?xml version="1.0"?>\n<benefits n="#">\n'),
         tail="\n</benefits>",
     )
 
@@ -382,7 +389,7 @@ def enrollment_dead_letters(spark, folder):
 
 def parsed_xml(spark, folder):
     stage = Stage(spark)
-    write_enrollments(enrollment_texts(spark, folder), f"{stage.folder}/raw")
+    write_enrollments(fixture(spark, folder, "fx_benefits"), enrollment_text(), f"{stage.folder}/raw")
     parsed = stage(benefits_xml.parse_benefits_xml(spark, f"{stage.folder}/raw"), "benefits")
     return split_rejects(parsed, BENEFITS)
 
@@ -403,7 +410,7 @@ def ingest_report(spark, folder):
     write_csv_pages(raw_staff(spark, folder), f"{raw}/staff_a", 4)
     write_csv_pages(raw_payroll(spark, folder), f"{raw}/payroll", 7)
     write_staff_pages(spark, folder, f"{raw}/staff_b", _record())
-    write_enrollments(enrollment_texts(spark, folder), f"{raw}/benefits")
+    write_enrollments(fixture(spark, folder, "fx_benefits"), enrollment_text(), f"{raw}/benefits")
     sources = Sources(f"{raw}/staff_a", f"{raw}/staff_b", f"{raw}/payroll", f"{raw}/benefits")
     return ingest_all(spark, sources, stage).report
 
@@ -855,7 +862,7 @@ def job_output(spark, folder):
         premiums = [(p, money(p)) for p in benefits_xml.PREMIUMS]
         whole = element(*[(t, c(t)) for t in benefits_xml.TEXTS], *premiums)
         enrolled = fixture(spark, folder, "fx_benefits")
-        write_enrollments(enrolled.withColumn(RAW_RECORD, whole), f"{raw}/benefits", 50_000)
+        write_enrollments(enrolled, whole, f"{raw}/benefits", 50_000, BENEFITS_TIES)
         record = F.struct(
             "employee_identifier",
             F.struct(c("first_name").alias("first"), c("last_name").alias("last")).alias("name"),
