@@ -28,6 +28,14 @@ _START = r"<enrollment(?=[\s>])"
 SPECIAL_NUMBER = (
     r"(?i)^[+-]?((\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)(e[+-]?\d+(_\d+)*)?|inf|infinity|nan)$"
 )
+# An element of the columns in their order, as plain texts: no attributes, references, comments or line
+# ends that an XML reader rewrites. What may be long is matched possessively.
+_PLAIN = r"(?!\s++<)([^<>&\r\x00-\x08\x0B\x0C\x0E-\x1F\x{D800}-\x{DFFF}\x{FFFE}\x{FFFF}]*+)"
+_SPACE = r"[ \t\n]*+"
+_FIELDS = "".join(f"(?:<{c}>{_PLAIN}</{c}>{_SPACE})?+" for c in COLUMNS)
+_SIMPLE = rf"\A<enrollment>{_SPACE}{_FIELDS}</enrollment>\z"
+_CUT = "\x01"  # no XML text holds it
+
 # Letters that a cast reads in its own way: suffixes, hexadecimal, infinity.
 _UNUSUAL = "[dDfFpPxX_]"
 
@@ -57,13 +65,29 @@ def elements_of(chunks: DataFrame, *keep: str) -> DataFrame:
     return placed.select(*keep, F.explode(closed).alias(RAW_RECORD))
 
 
-def parse_enrollments(elements: DataFrame, *keep: str) -> DataFrame:
-    """Typed columns of the elements in ``raw_record``, and an error where one is unusable."""
+def _read(elements: DataFrame) -> DataFrame:
+    """``elements`` with their texts in ``_e``; an absent text may be empty.
+
+    Elements of plain texts in the order of the columns are cut by one pattern, as an XML reader costs
+    many times that; all others are read as XML.
+    """
     schema = f"{string_columns(COLUMNS)}, {UNREADABLE} string"
     options = {
         "ignoreSurroundingSpaces": "false", "columnNameOfCorruptRecord": UNREADABLE, "rowTag": "enrollment",
     }
-    read = elements.select(*keep, RAW_RECORD, F.from_xml(RAW_RECORD, schema, options).alias("_e"))
+    raw = F.col(RAW_RECORD)
+    places = _CUT.join(f"${i + 1}" for i in range(len(COLUMNS)))
+    cut = elements.withColumn("_cut", F.regexp_replace(raw, _SIMPLE, places))
+    cut = cut.withColumn("_texts", F.when(F.col("_cut") != raw, F.split("_cut", _CUT, -1)))
+    texts = [F.get("_texts", i).alias(c) for i, c in enumerate(COLUMNS)]
+    plain = F.struct(*texts, F.lit(None).cast("string").alias(UNREADABLE))
+    read = F.when(F.col("_texts").isNotNull(), plain).otherwise(F.from_xml(raw, schema, options))
+    return cut.select(*elements.columns, read.alias("_e"))
+
+
+def parse_enrollments(elements: DataFrame, *keep: str) -> DataFrame:
+    """Typed columns of the elements in ``raw_record``, and an error where one is unusable."""
+    read = _read(elements.select(*keep, RAW_RECORD))
     text = {c: F.col(f"_e.{c}") for c in COLUMNS}
     typed = read.select(
         *keep,

@@ -5,6 +5,10 @@ import gzip
 
 from pyspark.sql import functions as F
 
+from rosterweave.config import STAFF_A
+from rosterweave.functions import ids
+from rosterweave.sources import benefits_xml
+from rosterweave.sources.common import RAW_RECORD
 from workload import queries
 
 
@@ -19,3 +23,35 @@ def test_pages_are_compressed_and_named_in_order(spark, tmp_path):
     pages = [gzip.open(f, "rt").read().split("\n") for f in files]
     assert [p[0] for p in pages] == ["10"] * 9 + ["5"]
     assert [int(x) for p in pages for x in p[1:] if x] == list(range(95))
+
+
+def test_plain_elements_are_cut_and_others_read_as_xml(spark):
+    e = "<enrollment>{}</enrollment>".format
+    two = "<employee_id> 7</employee_id><premium_employee>{}</premium_employee>".format
+    texts = [
+        e(two("1.5")), e("\n  <employee_id>7</employee_id> "), e(two("")), e(two("  ")), e(two("a&amp;b")),
+        e(two("<b>1</b>")), e(two("1\r\n")), e(two("1") + two("2")), e("<other>1</other>" + two("1")),
+        e("<premium_employee>1</premium_employee><employee_id>7</employee_id>"), e(two("\x01")), e(""), e(two("]]>")),
+    ]
+    rows = spark.createDataFrame(list(enumerate(texts)), f"n int, {RAW_RECORD} string")
+    read = benefits_xml._read(rows)
+    as_xml = F.from_xml(
+        RAW_RECORD, f"{benefits_xml.string_columns(benefits_xml.COLUMNS)}, unreadable string",
+        {"ignoreSurroundingSpaces": "false", "columnNameOfCorruptRecord": "unreadable", "rowTag": "enrollment"},
+    )
+    for row in read.select("n", "_e", as_xml.alias("xml")).collect():
+        for c in [*benefits_xml.COLUMNS, "unreadable"]:
+            assert (row["_e"][c] or "") == (row["xml"][c] or ""), (row.n, c)
+    cut = rows.where(F.regexp_replace(RAW_RECORD, benefits_xml._SIMPLE, "") != F.col(RAW_RECORD))
+    assert {r.n for r in cut.collect()} == {0, 1, 2, 11}
+
+
+def test_ids_of_digits_are_padded_as_by_pattern(spark):
+    given = {
+        "": "", "7": "000007", "123456": "123456", "0000012": "000012", "1234567": "1234567",
+        "01234567": "1234567", "0": "000000", "00000000": "000000", "12\n": "000012", "E-9": "000009", "E": "E",
+    }
+    rows = spark.createDataFrame([(k,) for k in given], "raw string")
+    prefix = rows.select(ids.employee_id(F.lit("1"), F.lit(STAFF_A)).alias("id")).first().id[:-6]
+    found = rows.select("raw", ids.employee_id(F.col("raw"), F.lit(STAFF_A)).alias("id")).collect()
+    assert {r.raw: r.id for r in found} == {k: prefix + v for k, v in given.items()}
