@@ -12,10 +12,16 @@ def _number_or_raw(c: Column) -> Column:
     """Digits at the end without leading zeros but at least six, or the text if it has none.
 
     Kept as text, so numbers of any length survive and padding never cuts a longer one. The zeros
-    put in front are taken off again down to six digits.
+    put in front are taken off again down to six digits. Text of digits alone is padded or kept
+    without a pattern.
     """
+    digits = (c != "") & (F.translate(c, "0123456789", "") == "")
     padded = F.regexp_replace(c, r"(\d+)$", "000000$1")
-    return F.regexp_replace(padded, r"(?s)^.*?0*(\d{6,})\n?\z", "$1")
+    return (
+        F.when(digits & (F.length(c) <= 6), F.lpad(c, 6, "0"))
+        .when(digits & (c >= "1"), c)
+        .otherwise(F.regexp_replace(padded, r"(?s)^.*?0*(\d{6,})\n?\z", "$1"))
+    )
 
 
 def employee_id(raw: Column, source_system: Column) -> Column:
