@@ -107,11 +107,13 @@ def _running(
 def _spans(lines: DataFrame, stage: Stage) -> DataFrame:
     """``file, start, end``: first and last line of every record of several lines."""
     stops = F.col("inside") != "inside"
-    marks = lines.where(stops | (F.col("outside") != "closed") | (F.col("commas_inside") > 0))
+    marks = lines.where(stops | (F.col("outside") != "closed") | (F.col("commas_inside") > 0)).select(
+        "file", "at", "n_cells", "outside", "inside", "commas_outside", "commas_inside"
+    )
     marks = _running(
         marks, "at", {"stop": stops.cast("long"), "commas": F.col("commas_inside").cast("long")}, {}
     )
-    marks = stage(marks.withColumn("stops", stops).drop("value"), "csv_marks")
+    marks = stage(marks.withColumn("stops", stops), "csv_marks")
     ends = marks.where("stops").select(
         "file", "stop", F.col("at").alias("end"), (F.col("inside") == "closed").alias("ends"),
         F.col("commas").alias("end_commas"),
@@ -136,22 +138,41 @@ def _spans(lines: DataFrame, stage: Stage) -> DataFrame:
     return chain.select("file", start.alias("start"), "end").where("start is not null")
 
 
+def _covered(lines: DataFrame, spans: DataFrame) -> DataFrame:
+    """``file, at, record``: places in records of several lines, and where the record of each starts.
+
+    Places count on from line to line within a task of the scan, whose number is their upper part. A
+    record that one task did not read whole is laid out over what each of them read of its file.
+    """
+    task = lambda c: F.shiftright(c, 33)
+    whole = task("start") == task("end")
+    laid = lambda first, last: F.explode(F.sequence(first, last)).alias("at")
+    within = spans.where(whole).select("file", laid("start", "end"), F.col("start").alias("record"))
+    read = lines.groupBy("file", task("at").alias("_task")).agg(
+        F.min("at").alias("_first"), F.max("at").alias("_last")
+    )
+    split = spans.where(~whole).select("*", F.explode(F.sequence(task("start"), task("end"))).alias("_task"))
+    across = split.join(read, ["file", "_task"]).select(
+        "file", laid(F.greatest("start", "_first"), F.least("end", "_last")), F.col("start").alias("record")
+    )
+    return within.unionByName(across)
+
+
 def _joined(lines: DataFrame, stage: Stage) -> DataFrame:
     """``file, at, text, outside`` of the records in files with cells that stay open."""
     spans = stage(_spans(lines, stage), "csv_spans")
-    starts = spans.withColumn("span", F.struct("start", "end"))
-    marked = lines.join(
-        starts.select("file", F.col("start").alias("at"), "span"), ["file", "at"], "left"
+    covered = stage(_covered(lines, spans), "csv_covered")
+    # The one shuffle of whole lines. Places are far larger in memory than stored, so no broadcast.
+    placed = lines.select("file", "at", "value", "outside").join(
+        covered.hint("shuffle_hash"), ["file", "at"], "left"
     )
-    placed = _running(marked, "at", {}, {"within": F.col("span")})
-    inside = F.coalesce(F.col("at") <= F.col("within.end"), F.lit(False))
-    placed = stage(placed.withColumn("record", F.when(inside, F.col("within.start"))), "csv_placed")
+    placed = stage(placed, "csv_placed")
     several = placed.where("record is not null").groupBy("file", F.col("record").alias("at")).agg(
-        F.array_sort(F.collect_list(F.struct("at", "value"))).alias("parts"), F.first("names").alias("names")
+        F.array_sort(F.collect_list(F.struct("at", "value"))).alias("parts")
     )
     filled = F.filter("parts", lambda x: _filled(x["value"]))
     several = several.select(
-        "file", "at", "names", F.array_join("parts.value", "\n").alias("text"), F.lit("closed").alias("outside"),
+        "file", "at", F.array_join("parts.value", "\n").alias("text"), F.lit("closed").alias("outside"),
         F.size(filled).cast("long").alias(LINES),
     )
     return several.unionByName(_single(placed.where("record is null")))
@@ -159,7 +180,7 @@ def _joined(lines: DataFrame, stage: Stage) -> DataFrame:
 
 def _single(lines: DataFrame) -> DataFrame:
     return lines.where(_filled(F.col("value"))).select(
-        "file", "at", "names", F.col("value").alias("text"), "outside", F.lit(1).cast("long").alias(LINES)
+        "file", "at", F.col("value").alias("text"), "outside", F.lit(1).cast("long").alias(LINES)
     )
 
 
@@ -169,22 +190,32 @@ def _filled(line: Column) -> Column:
 
 def _cells(text: Column) -> Column:
     """Cells of a well-formed record, without quotes around them."""
+    plain = ~F.contains(text, F.lit('"'))
     given = F.regexp_extract_all(F.concat(F.lit(","), text), F.lit(_NEXT_CELL), F.lit(1))
     quoted = lambda c: F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))
-    return F.transform(given, lambda c: F.when(c.startswith('"'), quoted(c)).otherwise(c))
+    cells = F.transform(given, lambda c: F.when(c.startswith('"'), quoted(c)).otherwise(c))
+    return F.when(plain, F.split(text, ",", -1)).otherwise(cells)
+
+
+def _small(files: DataFrame) -> DataFrame:
+    return F.broadcast(files) if files.count() <= _SMALL_FILES else files
 
 
-def _files(lines: DataFrame) -> DataFrame:
-    """Per file the place of its header, the names in it, and how many lines leave a cell open."""
-    filled = _filled(F.col("value"))
+def _files(lines: DataFrame, stage: Stage) -> DataFrame:
+    """Per file the place of its header, the names in it, and how many lines leave a cell open.
+
+    Places are summed up first: numbers alone need no sort of the lines.
+    """
     per_file = lines.groupBy("file").agg(
-        F.min(F.when(filled, F.col("at"))).alias("head"),
-        F.min_by("value", F.when(filled, F.col("at"))).alias("header"),
+        F.min(F.when(_filled(F.col("value")), F.col("at"))).alias("head"),
         F.count_if(F.col("outside") == "open").alias("opens"),
     ).where("head is not null")
-    header = F.regexp_replace("header", r"\A\x{FEFF}|\r\z", "")
+    heads = _small(stage(per_file, "csv_heads")).withColumnRenamed("head", "at")
+    header = F.regexp_replace("value", r"\A\x{FEFF}|\r\z", "")
     names = _cells(header)
-    return per_file.select("file", "head", names.alias("names"), F.size(names).alias("n_cells"), "opens")
+    return lines.select("file", "at", "value").join(heads, ["file", "at"]).select(
+        "file", F.col("at").alias("head"), names.alias("names"), F.size(names).alias("n_cells"), "opens"
+    )
 
 
 def parse_csv(
@@ -217,16 +248,17 @@ def parse_csv(
         kinds = f"{FILE} string, {LINES} long, {string_columns(columns)}, {ORDINAL} long"
         kinds += f", {string_columns([ERROR, RAW_RECORD])}"
         return spark.createDataFrame([], kinds)
-    files = stage(_files(lines), "csv_files")
+    files = stage(_files(lines, stage), "csv_files")
     for row in files.select("names").distinct().toLocalIterator():
         lacking = [c for c in columns if c not in row.names]
         if lacking:
             raise ValueError(f"{path} has no column {', '.join(lacking)}")
-    with_names = F.broadcast(files) if files.count() <= _SMALL_FILES else files
-    lines = lines.join(with_names, "file").where("at > head").drop("head")
+    files = _small(files)
+    lines = lines.join(files.drop("names"), "file").where("at > head").drop("head")
     records = _single(lines.where("opens = 0") if multiline else lines)
     if multiline and not files.where("opens > 0").isEmpty():
         records = records.unionByName(_joined(lines.where("opens > 0"), stage))
+    records = records.join(files.select("file", "names"), "file")
     return _typed(records, columns, lambda c: missing_as_null(c, MISSING_CELLS))
 
 
