@@ -21,7 +21,7 @@ from rosterweave.functions import similarity
 from rosterweave.functions.text import full_name
 from rosterweave.operators.identity import staff_of
 from rosterweave.operators.reports import counters, pass_report
-from rosterweave.operators.skew import own_key, spread_join
+from rosterweave.operators.skew import dealt, own_key, spread_join
 
 ORDINAL = "ingest_ordinal"
 SEGMENT = "_segment"
@@ -73,7 +73,7 @@ def _meeting(names_a: DataFrame, names_b: DataFrame, a: DataFrame, b: DataFrame,
     )
     if per_bucket.where(F.col("n") * F.col("m") >= heavy_rows).isEmpty():
         # Exploded sides are larger than Spark estimates, so neither is to be broadcast.
-        return a.join(b.hint("merge"), key)
+        return dealt(a, *key).join(dealt(b, *key).hint("merge"), key)
     weights = a.groupBy(*key).agg(many.alias("n")).join(b.groupBy(*key).agg(many.alias("m")), key)
     return spread_join(a, b.hint("merge"), key, weights, "a_key", heavy_rows=heavy_rows, other_id="b_key")
 

@@ -15,6 +15,15 @@ def own_key(column: str, row_id: str = "ingest_ordinal") -> Column:
     return F.coalesce(F.col(column), F.concat(F.lit("\0"), F.col(row_id).cast("string")))
 
 
+def dealt(df: DataFrame, *columns: str) -> DataFrame:
+    """``df`` in as many parts as shuffles have, by ``columns``.
+
+    For the sides of a join that makes far more rows than it reads: parts are otherwise merged, or
+    taken as a scan has them, by the size of what is read, and a few tasks make all the rows.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
+
+
 def spread_join(
     rows: DataFrame,
     other: DataFrame,
@@ -34,7 +43,8 @@ def spread_join(
 
     With ``other_id``, for inner joins, ``weights`` also has ``m``, the number of partners per
     key. Then a key is heavy if it makes ``heavy_rows`` pairs or more, and both sides are cut, so
-    that a slice makes about ``heavy_rows`` pairs.
+    that a slice makes about ``heavy_rows`` pairs. As few rows can make very many pairs, both sides
+    are dealt over all parts (see ``dealt``).
 
     The table of heavy keys is joined like any other: its size decides how.
     """
@@ -47,8 +57,13 @@ def spread_join(
         heavy = weights.where(F.col("n") * F.col("m") >= heavy_rows)
         side = max(int(heavy_rows**0.5), 1)
         other_cuts = F.ceil(F.col("m") / side)
+    def join(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+        if other_id is not None:
+            a, b = dealt(a, *keys), dealt(b, *keys)
+        return a.join(b, keys, how)
+
     if heavy.isEmpty():
-        return rows.join(other, on, how)
+        return join(rows, other, on)
     cuts = heavy.select(
         *on,
         F.ceil(F.col("n") / side).cast("long").alias(_CUTS),
@@ -66,4 +81,4 @@ def spread_join(
     sliced = cut(rows, _CUTS, _SLICE, row_id, _OTHER_CUTS, _OTHER_SLICE)
     repeated = cut(other, _OTHER_CUTS, _OTHER_SLICE, other_id, _CUTS, _SLICE)
     keys = [*on, _SLICE, _OTHER_SLICE]
-    return sliced.join(repeated, keys, how).drop(_SLICE, _OTHER_SLICE)
+    return join(sliced, repeated, keys).drop(_SLICE, _OTHER_SLICE)

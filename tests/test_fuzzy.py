@@ -170,3 +170,17 @@ def test_low_thresholds_meet_by_length(spark):
     assert got[1][0] == ["length:8"] and got[1][1] == [f"length:{n}" for n in range(4, 19)]
     with pytest.raises(ValueError, match="threshold"):
         similarity.indexed_segments(F.col("t"), 0)
+
+
+def test_few_rows_that_make_many_pairs_are_dealt_over_parts(spark, stage, settings):
+    """The rows are in one file, and far too small for Spark to split their join by size."""
+    day = dt.date(2000, 1, 1)
+    rows = [
+        (i, f"{i}", STAFF_A if i % 2 else STAFF_B, "Ann", "Smith", day + dt.timedelta(i % 400), "e", "X", "m")
+        for i in range(400)
+    ]
+    emp = stage(spark.createDataFrame(rows, SCHEMA).coalesce(1), "emp")
+    names = stage(fuzzy.similar_names(emp, settings), "names")
+    pairs = fuzzy.probable_matches(emp, names, settings)
+    per_part = [r["count"] for r in pairs.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(per_part) > 1 and sum(per_part) == len(brute_force(rows, 88, 30))
