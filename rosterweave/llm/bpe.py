@@ -26,13 +26,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterweave.llm.common import map_arrow
+from rosterweave.llm.common import map_arrow, parts
 
 VOCABULARY = "byte_bpe_50k.json"
 PART = 1 << 16  # characters fed at once
 _LONG = 1 << 12  # characters without a settled place from which a pre-token is merged in parts
 _BEHIND = 4  # characters a pre-token's end may depend on
-_CACHED = 300_000  # pieces in a generation of those whose ids a worker keeps
+_CACHED = 1 << 17  # pieces in a generation of those whose ids a worker keeps, with its later tasks
 _MARKS = frozenset(".,;:!?")
 _SHIFT = 20  # ids are below 2**20
 _MASK = (1 << _SHIFT) - 1
@@ -315,7 +315,7 @@ def _with_ids(vocabulary: str, decode: bool):
         path = public_tokenizers.path(vocabulary)
         merges = merges_at(path)
         encoder, decoder = Encoder(merges, pieces_at(path)), Decoder(merges)
-        for batch in batches:
+        for batch in parts(batches):
             made = [encoder.encode(t) for t in batch["text"].to_pylist()]
             names = [n for n in batch.schema.names if n != "text"]
             ends = np.cumsum([0, *map(len, made)], dtype=np.int32)

@@ -36,6 +36,13 @@ def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
     return df.mapInArrow(function, schema)
 
 
+def parts(batches: Iterable[pa.RecordBatch], size: int = 1_000) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of ``size`` rows at most, so that few texts at once are Python objects."""
+    for batch in batches:
+        for first in range(0, len(batch), size):
+            yield batch.slice(first, size)
+
+
 def numbered(docs: DataFrame, *columns: str) -> DataFrame:
     """``columns`` with a number per row, as ids may be null or repeated.
 

@@ -12,7 +12,9 @@ many copies reaches its bucket at most once per task.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterable, Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -20,15 +22,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterweave.llm.common import map_arrow
+from rosterweave.llm.common import map_arrow, parts
 from rosterweave.plans.staging import Stage
 
 WIDTH = 35
 GRAM = 3
 _RUN = 256  # windows in a super-k-mer at most, so that strings stay short
-_HELD = 48 << 20  # bytes of strings that a task keeps to find repeats before they travel
-_WORDS = 1 << 19  # hashes of words that a task keeps
-_TOGETHER = 40_000  # strings whose windows are sorted together
+_HELD = 32 << 20  # bytes of strings that a task keeps to find repeats before they travel
+_WORDS = 1 << 17  # hashes of words that a task keeps
+_TOGETHER = 10_000  # strings whose windows are sorted together
+_SENT = 10_000  # rows that a task hands over at once
 _KEY = ["key_id", "key_text"]
 _TRAVEL = "bucket long, packed binary, key_id long, key_text long, begin int, end int, repeated boolean"
 _TYPES = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
@@ -102,7 +105,7 @@ def _minimisers(width: int):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
-        for batch in batches:
+        for batch in parts(batches):
             found, counts = [[], [], [], []], []
             for text in batch["text"].to_pylist():
                 words = text.encode("utf-8", "surrogatepass").split() if text else []
@@ -129,13 +132,13 @@ def _packing(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held, size, answers = {}, 0, []
 
     def flush():
-        rows = [(b, packed, *where, again) for packed, (b, where, again) in held.items()]
-        rows += answers
-        if rows:
-            arrays = [pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)]
+        strings = ((b, packed, *where, again) for packed, (b, where, again) in held.items())
+        rows = chain(strings, answers)
+        while part := list(islice(rows, _SENT)):
+            arrays = [pa.array(c, t) for c, t in zip(zip(*part), _TYPES)]
             yield pa.RecordBatch.from_arrays(arrays, _NAMES)
 
-    for batch in batches:
+    for batch in parts(batches):
         columns = (batch[c].to_pylist() for c in ("text", "runs", *_KEY))
         for text, runs, key_id, key_text in zip(*columns):
             words = text.encode("utf-8", "surrogatepass").split()
@@ -164,10 +167,13 @@ def repeated_windows(strings: list[bytes], weights: np.ndarray, width: int) -> l
     Windows are sorted by a hash; those next to one another with one hash are compared word by
     word, so a hash that two windows share by chance decides nothing.
     """
-    ids = _Ids()
-    split = [s.split() for s in strings]
-    lengths = np.fromiter(map(len, split), np.int64, len(split))
-    words = np.fromiter((ids[w] for ws in split for w in ws), np.int64, int(lengths.sum()))
+    ids, spelt = _Ids(), array("q")
+    lengths = np.empty(len(strings), np.int64)
+    for i, string in enumerate(strings):  # the words of one string at a time
+        before = len(spelt)
+        spelt.extend(map(ids.__getitem__, string.split()))
+        lengths[i] = len(spelt) - before
+    words = np.frombuffer(spelt, np.int64)
     ends = np.cumsum(lengths)
     counts = lengths - width + 1
     # A window's hash is a difference of prefix sums of word hash times power of an odd number.
@@ -282,7 +288,7 @@ def repeated_ranges(keyed: DataFrame, stage: Stage, width: int = WIDTH) -> DataF
 
 
 def _cutting(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in parts(batches):
         words_of, removed, kept = [], [], []
         for text, ranges in zip(batch["text"].to_pylist(), batch["ranges"].to_pylist()):
             words = text.encode("utf-8", "surrogatepass").split() if text else []

@@ -5,10 +5,12 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
 from rosterweave.llm import simhash, substrings
+from rosterweave.llm.common import parts
 
 ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -173,3 +175,29 @@ def test_windows_that_share_a_hash_are_told_apart(monkeypatch):
 def test_digest_is_that_of_the_kept_words(spark, stage):
     row = substrings.without_repeats(frame(spark, [(1, "a  b\nc")]), ["doc_id"], stage).first()
     assert hashlib.sha256(row.kept.encode()).hexdigest() == hashlib.sha256(b"a b c").hexdigest()
+
+
+def test_what_a_task_holds_is_handed_over_in_bounded_batches():
+    n = substrings._SENT * 2 + 5
+    runs = [{"bucket": i, "begin": i, "end": i + 2} for i in range(n)]
+    batch = pa.RecordBatch.from_pydict(
+        {
+            "text": [" ".join(map(str, range(n + 2))), "7 8"],
+            "runs": [runs, [{"bucket": 7, "begin": 0, "end": 2}]],
+            "key_id": [1, 2],
+            "key_text": [1, 2],
+        }
+    )
+    sent = list(substrings._packing([batch]))
+    assert max(map(len, sent)) <= substrings._SENT
+    packed = [p for b in sent for p in b["packed"].to_pylist()]
+    assert packed == [f"{i} {i + 1}".encode() for i in range(n)] + [None]
+    repeated = [r for b in sent for r in b["repeated"].to_pylist()]
+    assert [i for i, r in enumerate(repeated) if r] == [7, n]
+
+
+def test_texts_are_taken_in_slices():
+    batch = pa.RecordBatch.from_pydict({"text": [str(i) for i in range(2_500)]})
+    slices = list(parts([batch, batch.slice(0, 0)]))
+    assert [len(s) for s in slices] == [1_000, 1_000, 500]
+    assert pa.Table.from_batches(slices).to_pydict() == batch.to_pydict()
