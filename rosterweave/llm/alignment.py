@@ -16,7 +16,6 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -27,7 +26,7 @@ from pyspark.sql import functions as F
 
 from rosterweave.llm import token_files
 from rosterweave.llm.bpe import byte_names
-from rosterweave.llm.common import map_arrow
+from rosterweave.llm.common import kept, map_arrow
 from rosterweave.plans.staging import Stage
 
 VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -86,7 +85,7 @@ class Sides:
         return out
 
 
-@cache
+@kept
 def sides_of(vocabulary_a: str, vocabulary_b: str) -> Sides:
     return Sides(public_tokenizers.path(vocabulary_a), public_tokenizers.path(vocabulary_b))
 

@@ -17,7 +17,6 @@ import codecs
 import json
 from array import array
 from collections.abc import Iterable, Iterator
-from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -26,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterweave.llm.common import map_arrow, parts
+from rosterweave.llm.common import kept, map_arrow, parts
 
 VOCABULARY = "byte_bpe_50k.json"
 PART = 1 << 16  # characters fed at once
@@ -299,12 +298,12 @@ class Decoder:
         return "".join([*parts, self.finish()])
 
 
-@cache
+@kept
 def merges_at(path: str) -> Merges:
     return Merges(path)
 
 
-@cache
+@kept
 def pieces_at(path: str) -> Pieces:
     """Pieces that the tasks of a Python worker share, one after the other."""
     return Pieces(merges_at(path))

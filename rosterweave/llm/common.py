@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import shutil
 import tempfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import wraps
 from pathlib import Path
 
 import pyarrow as pa
@@ -30,10 +31,44 @@ def ship(spark: SparkSession) -> None:
         setattr(context, _SHIPPED, True)
 
 
+_kept: dict[tuple, object] = {}
+_keepers: list[str] = []  # the module whose tasks use what is kept
+
+
+def kept(make: Callable) -> Callable:
+    """Like ``functools.cache``, for what the tasks of a Python worker share, one after the other.
+
+    Workers outlive a stage, so it goes when the worker gets a task of another module.
+    """
+
+    @wraps(make)
+    def get(*given):
+        key = (make.__module__, make.__qualname__, *given)
+        if key not in _kept:
+            _kept[key] = make(*given)
+        return _kept[key]
+
+    return get
+
+
+def begin_task(module: str) -> None:
+    """Drop what tasks of other modules have kept in this worker."""
+    if _keepers != [module]:
+        _kept.clear()
+        _keepers[:] = [module]
+
+
 def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
     """``mapInArrow`` with this package at hand on every executor."""
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    module = function.__module__
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task(module)
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()  # the worker waits for other tasks now
+
+    return df.mapInArrow(run, schema)
 
 
 def parts(batches: Iterable[pa.RecordBatch], size: int = 1_000) -> Iterator[pa.RecordBatch]:

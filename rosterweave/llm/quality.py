@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterweave.llm.common import map_arrow
+from rosterweave.llm.common import map_arrow, parts
 from rosterweave.llm.samples import labelled_sample, remainder
 from rosterweave.plans.staging import Stage
 
@@ -149,7 +149,7 @@ def _table(texts: list[str | None]) -> np.ndarray:
 
 
 def _measuring(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in parts(batches):
         x = _table(batch["text"].to_pylist())
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(x), pa.list_(pa.float64())), batch["label"], batch["weight"]],
@@ -177,19 +177,22 @@ def train(docs: DataFrame, labels: DataFrame, stage: Stage) -> Forest:
 def scored(docs: DataFrame, forest: Forest, columns: list[str]) -> DataFrame:
     """``columns`` of ``docs`` with ``score`` per row; every text, null and empty too, has one.
 
-    Columns may have any names, ``score`` apart; only ``text`` is looked at.
+    Columns may have any names, ``score`` apart; only ``text`` is looked at. It travels once, also if
+    it is one of the columns.
     """
+    names = [f"c{i}" for i in range(len(columns))]
+    own = f"c{columns.index('text')}" if "text" in columns else "own_text"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            score = forest.score(_table(batch["own_text"].to_pylist()))
-            names = [n for n in batch.schema.names if n != "own_text"]
+        for batch in parts(batches):
+            score = forest.score(_table(batch[own].to_pylist()))
             yield pa.RecordBatch.from_arrays(
                 [*(batch[n] for n in names), pa.array(score)], [*names, "score"]
             )
 
-    carried = [F.col(c).alias(f"c{i}") for i, c in enumerate(columns)]
-    carried = docs.select(*carried, F.col("text").alias("own_text"))
-    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in carried.schema.fields[:-1]]
+    given = zip([*columns, "text"], names if own in names else [*names, own])
+    carried = docs.select(*[F.col(c).alias(n) for c, n in given])
+    fields = carried.schema.fields[: len(names)]
+    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in fields]
     made = map_arrow(carried, run, ", ".join([*kinds, "score double"]))
     return made.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)], "score")

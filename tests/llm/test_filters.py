@@ -6,12 +6,13 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from rosterweave.llm import decontaminate, quality, toxicity
+from rosterweave.llm import common, decontaminate, quality, toxicity
 from rosterweave.llm.samples import labelled_sample, remainder
 from rosterweave.plans.staging import Stage
 
@@ -274,3 +275,36 @@ def test_pipeline_of_no_documents(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     assert corpus_pipeline.run(spark, folder).count() == 0
+
+
+def test_a_scored_text_travels_once_and_in_slices(spark, monkeypatch):
+    sent, sizes = [], []
+    measure, map_arrow = quality._table, quality.map_arrow
+
+    def sending(df, function, schema):
+        sent.append(df.columns)
+        batch = pa.RecordBatch.from_pydict({c: [f"a {i}" for i in range(2_500)] for c in df.columns})
+        for made in function([batch]):
+            sizes.append(len(made))
+        return map_arrow(df, function, schema)
+
+    monkeypatch.setattr(quality, "map_arrow", sending)
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    forest = quality.fit(np.zeros((0, len(quality.STATISTICS))), np.zeros(0))
+    both = quality.scored(docs, forest, ["text", "doc_id"])
+    assert both.columns == ["text", "doc_id", "score"]
+    assert sorted((r.doc_id, r.text, r.score) for r in both.collect()) == [(1, "a b", 0.5), (2, None, 0.5)]
+    assert quality.scored(docs, forest, ["doc_id"]).columns == ["doc_id", "score"]
+    assert [len(columns) for columns in sent] == [2, 2]
+    assert sizes == [1_000, 1_000, 500] * 2
+
+
+def test_what_a_worker_keeps_goes_with_the_operator():
+    made = []
+    get = common.kept(lambda x: made.append(x) or [x])
+    common.begin_task("one")
+    assert get(1) is get(1) and made == [1]
+    common.begin_task("one")
+    assert get(1) and made == [1]
+    common.begin_task("two")
+    assert get(1) and made == [1, 1]
