@@ -230,15 +230,18 @@ def clean_payroll(payroll: DataFrame, settings: Settings) -> DataFrame:
     return latest(steps, PAYROLL_KEY, PAYROLL_ORDER)
 
 
-def payroll_report(steps: DataFrame, settings: Settings) -> DataFrame:
-    """Counters of the result of ``payroll_steps``."""
+def payroll_report(
+    steps: DataFrame, settings: Settings, kept: DataFrame | None = None
+) -> DataFrame:
+    """Counters of the result of ``payroll_steps``; ``kept``, the latest of them, if it is stored."""
     c = F.col
     salary = c("base_salary")
     plain = values.parse_number(text.strip(c("_salary_in")))
+    # A struct is never null, so a null id or source still counts as a key.
+    keys = [] if kept is not None else [F.count_distinct(F.struct(*PAYROLL_KEY)).alias("kept")]
     counted = steps.agg(
         F.count(F.lit(1)).alias("n"),
-        # A struct is never null, so a null id or source still counts as a key.
-        F.count_distinct(F.struct(*PAYROLL_KEY)).alias("kept"),
+        *keys,
         count_if(plain.isNull() & salary.isNotNull()).alias("formatted"),
         count_if(salary.isNull()).alias("no_salary"),
         count_if(salary <= 0).alias("not_positive"),
@@ -249,6 +252,8 @@ def payroll_report(steps: DataFrame, settings: Settings) -> DataFrame:
         F.count("salary_usd_annual").alias("annual"),
         count_if(c("effective_date").isNull()).alias("no_date"),
     )
+    if kept is not None:
+        counted = counted.crossJoin(kept.agg(F.count(F.lit(1)).alias("kept")))
     dropped = c("n") - c("kept")
     fixes = {
         "salary_symbols_stripped": _found(c("formatted")),
@@ -333,10 +338,13 @@ def clean_all(
     employee = stage(employee_steps(aligned, settings), "clean_employees")
     paid = stage(payroll_steps(payroll, settings), "payroll_steps")
     enrolled = stage(clean_benefits(benefits), "clean_benefits")
-    reports = employees_report(employee, settings).unionByName(payroll_report(paid, settings))
+    latest_paid = stage(latest(paid.drop("_salary_in"), PAYROLL_KEY, PAYROLL_ORDER), "clean_payroll")
+    reports = employees_report(employee, settings).unionByName(
+        payroll_report(paid, settings, latest_paid)
+    )
     return Cleaned(
         employee.select(*EMPLOYEE_COLUMNS),
-        stage(latest(paid.drop("_salary_in"), PAYROLL_KEY, PAYROLL_ORDER), "clean_payroll"),
+        latest_paid,
         enrolled,
         reports.unionByName(benefits_report(enrolled)),
     )

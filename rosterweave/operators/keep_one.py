@@ -7,6 +7,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rosterweave.plans.staging import Stage
+
 ORDINAL = "ingest_ordinal"
 
 
@@ -30,15 +32,23 @@ def latest(df: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
 
 
 def split_latest(
-    df: DataFrame, keys: list[str], by: list[str], row_id: list[str] | None = None
+    df: DataFrame,
+    keys: list[str],
+    by: list[str],
+    row_id: list[str] | None = None,
+    stage: Stage | None = None,
 ) -> Split:
     """Latest rows and all others.
 
     The others are found by row identity, not by ranking inside the key: the join is spread evenly
     however many rows one key has. ``row_id`` must be unique; nulls in it are values.
+    With ``stage`` the latest rows are stored, so that they are looked for once, however often they and
+    the others are read.
     """
     row_id = row_id or [ORDINAL]
     current = latest(df, keys, by)
+    if stage:
+        current = stage(current, "latest_rows")
     kept = current.select(*[F.col(c).alias(f"_kept_{c}") for c in row_id])
     same = [F.col(c).eqNullSafe(F.col(f"_kept_{c}")) for c in row_id]
     return Split(current, df.join(kept, same, "left_anti"))

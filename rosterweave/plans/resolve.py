@@ -73,7 +73,7 @@ def resolve_all(
     final = stage(fuzzy.flag_fuzzy(exact.employees, pairs), "employees")
     ghosts = identity.ghost_employees(payroll, final)
     plans = split_latest(
-        benefits, BENEFITS_KEY, benefits_order or BENEFITS_ORDER, benefits_row_id
+        benefits, BENEFITS_KEY, benefits_order or BENEFITS_ORDER, benefits_row_id, stage
     )
     reports = (
         exact.reports.unionByName(fuzzy.fuzzy_report(exact.employees, pairs, settings))

@@ -61,7 +61,7 @@ def _commas(text: Column) -> Column:
 
 def _judged(lines: DataFrame) -> DataFrame:
     """``outside``: closed, open or bad; ``inside``: inside, closed or bad; and the commas of each."""
-    bare = F.regexp_replace("value", r"\r\z", "")
+    bare = _bare(F.col("value"))
     plain = ~F.contains("value", F.lit('"'))
     outside = (
         F.when(plain | bare.rlike(_COMPLETE), "closed").when(bare.rlike(_OPENS), "open").otherwise("bad")
@@ -185,7 +185,12 @@ def _single(lines: DataFrame) -> DataFrame:
 
 
 def _filled(line: Column) -> Column:
-    return F.trim(F.regexp_replace(line, r"\r\z", "")) != ""
+    return F.trim(_bare(line)) != ""
+
+
+def _bare(line: Column) -> Column:
+    """Without a carriage return at the end."""
+    return F.when(F.endswith(line, F.lit("\r")), F.substr(line, F.lit(1), F.length(line) - 1)).otherwise(line)
 
 
 def _cells(text: Column) -> Column:
@@ -263,8 +268,7 @@ def parse_csv(
 
 
 def _typed(records: DataFrame, columns: list[str], cell: Callable[[Column], Column]) -> DataFrame:
-    text = F.regexp_replace("text", r"\r\z", "")
-    cells = records.select("*", text.alias("bare"), _cells(text).alias("cells"))
+    cells = records.select("*", _cells(_bare(F.col("text"))).alias("cells"))
     found, wanted = F.size("cells"), F.size("names")
     count = F.concat(F.lit("Expected "), wanted, F.lit(" cells, found "), found)
     error = (
@@ -272,7 +276,7 @@ def _typed(records: DataFrame, columns: list[str], cell: Callable[[Column], Colu
         .when(F.col("outside") == "bad", JUNK)
         .when(found != wanted, count)
     )
-    name = F.element_at(F.split("file", "/"), -1)
+    name, bare = F.element_at(F.split("file", "/"), -1), F.regexp_replace("text", r"\r\z", "")
     kept = cells.select("*", error.alias(ERROR))
     return kept.select(
         FILE,
@@ -280,7 +284,7 @@ def _typed(records: DataFrame, columns: list[str], cell: Callable[[Column], Colu
         *[cell(F.try_element_at("cells", F.array_position("names", c).cast("int"))).alias(c) for c in columns],
         F.col("at").alias(ORDINAL),
         ERROR,
-        F.when(F.col(ERROR).isNotNull(), F.concat(name, F.lit(": "), "bare")).alias(RAW_RECORD),
+        F.when(F.col(ERROR).isNotNull(), F.concat(name, F.lit(": "), bare)).alias(RAW_RECORD),
     )
 
 

@@ -163,3 +163,12 @@ def test_ghosts_and_unpaid(spark):
     report = identity.ghosts_report(pay, ghosts, unpaid).first()
     assert (report.input_rows, report.output_rows, report.rows_quarantined) == (3, 1, 2)
     assert report.details == {"ghost_employees_detected": 2, "hris_employees_not_in_payroll": 1}
+
+
+def test_latest_rows_are_stored_once(spark, stage):
+    df = spark.createDataFrame([("a", 1, 0), ("a", 2, 1), (None, 3, 2), ("b", 1, 3)], "k string, d int, ingest_ordinal long")
+    both = split_latest(df, ["k"], ["d", "ingest_ordinal"], stage=stage)
+    assert sorted(r.ingest_ordinal for r in both.current.collect()) == [1, 2, 3]
+    assert [r.ingest_ordinal for r in both.history.collect()] == [0]
+    assert "Window" not in both.current._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in both.history._jdf.queryExecution().executedPlan().toString()

@@ -55,3 +55,45 @@ def test_ids_of_digits_are_padded_as_by_pattern(spark):
     prefix = rows.select(ids.employee_id(F.lit("1"), F.lit(STAFF_A)).alias("id")).first().id[:-6]
     found = rows.select("raw", ids.employee_id(F.col("raw"), F.lit(STAFF_A)).alias("id")).collect()
     assert {r.raw: r.id for r in found} == {k: prefix + v for k, v in given.items()}
+
+
+def test_pages_are_dealt_in_order_and_null_ordinals_stay(spark, tmp_path):
+    """Parts follow the pages and are about as long, however unevenly pages are filled."""
+    many = [(1,)] * 300 + [(i,) for i in range(100, 400)] + [(None,)]
+    rows = spark.createDataFrame(many, "ingest_ordinal long")
+    paged = rows.withColumn("_page", F.floor(F.col("ingest_ordinal") / 10))
+    dealt = queries.in_page_ranges(paged).withColumn("at", F.spark_partition_id())
+    found = dealt.groupBy("at").agg(
+        F.min("_page").alias("low"), F.max("_page").alias("high"), F.count("*").alias("n")
+    ).orderBy("at").collect()
+    assert sum(r.n for r in found) == 601
+    whole = [r for r in found if r.low is not None]
+    assert all(a.high < b.low for a, b in zip(whole, whole[1:]))
+    assert dealt.where("_page is null").count() == 1
+
+
+def test_plain_chunks_are_cut_without_an_xml_reader(spark):
+    """Chunks give the elements, ordinals and errors that splitting at start tags gives."""
+    two = "<employee_id> 7</employee_id><premium_employee>{}</premium_employee>".format
+    chunks = [
+        f"\n<enrollment>{two('1.5')}", f"<enrollment>{two('1.5')}", f"some text <enrollment>\n {two('')} ",
+        f"<enrollment>{two('12x')}", "<enrollment><employee_id> </employee_id>", "<enrollment>",
+        f"<?xml?><benefits n='1'><enrollment>{two('2')}", f"<enrollment>{two('3')}<enrollment>{two('4')}",
+        f"\x01<enrollment>{two('5')}", f"<enrollment a='1'>{two('6')}", "<enrollment a='1'/>", "\n</benefits>",
+        f"<enrollments><enrollment>{two('7')}", f"<enrollment>{two('a&amp;b')}", f"<enrollment>{two('<b>1</b>')}",
+    ]
+    rows = spark.createDataFrame(list(enumerate(chunks)), "n int, value string")
+    made = benefits_xml.elements_of(rows, "n")
+    cut = made.where(f"{benefits_xml._OWN} is not null")
+    assert sorted(r.n for r in cut.collect()) == [0, 1, 2, 3, 5]
+    found = benefits_xml.parse_enrollments(made, "n").collect()
+    raw = {
+        n: [f"<enrollment{x}</enrollment>" for x in v.split("<enrollment")[1:] if x[0] in " >" and x[-2:] != "/>"]
+        for n, v in enumerate(chunks)
+    }
+    raw[7] = [f"<enrollment>{two('3')}", f"<enrollment>{two('4')}</enrollment>"]
+    listed = [(n, x) for n in raw for x in raw[n]]
+    alone = spark.createDataFrame(listed, f"n int, {RAW_RECORD} string")
+    wanted = benefits_xml.parse_enrollments(alone, "n").collect()
+    assert sorted(map(str, found)) == sorted(map(str, wanted))
+    assert {r.n for r in found if r.error} == {3, 4, 5, 7, 13, 14}

@@ -159,3 +159,16 @@ def test_ghost_report_and_review_columns(spark):
         "GT-000009", "Unknown — no HRIS record", 0.12,
         "Payroll record (source: GlobalTech) has no matching employee_id in HRIS")
     assert len(review.GOLDEN_COLUMNS) == 19
+
+
+def test_payroll_report_counts_kept_rows_of_the_stored_latest(spark, settings):
+    rows = [("1", "A", "5"), ("1", "A", "6"), (None, "A", "7"), (None, "A", "8"), (None, None, "9")]
+    raw = spark.createDataFrame(
+        [(i, e, s, b, "USD", "Annual", "2020-01-01") for i, (e, s, b) in enumerate(rows)],
+        "ingest_ordinal long, employee_id string, source string, base_salary string, currency string,"
+        " pay_frequency string, effective_date string",
+    )
+    steps = clean.payroll_steps(raw, settings)
+    kept = clean.clean_payroll(raw, settings)
+    given, counted = (clean.payroll_report(steps, settings, *k).first() for k in ((kept,), ()))
+    assert given == counted and given.output_rows == 3

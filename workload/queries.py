@@ -255,6 +255,23 @@ def dead_letters_by_error(spark, folder):
     return dead_letter_summary(both)
 
 
+def in_page_ranges(df):
+    """``df`` in as many parts as shuffles have, by ranges of ``_page`` of about as many rows each.
+
+    The rows of each page are counted first, which reads no other column; a sort by ranges would work
+    out whole rows once more to sample them.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.groupBy("_page").agg(F.count("*").alias("_rows"))
+    before = F.sum("_rows").over(Window.orderBy("_page")) - F.col("_rows")
+    total = F.sum("_rows").over(Window.partitionBy())
+    # One row per page; stored, so that its size decides how it is joined.
+    parts = rows.select("_page", F.floor(before * n / total).cast("int").alias("_part"))
+    parts = Stage(df.sparkSession)(parts.withColumnRenamed("_page", "_of"), "pages")
+    placed = df.join(parts, F.col("_page").eqNullSafe(F.col("_of"))).drop("_of")
+    return placed.repartitionById(n, "_part")
+
+
 def write_pages(df, path, page, order, line, head, join="\n", tail=""):
     """Text files of the lines of a page each, in order; the files' names follow the pages.
 
@@ -262,16 +279,16 @@ def write_pages(df, path, page, order, line, head, join="\n", tail=""):
     pages before they become lines, so that one shuffle of their columns does, and the files are
     compressed. The number of parts is fixed: a part names no more than 1,000 files in order.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.withColumn("_page", page).repartitionByRange(n, "_page")
-    lines = F.array_sort(F.collect_list(F.struct(*order, line.alias("_line"))))
-    texts = dealt.groupBy("_page", head.alias("_head")).agg(
+    dealt = in_page_ranges(df.withColumn("_page", page))
+    lines = F.sort_array(F.collect_list(F.struct(*order, line.alias("_line"))))
+    texts = dealt.groupBy("_part", "_page", head.alias("_head")).agg(
         F.array_join(F.transform(lines, lambda x: x["_line"]), join).alias("_lines"),
         F.count("*").alias("_n"),
     )
     value = F.concat(F.replace("_head", F.lit("#"), F.col("_n").cast("string")), "_lines", F.lit(tail))
     written = texts.sortWithinPartitions("_page").select(value.alias("value")).write
-    written.option("maxRecordsPerFile", 1).option("compression", CODEC).text(path)
+    written = written.option("maxRecordsPerFile", 1).option("compression", CODEC)
+    written.option("zlib.compress.level", "BEST_SPEED").text(path)
 
 
 def csv_line(columns):
